@@ -24,20 +24,16 @@ FIRST_YEAR, LAST_YEAR = 1900, 2100
 def normalize_period(col: Column) -> Column:
     """``YYYY`` or ``YYYY-MM`` for comparison, null where the text is no period."""
     text = strip_text(col)
-    suffix = F.substring(text, 6, 2)
+    size, suffix = F.length(text), F.substring(text, 6, 2)
+    dashed = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    # the lengths exclude each other, so the cheap test for full dates comes first
     return (
-        F.when(text.rlike(r"^[0-9]{4}-(0[1-9]|1[0-2])$"), text)
+        F.when(size >= 10, F.when(dashed, F.substring(text, 1, 7)))
         .when(
-            text.rlike(r"^[0-9]{4}-[0-9]{2}$"),
-            F.when(suffix != "00", F.substring(text, 1, 4)),
+            (size == 7) & text.rlike(r"^[0-9]{4}-[0-9]{2}$"),
+            F.when(suffix.between("01", "12"), text).when(suffix > "12", F.substring(text, 1, 4)),
         )
-        .when(
-            (F.length(text) >= 10)
-            & (F.substring(text, 5, 1) == "-")
-            & (F.substring(text, 8, 1) == "-"),
-            F.substring(text, 1, 7),
-        )
-        .when(text.rlike(r"^[0-9]{4}$"), text)
+        .when((size == 4) & text.rlike(r"^[0-9]{4}$"), text)
     )
 
 

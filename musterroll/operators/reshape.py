@@ -207,9 +207,12 @@ def series(observations: DataFrame, chunk_rows: int = 10_000) -> DataFrame:
     size = F.lit(chunk_rows)
     first = F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / size)
     end = F.floor((F.sum("_n").over(by_month.rowsBetween(Window.unboundedPreceding, 0)) - 1) / size)
+    # counting per unit too keeps the big aggregate a hash aggregate
     layout = (
-        rows.groupBy(F.col("measure").alias("_m"), F.col("_month").alias("_p"))
-        .agg(F.count("*").alias("_n"), F.min("unit").alias("_u"))
+        rows.groupBy(F.col("measure").alias("_m"), F.col("_month").alias("_p"), "unit")
+        .agg(F.count("*").alias("_n"))
+        .groupBy("_m", "_p")
+        .agg(F.sum("_n").alias("_n"), F.min("unit").alias("_u"))
         .select(
             "_m",
             "_p",

@@ -79,7 +79,7 @@ def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     undefined = "[" + "".join(f"\\x{b:02X}" for b in UNDEFINED_1252) + "]"
-    raw = F.decode(F.col("value").cast("binary"), F.lit("ISO-8859-1"))
+    raw = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     return (
         spark.read.text(paths)
         .select(

@@ -194,38 +194,36 @@ def flagged(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def series(spark: SparkSession, folder: str) -> DataFrame:
     chunks = reshape.series(flagged(spark, folder), chunk_rows=5000)
-    months = F.transform("observations", lambda o: F.substring(o["period"], 1, 7))
-    per_chunk = chunks.select(
-        "measure", "unit", "chunk",
-        F.explode("observations").alias("o"),
-        F.array_min(months).alias("low"),
-        F.array_max(months).alias("high"),
+    rows = F.col("observations")
+    periods = F.transform(rows, lambda o: o["period"])
+    orders = F.transform(
+        rows, lambda o: F.try_element_at(o["dimensions"], F.lit("order")).cast("bigint")
     )
-    borders = per_chunk.groupBy("measure", "unit", "chunk").agg(
-        F.count("*").alias("n"),
-        F.sum("o.value").alias("total"),
-        F.min("o.period").alias("first_period"),
-        F.max("o.period").alias("last_period"),
-        F.sum(F.try_element_at("o.dimensions", F.lit("order")).cast("bigint")).alias("order_sum"),
-        F.struct(F.min("low").alias("low"), F.max("high").alias("high")).alias("span"),
+    per_chunk = chunks.select(
+        "measure",
+        "unit",
+        "chunk",
+        F.size(rows).cast("bigint").alias("n"),
+        F.aggregate(rows, F.lit(0.0), lambda total, o: total + o["value"]).alias("total"),
+        F.aggregate(orders, F.lit(0).cast("bigint"), lambda a, b: a + b).alias("order_sum"),
+        F.array_min(periods).alias("low"),
+        F.array_max(periods).alias("high"),
     )
-    spans = F.sort_array(F.collect_list(F.struct("chunk", "span")))
-    return borders.groupBy("measure", "unit").agg(
+    spans = F.sort_array(F.collect_list(F.struct("chunk", "low", "high")))
+
+    # chunks follow each other by month: none starts before the one ahead of it ends
+    def follows(acc, x):
+        low, high = F.substring(x["low"], 1, 7), F.substring(x["high"], 1, 7)
+        return F.struct(high.alias("end"), (acc["ok"] & (acc["end"] <= low)).alias("ok"))
+
+    start = F.struct(F.lit("").alias("end"), F.lit(True).alias("ok"))
+    return per_chunk.groupBy("measure", "unit").agg(
         F.sum("n").alias("n"),
         F.sum("total").alias("total"),
-        F.min("first_period").alias("first_period"),
-        F.max("last_period").alias("last_period"),
+        F.min("low").alias("first_period"),
+        F.max("high").alias("last_period"),
         F.sum("order_sum").alias("order_sum"),
-        # chunks follow each other by month: none starts before the one ahead of it ends
-        F.aggregate(
-            spans,
-            F.struct(F.lit("").alias("end"), F.lit(True).alias("ok")),
-            lambda acc, x: F.struct(
-                x["span"]["high"].alias("end"),
-                (acc["ok"] & (acc["end"] <= x["span"]["low"])).alias("ok"),
-            ),
-            lambda acc: acc["ok"],
-        ).alias("ordered"),
+        F.aggregate(spans, start, follows, lambda acc: acc["ok"]).alias("ordered"),
     )
 
 
