@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from functools import reduce
 
@@ -111,24 +112,30 @@ def drop_null_values(df: DataFrame, column: str = "value") -> DataFrame:
 
 
 def date_range(
-    df: DataFrame, column: str, start: object = None, end: object = None
+    df: DataFrame, column: str, start: object = None, end: object = None, iso: bool = False
 ) -> DataFrame:
     """Rows whose date lies between two partial bounds, both inclusive.
 
     Date and timestamp columns are compared half-open as they are, so the bounds
     reach the scan.  Text columns are parsed first; text that is no date drops.
+    ``iso`` says that the dates in a text column are ISO text: they then sort as
+    text, and the bounds reach the scan as well.
     """
     low, high = date_bounds(start, end)
     if low is None and high is None:
         return df
     dtype = df.schema[column].dataType
     is_text = isinstance(dtype, T.StringType)
-    col = parse_date(F.col(column)) if is_text else F.col(column)
-    target = "date" if is_text else dtype.simpleString()
+    raw = F.col(column)
+    col, target = (parse_date(raw), "date") if is_text else (raw, dtype.simpleString())
     keep = F.lit(True)
     if low is not None:
         keep = keep & (col >= F.lit(low.isoformat()).cast(target))
+        if is_text and iso:
+            keep = keep & (raw >= low.isoformat())
     if high is not None:
-        after = F.date_add(F.lit(high.isoformat()).cast("date"), 1)
-        keep = keep & (col < after.cast(target))
+        after = high + dt.timedelta(days=1)
+        keep = keep & (col < F.lit(after.isoformat()).cast(target))
+        if is_text and iso:
+            keep = keep & (raw < after.isoformat())
     return df.where(keep)

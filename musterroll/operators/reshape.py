@@ -178,6 +178,11 @@ def flatten(observations: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def csv_lines(flat: DataFrame) -> DataFrame:
+    """Every row of a flat table as one line of CSV text."""
+    return flat.select(F.to_csv(F.struct(*[quoted(c) for c in flat.columns])).alias("line"))
+
+
 def dimension_names(observations: DataFrame) -> DataFrame:
     """Every dimension key that occurs (combined map-side before the shuffle)."""
     return observations.select(F.explode(F.map_keys("dimensions")).alias("name")).distinct()

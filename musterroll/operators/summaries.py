@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from musterroll.functions.periods import check_period_range
+from musterroll.operators.snapshots import is_stale, stale_reason
 from musterroll.specs.model import TableSpec
 
 
@@ -43,10 +44,18 @@ def summary(
     end: object = None,
     source: str = "",
     attribution: str = "",
+    snapshot_date: str | None = None,
+    as_of: str | None = None,
 ) -> DataFrame:
-    """One row that describes a result: one pass over the observations."""
+    """One row that describes a result: one pass over the observations.
+
+    With the date of the snapshot and the moment of the answer it also says whether
+    the snapshot is older than its cadence allows.
+    """
     low, high = check_period_range(start, end)
     first, last = period_extent(F.col("period"), low, high)
+    taken, now = F.lit(snapshot_date).cast("date"), F.lit(as_of).cast("timestamp")
+    cadence, today = F.lit(spec.cadence), F.to_date(now)
     return observations.agg(
         row_count().alias("row_count"),
         common_unit(F.col("unit")).alias("unit"),
@@ -62,6 +71,9 @@ def summary(
         F.lit(source).alias("source"),
         F.lit(attribution).alias("attribution"),
         F.lit(spec.source_page).cast("string").alias("source_page"),
+        now.alias("retrieved_at"),
+        F.coalesce(is_stale(cadence, taken, today), F.lit(False)).alias("stale"),
+        stale_reason(cadence, taken, today).alias("stale_reason"),
     )
 
 

@@ -12,6 +12,10 @@ from musterroll.functions.periods import normalize_period
 # Default and largest number of rows of a limited listing.
 DEFAULT_LIMIT, MAX_LIMIT = 50, 10_000
 
+# Limits up to this are merged in one step, larger ones through this many groups.
+ONE_STEP_LIMIT = 1_000
+MERGE_GROUPS = 256
+
 
 def check_limit(limit: object, largest: int | None = MAX_LIMIT) -> int:
     if isinstance(limit, bool) or not isinstance(limit, int):
@@ -55,21 +59,38 @@ def last_n(
     return trimmed.unionByName(observations.where(~dated.scalar()))
 
 
+def first_in_order(df: DataFrame, order_by: Sequence[str | Column], limit: int) -> DataFrame:
+    """The first ``limit`` rows in a total order.
+
+    Spark keeps ``limit`` rows per task and merges them in one place, which is fine
+    for small limits.  Larger ones are merged in two steps: tasks first meet in
+    groups that each keep ``limit`` rows, so the last step sees few groups.
+    """
+    if limit > ONE_STEP_LIMIT:
+        group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+        df = df.withColumn("_group", group)
+        window = Window.partitionBy("_group").orderBy(*order_by)
+        ranked = df.withColumn("_rank", F.row_number().over(window))
+        df = ranked.where(F.col("_rank") <= limit).drop("_group", "_rank")
+    return df.orderBy(*order_by).limit(limit)
+
+
 def limited(
     df: DataFrame, order_by: Sequence[str | Column], limit: int = DEFAULT_LIMIT
 ) -> DataFrame:
     """The first rows in a given order, with the full count where rows were cut.
 
-    Each task keeps only its ``limit`` first rows.  ``truncated_at`` is the count
-    of all rows if there are more than ``limit``, else null.
+    ``truncated_at`` is the count of all rows if there are more than ``limit``, else
+    null.
     """
     check_limit(limit)
     total = df.agg(F.count("*")).scalar()
-    top = df.orderBy(*order_by).limit(limit)
+    top = first_in_order(df, order_by, limit)
     return top.withColumn("truncated_at", F.when(total > limit, total))
 
 
 def top_n(df: DataFrame, measure: str, n: int, tiebreak: Sequence[str]) -> DataFrame:
     """Rows with the largest measure, ties broken by the given columns."""
     check_limit(n)
-    return df.orderBy(F.col(measure).desc_nulls_last(), *tiebreak).limit(n)
+    order = [F.col(measure).desc_nulls_last(), *map(F.col, tiebreak)]
+    return first_in_order(df, order, n)

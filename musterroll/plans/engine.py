@@ -13,7 +13,8 @@ from musterroll.operators import filters as flt
 from musterroll.operators import reshape, summaries, topk
 from musterroll.operators.project import project, quoted
 from musterroll.plans import catalog as cat
-from musterroll.sources.tables import scan_guard
+from musterroll.sources.delimited import read_delimited
+from musterroll.sources.tables import UNFILTERED_ROWS, first_rows, materialise
 from musterroll.specs.model import Catalog, TableSpec
 from musterroll.specs.registers import TRUNCATION_SUFFIX
 
@@ -25,28 +26,64 @@ class Engine:
     """Queries over the tables of a catalogue.
 
     ``bind`` ties a table id to a DataFrame, a Parquet path or a function that
-    returns a DataFrame.  Every method returns a lazy DataFrame.
+    returns a DataFrame; ``ingest`` converts raw files once and binds the result.
+    Every query method returns a lazy DataFrame.
     """
 
     def __init__(self, spark: SparkSession, catalog: Catalog):
         self.spark = spark
         self.catalog = catalog
         self._bound: dict[str, DataFrame | str | Callable[[], DataFrame]] = {}
+        self._clean: set[str] = set()
 
-    def bind(self, table_id: str, source: DataFrame | str | Callable[[], DataFrame]) -> Engine:
-        self._bound[self.catalog.get(table_id).id] = source
+    def bind(
+        self,
+        table_id: str,
+        source: DataFrame | str | Callable[[], DataFrame],
+        materialised: bool = False,
+    ) -> Engine:
+        """Tie a table to its data.
+
+        ``materialised`` data is already clean and under friendly names, so filters
+        reach its scan.
+        """
+        key = self.catalog.get(table_id).id
+        self._bound[key] = source
+        (self._clean.add if materialised else self._clean.discard)(key)
         return self
 
-    def table(self, table_id: str) -> DataFrame:
-        """The bound table under its source column names."""
+    def ingest(
+        self, table_id: str, paths: str | Sequence[str], target: str, encoding: str = "auto"
+    ) -> int:
+        """Convert the raw files of a register to clean Parquet and bind it; returns its rows."""
+        spec = self.catalog.get(table_id)
+        raw = read_delimited(self.spark, paths, encoding=encoding, multiline=spec.multiline)
+        rows = materialise(raw, target, spec=spec)
+        self.bind(spec.id, target, materialised=True)
+        return rows
+
+    def spec(self, table_id: str) -> TableSpec:
+        """The spec of a table in the form its bound data has."""
         spec = self.catalog.get(table_id)
-        if spec.id not in self._bound:
-            raise ValueError(f"no data is bound to table {spec.id!r}")
-        source = self._bound[spec.id]
+        return spec.materialised() if spec.id in self._clean else spec
+
+    def table(self, table_id: str) -> DataFrame:
+        """The bound table as it is stored."""
+        key = self.catalog.get(table_id).id
+        if key not in self._bound:
+            raise ValueError(f"no data is bound to table {key!r}")
+        source = self._bound[key]
         if isinstance(source, str):
             return self.spark.read.parquet(source)
         return source() if callable(source) else source
 
+    def _guarded(self, table_id: str) -> DataFrame:
+        """A bounded part of a large table: what a query without any filter reads."""
+        source = self._bound.get(table_id)
+        if isinstance(source, str):
+            return first_rows(self.spark, source)
+        return self.table(table_id).limit(UNFILTERED_ROWS)
+
     def rows(
         self,
         table_id: str,
@@ -59,25 +96,32 @@ class Engine:
         """Friendly, typed, filtered rows of a table, before any reshaping.
 
         On a wide table period bounds need a date column to act on; they are never
-        ignored.
+        ignored.  A large table asked for without any filter yields its first rows
+        only.
         """
-        spec = self.catalog.get(table_id)
+        spec = self.spec(table_id)
         start, end = check_period_range(start_period, end_period)
         wanted = flt.parse_filters(filters)
-        df = project(self.table(table_id), spec)
-        df = flt.drop_blank_rows(df, [c.key for c in spec.with_role("dimension")])
+        bounded = spec.layout == "wide" and bool(start or end)
+        if bounded and date_column is None:
+            raise ValueError(f"name the date column of {spec.id!r} the period bounds apply to")
+        whole = wanted or bounded or not spec.large
+        df = project(self.table(spec.id) if whole else self._guarded(spec.id), spec)
+        dimensions = [c.key for c in spec.with_role("dimension")]
+        if not any(k in dimensions for k in [*wanted, date_column if bounded else None]):
+            # a filter on a dimension keeps no blank row anyway, and then the
+            # other dimensions need not be read
+            df = flt.drop_blank_rows(df, dimensions)
         df = flt.apply_filters(df, spec, wanted)
-        bounded = spec.layout == "wide" and (start or end)
         if bounded:
-            if date_column is None:
-                raise ValueError(f"name the date column of {spec.id!r} the period bounds apply to")
-            df = flt.date_range(df, spec.column(date_column).key, start, end)
-        if spec.large and not wanted and not bounded:
-            df = scan_guard(df, filtered=False, order_by=spec.natural_key)
+            declared = self.catalog.get(spec.id).column(date_column)
+            df = flt.date_range(df, date_column, start, end, iso=declared.dtype == "date")
         cuts = {} if full_text else spec.truncate
+        if not cuts:
+            return df
         return df.withColumns(
             {k: truncate_text(quoted(k), n, TRUNCATION_SUFFIX) for k, n in cuts.items()}
-        ) if cuts else df
+        )
 
     def _observations(
         self,
@@ -109,7 +153,7 @@ class Engine:
         form = (format or "records").lower()
         if form not in FORMATS:
             raise ValueError(f"Unknown format {format!r}. Valid options: {FORMATS}")
-        spec = self.catalog.get(table_id)
+        spec = self.spec(table_id)
         start, end = check_period_range(start_period, end_period)
         rows = self.rows(table_id, filters, start, end, date_column, full_text)
         if form == "csv" and spec.layout == "wide":

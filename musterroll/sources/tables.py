@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -44,16 +45,33 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return df if columns is None else df.select(*[quoted(c) for c in columns])
 
 
-def scan_guard(
-    df: DataFrame, filtered: bool, order_by: Sequence[str] = (), rows: int = UNFILTERED_ROWS
-) -> DataFrame:
-    """At most ``rows`` rows when a large table is queried without any filter.
+def first_rows(spark: SparkSession, path: str, rows: int = UNFILTERED_ROWS) -> DataFrame:
+    """The first rows of a Parquet table in file order, without reading the rest.
 
-    With an order the rows are determined; without one they are the first found.
+    Rows per file come from file footers, a few files at a time, until enough are
+    found; the scan is then restricted to those files.  No row is shuffled.
     """
-    if filtered:
-        return df
-    return (df.orderBy(*order_by) if order_by else df).limit(rows)
+    table = spark.read.parquet(path)
+    address, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    # a scan names local files with one slash, the listing with three
+    files = sorted(re.sub("^file:/+", "file:/", f) for f in table.inputFiles())
+    chosen: list[str] = []
+    missing, batch = rows, 8
+    while files and missing > 0:
+        head, files = files[:batch], files[batch:]
+        batch *= 2
+        counted = table.where(address.isin(*head)).groupBy(address.alias("file")).count()
+        counts = {r["file"]: r["count"] for r in counted.collect()}
+        for name in head:
+            if missing <= 0:
+                break
+            chosen.append(name)
+            if counts.get(name, 0) >= missing:
+                last, keep = name, missing
+            missing -= counts.get(name, 0)
+    if missing > 0 or not chosen:
+        return table
+    return table.where(address.isin(*chosen) & ((address != last) | (place < keep)))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:

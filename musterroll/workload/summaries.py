@@ -11,7 +11,7 @@ from musterroll.operators import audit, reshape, topk
 from musterroll.operators import summaries as S
 from musterroll.operators.project import project
 from musterroll.plans.catalog import column_profile
-from musterroll.sources.tables import read_table, scan_guard
+from musterroll.sources.tables import first_rows
 from musterroll.specs.model import TABLE_ID_PATTERN
 from musterroll.specs.tables import CUSTOMER, LINEITEM, ORDERS
 from musterroll.workload.base import check, load
@@ -109,12 +109,23 @@ def top_n(spark: SparkSession, folder: str) -> DataFrame:
 
 @check("""
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
-    ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 1000
+    QUALIFY row_number() OVER () <= 1000
 """)
-def scan_guarded(spark: SparkSession, folder: str) -> DataFrame:
+def first_rows_guard(spark: SparkSession, folder: str) -> DataFrame:
+    """A table asked for without a filter: its first rows in file order, no more."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    table = read_table(spark, f"{folder.rstrip('/')}/lineitem.parquet", keys)
-    return scan_guard(table, filtered=False, order_by=keys, rows=1000)
+    return first_rows(spark, f"{folder.rstrip('/')}/lineitem.parquet", 1000).select(*keys)
+
+
+@check("""
+    SELECT l_orderkey AS order_key, l_linenumber AS line_number, l_quantity AS quantity
+    FROM lineitem ORDER BY l_quantity DESC, l_orderkey, l_linenumber, l_partkey LIMIT 5000
+""")
+def top_n_two_step(spark: SparkSession, folder: str) -> DataFrame:
+    top = topk.top_n(
+        lines(spark, folder), "quantity", 5000, ["order_key", "line_number", "part_key"]
+    )
+    return top.select("order_key", "line_number", "quantity")
 
 
 @check("""
