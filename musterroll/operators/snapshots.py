@@ -218,10 +218,5 @@ def portable_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def changed(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: do two fingerprints of the same columns differ?"""
     names = before.columns
-    same = [F.col(f"b.{n}").eqNullSafe(F.col(f"a.{n}")) for n in names]
-    condition = same[0]
-    for s in same[1:]:
-        condition = condition & s
-    left = before.select(F.struct(*names).alias("b"), F.lit(1).alias("_one"))
-    right = after.select(F.struct(*names).alias("a"), F.lit(1).alias("_one"))
-    return left.join(right, "_one").select((~condition).alias("changed"))
+    other = after.select(F.struct(*names)).scalar()
+    return before.select((~F.struct(*names).eqNullSafe(other)).alias("changed"))

@@ -13,8 +13,9 @@ from musterroll.functions.periods import normalize_period
 DEFAULT_LIMIT, MAX_LIMIT = 50, 10_000
 
 # Limits up to this are merged in one step, larger ones through this many groups.
-ONE_STEP_LIMIT = 1_000
+ONE_STEP_LIMIT = 100
 MERGE_GROUPS = 256
+GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def check_limit(limit: object, largest: int | None = MAX_LIMIT) -> int:
@@ -64,11 +65,13 @@ def first_in_order(df: DataFrame, order_by: Sequence[str | Column], limit: int)
 
     Spark keeps ``limit`` rows per task and merges them in one place, which is fine
     for small limits.  Larger ones are merged in two steps: tasks first meet in
-    groups that each keep ``limit`` rows, so the last step sees few groups.
+    groups that each keep ``limit`` rows, so the last step sees few groups.  That
+    needs Spark to cut ranked groups inside each task, which it does up to a limit
+    set in the session.
     """
-    if limit > ONE_STEP_LIMIT:
-        group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
-        df = df.withColumn("_group", group)
+    cut_in_tasks = int(df.sparkSession.conf.get(GROUP_LIMIT_SETTING))
+    if ONE_STEP_LIMIT < limit <= cut_in_tasks:
+        df = df.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
         window = Window.partitionBy("_group").orderBy(*order_by)
         ranked = df.withColumn("_rank", F.row_number().over(window))
         df = ranked.where(F.col("_rank") <= limit).drop("_group", "_rank")

@@ -119,11 +119,11 @@ def first_rows_guard(spark: SparkSession, folder: str) -> DataFrame:
 
 @check("""
     SELECT l_orderkey AS order_key, l_linenumber AS line_number, l_quantity AS quantity
-    FROM lineitem ORDER BY l_quantity DESC, l_orderkey, l_linenumber, l_partkey LIMIT 5000
+    FROM lineitem ORDER BY l_quantity DESC, l_orderkey, l_linenumber, l_partkey LIMIT 1000
 """)
 def top_n_two_step(spark: SparkSession, folder: str) -> DataFrame:
     top = topk.top_n(
-        lines(spark, folder), "quantity", 5000, ["order_key", "line_number", "part_key"]
+        lines(spark, folder), "quantity", 1000, ["order_key", "line_number", "part_key"]
     )
     return top.select("order_key", "line_number", "quantity")
 
