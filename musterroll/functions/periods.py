@@ -16,25 +16,25 @@ from pyspark.sql import functions as F
 
 from musterroll.functions.cleaning import WHITESPACE, strip_text
 
+# Month, financial year, full date (cut to its month) and year; group by group.
+PERIOD_FORMS = (
+    r"(?s)^(?:([0-9]{4}-(?:0[1-9]|1[0-2]))|([0-9]{4})-(?:1[3-9]|[2-9][0-9])"
+    r"|(.{4}-.{2})-.{2,}|([0-9]{4})|.*)\z"
+)
+
 # Accepted shape and integer range of a period argument.
 PERIOD_ARGUMENT = r"[0-9-]{4,10}"
 FIRST_YEAR, LAST_YEAR = 1900, 2100
 
 
 def normalize_period(col: Column) -> Column:
-    """``YYYY`` or ``YYYY-MM`` for comparison, null where the text is no period."""
-    text = strip_text(col)
-    size, suffix = F.length(text), F.substring(text, 6, 2)
-    dashed = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
-    # the lengths exclude each other, so the cheap test for full dates comes first
-    return (
-        F.when(size >= 10, F.when(dashed, F.substring(text, 1, 7)))
-        .when(
-            (size == 7) & text.rlike(r"^[0-9]{4}-[0-9]{2}$"),
-            F.when(suffix.between("01", "12"), text).when(suffix > "12", F.substring(text, 1, 4)),
-        )
-        .when((size == 4) & text.rlike(r"^[0-9]{4}$"), text)
-    )
+    """``YYYY`` or ``YYYY-MM`` for comparison, null where the text is no period.
+
+    One pattern serves all forms, so the text is looked at once: the forms exclude
+    each other by length, and text of any other form leaves nothing.
+    """
+    kept = F.regexp_replace(strip_text(col), PERIOD_FORMS, "$1$2$3$4")
+    return F.nullif(kept, F.lit(""))
 
 
 def normalize_period_text(text: str) -> str | None:
@@ -64,16 +64,18 @@ def period_in_range(col: Column, start: str | None, end: str | None) -> Column:
     so ``2024`` lies before ``2024-06``.
     """
     low, high = _bounds(start, end)
+    if high is not None and len(high) == 4:
+        high += "-99"  # sorts after the year itself and all of its months
     period = normalize_period(col)
-    keep = F.lit(True)
-    if low is not None:
-        keep = keep & (period >= low)
-    if high is not None:
-        ceiling = F.lit(high)
-        if len(high) == 4:
-            ceiling = F.when(F.length(period) > 4, F.lit(high + "-99")).otherwise(F.lit(high))
-        keep = keep & (period <= ceiling)
-    return period.isNull() | keep
+    if low is not None and high is not None:
+        inside = period.between(low, high)
+    elif low is not None:
+        inside = period >= low
+    elif high is not None:
+        inside = period <= high
+    else:
+        return F.lit(True)
+    return F.coalesce(inside, F.lit(True))
 
 
 def period_text_in_range(text: str, start: str | None, end: str | None) -> bool:
@@ -84,7 +86,7 @@ def period_text_in_range(text: str, start: str | None, end: str | None) -> bool:
     low, high = _bounds(start, end)
     if low is not None and period < low:
         return False
-    if high is not None and len(high) == 4 and len(period) > 4:
+    if high is not None and len(high) == 4:
         high += "-99"
     return high is None or period <= high
 

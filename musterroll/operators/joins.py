@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from musterroll.functions.cleaning import normalize_key
 
@@ -40,8 +41,15 @@ def join_on_key(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    prepare = normalize_key if normalize else (lambda c: c)
-    rows = left.withColumn("_key", prepare(F.col(left_key)))
+    integers = _is_integer(left, left_key) and _is_integer(right, right_key)
+
+    def prepare(df: DataFrame, key: str) -> Column:
+        """The key to compare: integers as they are, text without leading zeros."""
+        if not normalize or integers:
+            return F.col(key)
+        return F.col(key).cast("string") if _is_integer(df, key) else normalize_key(F.col(key))
+
+    rows = left.withColumn("_key", prepare(left, left_key))
     hot = F.broadcast(hot_keys(rows, "_key"))
     content = [c for c in left.columns if _hashable(left, c)]
     rows = rows.withColumn("_spread", F.xxhash64(*content, F.spark_partition_id()))
@@ -50,7 +58,7 @@ def join_on_key(
         "_salt", F.when(hit, F.pmod("_spread", F.lit(spread))).otherwise(0)
     ).drop("_hot", "_spread")
 
-    other = right.withColumn("_rkey", prepare(F.col(right_key))).where(F.col("_rkey").isNotNull())
+    other = right.withColumn("_rkey", prepare(right, right_key)).where(F.col("_rkey").isNotNull())
     if how in ("left_semi", "left_anti"):
         other = other.select("_rkey").distinct()
     other = other.join(hot, other["_rkey"] == hot["_hot"], "left").withColumn(
@@ -65,6 +73,10 @@ def join_on_key(
     return rows.join(other, on, how).drop("_key", "_salt", "_rkey", "_rsalt")
 
 
+def _is_integer(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.IntegralType)
+
+
 def _hashable(df: DataFrame, column: str) -> bool:
     return not df.schema[column].dataType.simpleString().startswith("map")
 
