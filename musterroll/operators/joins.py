@@ -28,7 +28,7 @@ def join_on_key(
     right_key: str,
     how: str = "left",
     normalize: bool = True,
-    spread: int = SPREAD,
+    spread: int | None = SPREAD,
 ) -> DataFrame:
     """Join two registers on a key that may be written with leading zeros.
 
@@ -38,6 +38,9 @@ def join_on_key(
     from the task that read it, so copies of one row part ways and a recomputed
     task sends every row where it went before.  Whether the right side is
     broadcast is left to Spark's size check.
+
+    Finding the hot keys reads the left key column once more.  ``spread=None`` skips
+    that, for a left side whose keys cannot be hot (say, one aggregated by them).
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -50,6 +53,12 @@ def join_on_key(
         return F.col(key).cast("string") if _is_integer(df, key) else normalize_key(F.col(key))
 
     rows = left.withColumn("_key", prepare(left, left_key))
+    other = right.withColumn("_rkey", prepare(right, right_key)).where(F.col("_rkey").isNotNull())
+    if how in ("left_semi", "left_anti"):
+        other = other.select("_rkey").distinct()
+    if spread is None:
+        return rows.join(other, F.col("_key") == F.col("_rkey"), how).drop("_key", "_rkey")
+
     hot = F.broadcast(hot_keys(rows, "_key"))
     content = [c for c in left.columns if _hashable(left, c)]
     rows = rows.withColumn("_spread", F.xxhash64(*content, F.spark_partition_id()))
@@ -58,9 +67,6 @@ def join_on_key(
         "_salt", F.when(hit, F.pmod("_spread", F.lit(spread))).otherwise(0)
     ).drop("_hot", "_spread")
 
-    other = right.withColumn("_rkey", prepare(right, right_key)).where(F.col("_rkey").isNotNull())
-    if how in ("left_semi", "left_anti"):
-        other = other.select("_rkey").distinct()
     other = other.join(hot, other["_rkey"] == hot["_hot"], "left").withColumn(
         "_rsalt",
         F.explode(

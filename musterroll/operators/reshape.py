@@ -154,6 +154,13 @@ def transposed_observations(
     )
 
 
+def with_labels(observations: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """Observations whose source label occurs in a table of labels."""
+    label = F.try_element_at("dimensions", F.lit("metric_source_label"))
+    wanted = labels.select(F.col(column).alias("_wanted")).distinct()
+    return observations.join(wanted, label == F.col("_wanted"), "left_semi")
+
+
 def observation_schema() -> T.StructType:
     text = T.StringType()
     return T.StructType(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +14,10 @@ from musterroll.functions.periods import check_period_range
 from musterroll.operators import filters as flt
 from musterroll.operators import reshape, summaries, topk
 from musterroll.operators.project import project, quoted
+from musterroll.operators.search import closest_values
 from musterroll.plans import catalog as cat
-from musterroll.sources.delimited import read_delimited
+from musterroll.sources.carve import carve, with_row_number
+from musterroll.sources.delimited import read_delimited, read_grid
 from musterroll.sources.tables import UNFILTERED_ROWS, first_rows, materialise
 from musterroll.specs.model import Catalog, TableSpec
 from musterroll.specs.registers import TRUNCATION_SUFFIX
@@ -52,13 +56,29 @@ class Engine:
         (self._clean.add if materialised else self._clean.discard)(key)
         return self
 
+    def read_files(
+        self, table_id: str, paths: str | Sequence[str], encoding: str = "auto"
+    ) -> DataFrame:
+        """The raw files of a register as a text table, carved where its spec says so."""
+        spec = self.catalog.get(table_id)
+        first = spec.header_row + 1
+        if spec.header_row == 1 and spec.max_rows is None and spec.data_start_row in (None, first):
+            return read_delimited(self.spark, paths, encoding=encoding, multiline=spec.multiline)
+        grid = read_grid(self.spark, paths, encoding=encoding, multiline=spec.multiline)
+        return carve(with_row_number(grid), spec.header_row, spec.data_start_row, spec.max_rows)
+
     def ingest(
-        self, table_id: str, paths: str | Sequence[str], target: str, encoding: str = "auto"
+        self,
+        table_id: str,
+        paths: str | Sequence[str],
+        target: str,
+        encoding: str = "auto",
+        cluster_by: Sequence[str] = (),
     ) -> int:
         """Convert the raw files of a register to clean Parquet and bind it; returns its rows."""
         spec = self.catalog.get(table_id)
-        raw = read_delimited(self.spark, paths, encoding=encoding, multiline=spec.multiline)
-        rows = materialise(raw, target, spec=spec)
+        raw = self.read_files(table_id, paths, encoding)
+        rows = materialise(raw, target, spec=spec, cluster_by=cluster_by)
         self.bind(spec.id, target, materialised=True)
         return rows
 
@@ -103,7 +123,7 @@ class Engine:
         start, end = check_period_range(start_period, end_period)
         wanted = flt.parse_filters(filters)
         bounded = spec.layout == "wide" and bool(start or end)
-        if bounded and date_column is None:
+        if bounded and date_column not in [c.key for c in spec.columns]:
             raise ValueError(f"name the date column of {spec.id!r} the period bounds apply to")
         whole = wanted or bounded or not spec.large
         df = project(self.table(spec.id) if whole else self._guarded(spec.id), spec)
@@ -190,10 +210,24 @@ class Engine:
         return topk.limited(out, order_by, limit)
 
     def summary(self, table_id: str, **arguments: object) -> DataFrame:
-        """One row that describes the result of a query with the same arguments."""
+        """One row that describes the result of a query, and echoes what was asked."""
         spec = self.catalog.get(table_id)
         start, end = arguments.get("start_period"), arguments.get("end_period")
-        return summaries.summary(self.query(table_id, **arguments), spec, start, end)
+        row = summaries.summary(self.query(table_id, **arguments), spec, start, end)
+        asked = dict(arguments, filters=flt.parse_filters(arguments.get("filters")))
+        asked = {k: v for k, v in asked.items() if v not in (None, {})}
+        return row.withColumn("query", F.lit(json.dumps(asked, sort_keys=True)))
+
+    def suggest(self, table_id: str, key: str, value: str) -> DataFrame:
+        """Help for a filter value that finds nothing: near values, or the range of years.
+
+        A job of its own, so that a query never has to run twice to explain itself.
+        """
+        spec = self.spec(table_id)
+        rows = project(self.table(table_id), spec).select(quoted(spec.check_filter_key(key)))
+        if re.fullmatch("[0-9]{4}", value.strip()) and key not in spec.enums:
+            return summaries.year_hint(rows, key, int(value))
+        return closest_values(rows, key, value.strip())
 
     def search(self, query: str, limit: int = 10) -> DataFrame:
         return cat.search(self.spark, self.catalog, query, limit)

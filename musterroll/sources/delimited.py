@@ -196,6 +196,21 @@ def read_delimited(
     return table.select(*[null_tokens(quoted(n)).alias(n) for n in table.columns])
 
 
+def read_grid(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    delimiter: str | None = None,
+    encoding: str = "auto",
+    multiline: bool = True,
+) -> DataFrame:
+    """A sheet-like file as a grid of text cells without a header."""
+    groups = file_groups(spark, path, delimiter, encoding)
+    if len(groups) != 1 or len(groups[0].paths) != 1:
+        raise ValueError("a grid is read from exactly one file")
+    one = groups[0]
+    return scan(spark, one.paths, one.delimiter, one.encoding, multiline, header=False)
+
+
 def date_from_path(path: Column, pattern: str = DATE_IN_NAME, fmt: str = "yyyyMMdd") -> Column:
     """Date written in a file's name, or elsewhere in its path by another pattern."""
     return F.try_to_date(F.regexp_extract(path, pattern, 1), fmt)

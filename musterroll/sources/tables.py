@@ -102,12 +102,18 @@ def write_csv(
 
 
 def materialise(
-    raw: DataFrame, path: str, columns: Sequence[str] | None = None, spec: TableSpec | None = None
+    raw: DataFrame,
+    path: str,
+    columns: Sequence[str] | None = None,
+    spec: TableSpec | None = None,
+    cluster_by: Sequence[str] = (),
 ) -> int:
     """Convert a raw text table to Parquet once, so that queries scan columns.
 
     With a spec the table is written clean under friendly names, which lets later
-    filters reach the scan.  An empty input is an error and leaves an earlier
+    filters reach the scan.  ``cluster_by`` sorts the files by columns, so that exact
+    lookups skip most row groups; a hash of row and reading task as last sort key
+    lets a hot value, and copies of one row, spread over several files.  An empty input is an error and leaves an earlier
     table as it was.
     """
     table = raw if columns is None else raw.select(*[quoted(c) for c in columns])
@@ -115,6 +121,11 @@ def materialise(
         table = project(table, spec)
     if table.isEmpty():
         raise ValueError("the input has no rows (a header alone, or a cut-off file)")
+    if cluster_by:
+        spread = F.xxhash64(*[quoted(c) for c in table.columns], F.spark_partition_id())
+        order = [*[quoted(c) for c in cluster_by], F.col("_spread")]
+        table = table.withColumn("_spread", spread)
+        table = table.repartitionByRange(*order).sortWithinPartitions(*order).drop("_spread")
     return write_parquet(table, path)
 
 

@@ -169,6 +169,23 @@ def transposed_range(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@check(f"""
+    SELECT period, label AS measure, value, 'Units' AS unit, label AS source_label
+    FROM ({_BY_MONTH})
+    WHERE label IN (SELECT 'Flag ' || l_returnflag FROM lineitem
+                    GROUP BY l_returnflag HAVING avg(l_discount) < 1 AND l_returnflag <> 'N')
+""")
+def transposed_label_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The wanted labels come from a table instead of a list."""
+    table = project(monthly(spark, folder), _OPEN)
+    flags = load(spark, folder, "lineitem").groupBy("l_returnflag").agg(F.avg("l_discount").alias("d"))
+    wanted = flags.where((F.col("d") < 1) & (F.col("l_returnflag") != "N")).select(
+        F.concat(F.lit("Flag "), "l_returnflag").alias("label")
+    )
+    long = reshape.transposed_observations(table, _OPEN)
+    return _with_label(reshape.with_labels(long, wanted, "label"))
+
+
 def flagged(spark: SparkSession, folder: str) -> DataFrame:
     """Long observations straight from the lines: period is the shipping day."""
     lineitem = load(spark, folder, "lineitem")

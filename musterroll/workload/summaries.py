@@ -173,6 +173,17 @@ def duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
     return audit.duplicate_keys(lines(spark, folder), short_key)
 
 
+@check("""
+    SELECT 'register_name' AS key, TRUE AS constant, 'Customers' AS smallest FROM customer GROUP BY 1
+    UNION ALL
+    SELECT 'segment', min(c_mktsegment) = max(c_mktsegment), min(c_mktsegment) FROM customer
+""")
+def constant_columns(spark: SparkSession, folder: str) -> DataFrame:
+    rows = project(load(spark, folder, "customer"), CUSTOMER)
+    named = rows.withColumn("register_name", F.lit("Customers"))
+    return audit.constant_columns(named, ["register_name", "segment"])
+
+
 @check("""
     SELECT key, role, unit, filled FROM (
         SELECT 'customer_key' AS key, 'id' AS role, NULL AS unit, count(c_custkey) AS filled

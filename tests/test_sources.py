@@ -6,6 +6,7 @@ from musterroll.operators.project import project
 from musterroll.sources import delimited as D
 from musterroll.sources import tables as S
 from musterroll.sources.carve import carve, with_row_number
+from musterroll.specs.loading import spec_from_mapping
 from musterroll.specs.registers import BUSINESS_NAMES, COMPANIES, SHORT_POSITIONS
 from musterroll.streaming.incremental import daily_files, load_new_files
 
@@ -284,3 +285,51 @@ def test_unfiltered_large_table_is_guarded(spark, tmp_path, monkeypatch):
     raw.write.parquet(str(tmp_path / "bn"))
     assert engine.bind("BUSINESS_NAMES", str(tmp_path / "bn")).query("BUSINESS_NAMES").count() == 5
     assert engine.query("BUSINESS_NAMES", {"business_name": "1"}).count() == 11
+
+
+def test_carved_register_and_clustered_files(spark, tmp_path):
+    spec = spec_from_mapping({
+        "id": "SHEETS", "name": "Sheets", "header_row": 3, "data_start_row": 5, "max_rows": 2,
+        "columns": {
+            "code": {"source_column": "Code", "role": "id"},
+            "amount": {"source_column": "Amount", "dtype": "int"},
+        },
+    })
+    lines = ["Some title\t", "\t", " Code \tAmount", "-\t-", "a\t1", "b\t2", "Source: x\t"]
+    (tmp_path / "sheet.txt").write_text("\n".join(lines) + "\n")
+    engine = Engine(spark, Catalog([spec]))
+    target = str(tmp_path / "out")
+    # blank cells of the grid are null, and only the rows of the sub-table remain
+    assert engine.ingest("SHEETS", str(tmp_path / "sheet.txt"), target, cluster_by=["code"]) == 2
+    assert sorted(collect(spark.read.parquet(target))) == [("a", 1), ("b", 2)]
+
+
+def test_clustered_files_skip_row_groups(spark, tmp_path):
+    target = str(tmp_path / "t")
+    rows = spark.range(0, 4000, numPartitions=4).select(
+        F.format_string("%09d", (F.col("id") * 7919) % 4000).alias("acn"), F.lit("x").alias("n")
+    )
+    hot = spark.range(0, 3000, numPartitions=8).select(F.lit("000000042").alias("acn"), F.lit("copy").alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert S.materialise(rows.unionByName(hot), target, cluster_by=["acn"]) == 7000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.read.parquet(target).select(F.col("_metadata.file_path").alias("f"), "acn")
+    holding = files.where("acn = '000003000'").select("f").distinct().count()
+    spread = files.where("acn = '000000042'").select("f").distinct().count()
+    assert holding == 1 and spread > 1
+
+
+def test_suggestions(companies):
+    near = companies.suggest("COMPANIES", "company_name", "ACME BANK PTY LDT").collect()
+    assert near[0]["company_name"] == "ACME BANK PTY LTD"
+    hint = companies.suggest("COMPANIES", "current_name", "2020").head()
+    assert hint["requested"] == 2020 and hint["direction"] is None
+    with pytest.raises(ValueError, match="not a column"):
+        companies.suggest("COMPANIES", "nope", "x")
+
+
+def test_summary_echoes_the_query(companies):
+    row = companies.summary("COMPANIES", filters='{"status": "active"}').head()
+    assert row["row_count"] == 3 and row["query"] == '{"filters": {"status": "active"}}'

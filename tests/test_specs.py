@@ -1,10 +1,12 @@
 import dataclasses
+import json
 
 import pytest
 
 from musterroll import REGISTERS, Catalog, TableSpec
 from musterroll.functions.regions import STATE_NAMES
 from musterroll.specs import columns
+from musterroll.specs.loading import load_folder, spec_from_mapping
 from musterroll.specs.model import normalize_id
 from musterroll.specs.tables import LINEITEM, SAMPLE_TABLES
 
@@ -156,3 +158,54 @@ def test_materialised_spec_reads_friendly_names():
     spec = CATALOG.get("COMPANIES").materialised().validate()
     assert {c.source for c in spec.columns} == {c.key for c in spec.columns}
     assert {c.dtype for c in spec.columns} == {"native"}
+
+
+MAPPING = {
+    "id": "SHEETS",
+    "name": "Sheets",
+    "format": "CSV",
+    "layout": "wide",
+    "update_frequency": "monthly",
+    "search_keywords": ["sheets"],
+    "header_row": 3,
+    "max_rows": 2,
+    "columns": {
+        "code": {"source_column": "Code", "role": "id"},
+        "start_date": {"source_column": "Start", "role": "dimension", "dtype": "string"},
+        "state": {"source_column": "State", "role": "dimension"},
+        "amount": {"source_column": "Amount", "dtype": "int", "unit": "AUD"},
+    },
+    "dimension_values": {"state": {"nsw": "NSW"}, "code": None},
+}
+
+
+def test_spec_from_a_mapping(tmp_path):
+    spec = spec_from_mapping(MAPPING)
+    assert [c.dtype for c in spec.columns] == ["string", "date", "string", "long"]
+    assert spec.measure_keys == ["amount"] and spec.enums == {"state": {"nsw": "NSW"}}
+    assert (spec.cadence, spec.header_row, spec.max_rows) == ("monthly", 3, 2)
+    (tmp_path / "sheets.json").write_text(json.dumps(MAPPING))
+    catalog = load_folder(tmp_path, Catalog(REGISTERS))
+    assert catalog.get("sheets") == spec and len(catalog.ids()) == 14
+    (tmp_path / "again.json").write_text(json.dumps(MAPPING))
+    with pytest.raises(ValueError, match="duplicate"):
+        load_folder(tmp_path)
+
+
+@pytest.mark.parametrize(
+    "change, message",
+    [
+        ({"format": "pdf"}, "format must be"),
+        ({"layout": "tall"}, "layout must be"),
+        ({"discovery": "x"}, "discovery must be"),
+        ({"columns": {"a": "b"}}, "must be a mapping"),
+        ({"columns": {"a": {"role": "id"}}}, "lacks 'source_column'"),
+        ({"columns": {"a": {"source_column": "A", "dtype": "blob"}}}, "unknown dtype"),
+        ({"dimension_values": {"state": ["nsw"]}}, "must be a mapping"),
+    ],
+)
+def test_bad_mappings(change, message):
+    with pytest.raises(ValueError, match=message):
+        spec_from_mapping(MAPPING | change)
+    with pytest.raises(ValueError, match="must be a mapping"):
+        spec_from_mapping([1])
