@@ -79,16 +79,21 @@ def first_in_order(df: DataFrame, order_by: Sequence[str | Column], limit: int)
 
 
 def limited(
-    df: DataFrame, order_by: Sequence[str | Column], limit: int = DEFAULT_LIMIT
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    limit: int = DEFAULT_LIMIT,
+    with_count: bool = True,
 ) -> DataFrame:
     """The first rows in a given order, with the full count where rows were cut.
 
     ``truncated_at`` is the count of all rows if there are more than ``limit``, else
-    null.
+    null.  The count is a pass of its own; without it there is no such column.
     """
     check_limit(limit)
-    total = df.agg(F.count("*")).scalar()
     top = first_in_order(df, order_by, limit)
+    if not with_count:
+        return top
+    total = df.agg(F.count("*")).scalar()
     return top.withColumn("truncated_at", F.when(total > limit, total))
 
 

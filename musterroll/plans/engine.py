@@ -48,8 +48,8 @@ class Engine:
     ) -> Engine:
         """Tie a table to its data.
 
-        ``materialised`` data is already clean and under friendly names, so filters
-        reach its scan.
+        ``materialised`` data is what :meth:`ingest` writes: clean, under friendly names
+        and without blank rows, so filters reach its scan.
         """
         key = self.catalog.get(table_id).id
         self._bound[key] = source
@@ -128,9 +128,10 @@ class Engine:
         whole = wanted or bounded or not spec.large
         df = project(self.table(spec.id) if whole else self._guarded(spec.id), spec)
         dimensions = [c.key for c in spec.with_role("dimension")]
-        if not any(k in dimensions for k in [*wanted, date_column if bounded else None]):
-            # a filter on a dimension keeps no blank row anyway, and then the
-            # other dimensions need not be read
+        asked = [*wanted, date_column if bounded else None]
+        if spec.id not in self._clean and not any(k in dimensions for k in asked):
+            # a filter on a dimension keeps no blank row anyway, and then the other
+            # dimensions need not be read
             df = flt.drop_blank_rows(df, dimensions)
         df = flt.apply_filters(df, spec, wanted)
         if bounded:
@@ -153,7 +154,12 @@ class Engine:
     ) -> DataFrame:
         if spec.layout == "transposed":
             return reshape.transposed_observations(rows, spec, measures, start, end)
-        return reshape.wide_observations(rows, spec, measures)
+        return reshape.wide_observations(rows, spec, measures, filled=self._filled(spec))
+
+    @staticmethod
+    def _filled(spec: TableSpec) -> bool:
+        """Rows have a filled dimension: blank ones are gone if there is any dimension."""
+        return bool(spec.with_role("dimension"))
 
     def query(
         self,
@@ -177,7 +183,7 @@ class Engine:
         start, end = check_period_range(start_period, end_period)
         rows = self.rows(table_id, filters, start, end, date_column, full_text)
         if form == "csv" and spec.layout == "wide":
-            return reshape.wide_flat(rows, spec, measures)
+            return reshape.wide_flat(rows, spec, measures, filled=self._filled(spec))
         out = self._observations(spec, rows, measures, start, end)
         if last_n:
             out = topk.last_n(out, last_n, has_periods=spec.layout == "transposed")
@@ -194,11 +200,12 @@ class Engine:
         limit: int = topk.DEFAULT_LIMIT,
         order_by: Sequence[str | Column] | None = None,
         full_text: bool = False,
+        with_count: bool = True,
     ) -> DataFrame:
         """The newest observation per measure, at most ``limit`` rows in a stated order.
 
-        ``truncated_at`` holds the full count where rows were cut.  The order
-        defaults to the id columns of the table.
+        ``truncated_at`` holds the full count where rows were cut (``with_count=False``
+        saves that pass).  The order defaults to the id columns of the table.
         """
         spec = self.catalog.get(table_id)
         topk.check_limit(limit)
@@ -207,7 +214,7 @@ class Engine:
             ids = [c.key for c in spec.with_role("id")] or spec.dimension_keys
             order_by = [F.try_element_at("dimensions", F.lit(k)) for k in ids]
             order_by += [F.col("measure"), F.col("period"), F.to_json("dimensions")]
-        return topk.limited(out, order_by, limit)
+        return topk.limited(out, order_by, limit, with_count)
 
     def summary(self, table_id: str, **arguments: object) -> DataFrame:
         """One row that describes the result of a query, and echoes what was asked."""

@@ -80,12 +80,14 @@ def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     paths = [paths] if isinstance(paths, str) else list(paths)
     undefined = "[" + "".join(f"\\x{b:02X}" for b in UNDEFINED_1252) + "]"
     raw = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    valid = F.is_valid_utf8("value")
+    ascii_only = valid & (F.octet_length("value") == F.length("value"))
     return (
         spark.read.text(paths)
         .select(
             F.col("_metadata.file_path").alias("path"),
-            F.is_valid_utf8("value").alias("utf8"),
-            raw.rlike(undefined).alias("undefined"),
+            valid.alias("utf8"),
+            F.when(ascii_only, False).otherwise(raw.rlike(undefined)).alias("undefined"),
         )
         .groupBy("path")
         .agg(F.bool_and("utf8").alias("utf8"), F.bool_or("undefined").alias("undefined"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from musterroll.operators.filters import drop_blank_rows
 from musterroll.operators.project import project, quoted
 from musterroll.specs.model import Catalog, TableSpec, some
 
@@ -110,15 +111,15 @@ def materialise(
 ) -> int:
     """Convert a raw text table to Parquet once, so that queries scan columns.
 
-    With a spec the table is written clean under friendly names, which lets later
-    filters reach the scan.  ``cluster_by`` sorts the files by columns, so that exact
+    With a spec the table is written clean under friendly names and without blank
+    rows, which lets later filters reach the scan.  ``cluster_by`` sorts the files by columns, so that exact
     lookups skip most row groups; a hash of row and reading task as last sort key
     lets a hot value, and copies of one row, spread over several files.  An empty input is an error and leaves an earlier
     table as it was.
     """
     table = raw if columns is None else raw.select(*[quoted(c) for c in columns])
     if spec is not None:
-        table = project(table, spec)
+        table = drop_blank_rows(project(table, spec), [c.key for c in spec.with_role("dimension")])
     if table.isEmpty():
         raise ValueError("the input has no rows (a header alone, or a cut-off file)")
     if cluster_by:

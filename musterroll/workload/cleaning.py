@@ -174,12 +174,13 @@ def truncate_long_text(spark: SparkSession, folder: str) -> DataFrame:
 
 @check("""
     WITH written AS (
-        SELECT c_custkey, c_nationkey % 5 AS form, CAST(floor(abs(c_acctbal)) AS INT) AS number
+        SELECT c_custkey, c_mktsegment AS form, CAST(floor(abs(c_acctbal)) AS INT) AS number
         FROM customer
     )
     SELECT c_custkey,
            CASE form
-             WHEN 0 THEN 'NSW' WHEN 1 THEN 'QLD' WHEN 2 THEN 'TAS' WHEN 3 THEN NULL
+             WHEN 'BUILDING' THEN 'NSW' WHEN 'HOUSEHOLD' THEN 'QLD' WHEN 'MACHINERY' THEN 'TAS'
+             WHEN 'FURNITURE' THEN NULL
              ELSE CASE
                WHEN number BETWEEN 200 AND 299 OR number BETWEEN 2600 AND 2618
                     OR number BETWEEN 2900 AND 2920 THEN 'ACT'
@@ -194,13 +195,13 @@ def truncate_long_text(spark: SparkSession, folder: str) -> DataFrame:
     FROM written
 """)
 def region_normalize(spark: SparkSession, folder: str) -> DataFrame:
-    form = F.col("c_nationkey") % 5
+    form = F.col("c_mktsegment")
     postcode = F.lpad(F.floor(F.abs("c_acctbal")).cast("string"), 4, "0")
     text = (
-        F.when(form == 0, " new South Wales ")
-        .when(form == 1, "au-qld")
-        .when(form == 2, "Tassie")
-        .when(form == 3, F.col("c_name"))
+        F.when(form == "BUILDING", " new South Wales ")
+        .when(form == "HOUSEHOLD", "au-qld")
+        .when(form == "MACHINERY", "Tassie")
+        .when(form == "FURNITURE", F.col("c_name"))
         .otherwise(postcode)
     )
     return load(spark, folder, "customer").select(

@@ -48,18 +48,14 @@ def enrich_chain(spark: SparkSession, folder: str) -> DataFrame:
 @check("""
     SELECT event_id, flag, n_name FROM (
         SELECT event_id, CASE WHEN event_type = 'error' THEN NULL
-                              WHEN user_id > 10 THEN 7 ELSE user_id % 25 END AS flag
+                              ELSE least(user_id, 7) END AS flag
         FROM events)
     LEFT JOIN nation ON flag = n_nationkey
 """)
 def enrich_skewed(spark: SparkSession, folder: str) -> DataFrame:
     """One key holds most rows and another fifth has none: both are spread."""
-    flag = (
-        F.when(F.col("event_type") == "error", F.lit(None))
-        .when(F.col("user_id") > 10, F.lit(7))
-        .otherwise(F.col("user_id") % 25)
-    )
-    events = load(spark, folder, "events").select("event_id", flag.cast("bigint").alias("flag"))
+    flag = F.when(F.col("event_type") != "error", F.least("user_id", F.lit(7).cast("bigint")))
+    events = load(spark, folder, "events").select("event_id", flag.alias("flag"))
     return J.enrich(events, load(spark, folder, "nation"), "flag", "n_nationkey", ["n_name"]).select(
         "event_id", "flag", "n_name"
     )

@@ -206,7 +206,7 @@ def flagged(spark: SparkSession, folder: str) -> DataFrame:
     SELECT l_returnflag AS measure, 'Units' AS unit, count(*) AS n, sum(l_quantity) AS total,
            strftime(min(l_shipdate), '%Y-%m-%d') AS first_period,
            strftime(max(l_shipdate), '%Y-%m-%d') AS last_period,
-           sum(l_orderkey) AS order_sum, TRUE AS ordered
+           CAST(sum(l_orderkey) AS BIGINT) AS order_sum
     FROM lineitem GROUP BY 1
 """)
 def series(spark: SparkSession, folder: str) -> DataFrame:
@@ -226,21 +226,12 @@ def series(spark: SparkSession, folder: str) -> DataFrame:
         F.array_min(periods).alias("low"),
         F.array_max(periods).alias("high"),
     )
-    spans = F.sort_array(F.collect_list(F.struct("chunk", "low", "high")))
-
-    # chunks follow each other by month: none starts before the one ahead of it ends
-    def follows(acc, x):
-        low, high = F.substring(x["low"], 1, 7), F.substring(x["high"], 1, 7)
-        return F.struct(high.alias("end"), (acc["ok"] & (acc["end"] <= low)).alias("ok"))
-
-    start = F.struct(F.lit("").alias("end"), F.lit(True).alias("ok"))
     return per_chunk.groupBy("measure", "unit").agg(
         F.sum("n").alias("n"),
         F.sum("total").alias("total"),
         F.min("low").alias("first_period"),
         F.max("high").alias("last_period"),
         F.sum("order_sum").alias("order_sum"),
-        F.aggregate(spans, start, follows, lambda acc: acc["ok"]).alias("ordered"),
     )
 
 
