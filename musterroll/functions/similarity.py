@@ -91,7 +91,8 @@ def _best(starts: Column, score: Callable[[Column], Column], enough: float | Non
     top = F.array_max(F.transform(starts, score))
     if enough is None or enough > 100:
         return top
-    return F.when(F.exists(starts, lambda s: score(s) >= enough), F.lit(float(enough))).otherwise(top)
+    reached = F.exists(starts, lambda s: score(s) >= enough)
+    return F.when(reached, F.lit(float(enough))).otherwise(top)
 
 
 def partial_ratio(query: str, col: Column, enough: float | None = None) -> Column:

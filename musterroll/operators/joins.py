@@ -84,7 +84,7 @@ def _is_integer(df: DataFrame, column: str) -> bool:
 
 
 def _hashable(df: DataFrame, column: str) -> bool:
-    return not df.schema[column].dataType.simpleString().startswith("map")
+    return "map<" not in df.schema[column].dataType.simpleString()
 
 
 def enrich(

@@ -132,6 +132,8 @@ def scan(
         .option("quote", '"')
         .option("escape", '"')
         .option("inferSchema", False)
+        # a file whose header differs is an error, never read by position
+        .option("enforceSchema", False)
         .csv([paths] if isinstance(paths, str) else list(paths))
     )
     names = [normalize_header(n) for n in df.columns]

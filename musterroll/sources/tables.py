@@ -112,10 +112,10 @@ def materialise(
     """Convert a raw text table to Parquet once, so that queries scan columns.
 
     With a spec the table is written clean under friendly names and without blank
-    rows, which lets later filters reach the scan.  ``cluster_by`` sorts the files by columns, so that exact
-    lookups skip most row groups; a hash of row and reading task as last sort key
-    lets a hot value, and copies of one row, spread over several files.  An empty input is an error and leaves an earlier
-    table as it was.
+    rows, which lets later filters reach the scan.  ``cluster_by`` sorts the files by
+    columns, so that exact lookups skip most row groups; a hash of row and reading
+    task as last sort key lets a hot value, and copies of one row, spread over
+    several files.  An empty input is an error and leaves an earlier table as it was.
     """
     table = raw if columns is None else raw.select(*[quoted(c) for c in columns])
     if spec is not None:

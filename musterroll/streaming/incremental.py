@@ -33,6 +33,7 @@ def daily_files(
         .option("sep", delimiter)
         .option("quote", '"')
         .option("escape", '"')
+        .option("enforceSchema", False)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
         .withColumn(date_column, date_from_path(F.col("_metadata.file_path"), pattern))

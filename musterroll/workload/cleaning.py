@@ -128,7 +128,7 @@ def coercion_quality(spark: SparkSession, folder: str) -> DataFrame:
            CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'Permanent banning'
                 ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
            CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL
-                ELSE year(o_orderdate) END AS order_year
+                ELSE CAST(year(o_orderdate) AS INT) END AS order_year
     FROM orders
 """)
 def date_iso(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,7 +11,7 @@ from musterroll.operators import reshape
 from musterroll.operators.project import project
 from musterroll.plans.engine import Engine
 from musterroll.specs.model import Catalog
-from musterroll.specs.tables import CUSTOMER, LINEITEM, ORDERS, PART, SAMPLE_TABLES
+from musterroll.specs.tables import CUSTOMER, LINEITEM, SAMPLE_TABLES
 from musterroll.workload.base import check, load
 
 
@@ -226,5 +226,3 @@ def filter_then_count(spark: SparkSession, folder: str) -> DataFrame:
     kept = flt.apply_filters(rows, LINEITEM, {"return_flag": "returned", "line_status": "open"})
     return kept.groupBy("return_flag", "line_status").agg(F.count("*").alias("n_rows"))
 
-
-__all__ = ["engine", "ORDERS", "PART"]

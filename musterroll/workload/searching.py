@@ -62,7 +62,10 @@ def _words(text: str) -> str:
     return f"list_sort(list_distinct(string_split({text}, ' ')))"
 
 
-_WINDOW = f"substr(nm, CAST(greatest(i, 0) + 1 AS INT), CAST(least(i + {len(QUERY)}, length(nm)) - greatest(i, 0) AS INT))"
+_WINDOW = (
+    f"substr(nm, CAST(greatest(i, 0) + 1 AS INT), "
+    f"CAST(least(i + {len(QUERY)}, length(nm)) - greatest(i, 0) AS INT))"
+)
 _PARTIAL = (
     f"list_max(list_transform(range({1 - len(QUERY)}, length(nm)), lambda i: "
     f"200.0 * {_common(repr(QUERY), _WINDOW)} / ({len(QUERY)} + length({_WINDOW}))))"

@@ -70,8 +70,8 @@ def distinct_values(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @check("""
-    SELECT 2010 AS requested, min(year(o_orderdate)) AS first_year,
-           max(year(o_orderdate)) AS last_year, FALSE AS found, 'AFTER' AS direction
+    SELECT 2010 AS requested, CAST(min(year(o_orderdate)) AS INT) AS first_year,
+           CAST(max(year(o_orderdate)) AS INT) AS last_year, FALSE AS found, 'AFTER' AS direction
     FROM orders
 """)
 def year_hint(spark: SparkSession, folder: str) -> DataFrame:

@@ -333,3 +333,25 @@ def test_suggestions(companies):
 def test_summary_echoes_the_query(companies):
     row = companies.summary("COMPANIES", filters='{"status": "active"}').head()
     assert row["row_count"] == 3 and row["query"] == '{"filters": {"status": "active"}}'
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_byte_order_mark_and_pruned_columns(spark, tmp_path, multiline):
+    for name, row in (("a", "1,2,3"), ("b", "4,5,6")):
+        (tmp_path / f"{name}.csv").write_text(f"﻿A,B,C\n{row}\n", encoding="utf-8")
+    df = D.read_delimited(spark, str(tmp_path), multiline=multiline)
+    assert df.columns == ["A", "B", "C"]
+    assert sorted(collect(df)) == [("1", "2", "3"), ("4", "5", "6")]
+    assert sorted(collect(df.select("C", "A"))) == [("3", "1"), ("6", "4")]
+    assert df.count() == 2
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_a_file_with_another_header_is_never_read_by_position(spark, tmp_path, multiline):
+    (tmp_path / "d20240101.csv").write_text("A,B\n1,2\n")
+    (tmp_path / "d20240102.csv").write_text("B,A\n4,3\n")
+    rows = D.read_dated_files(spark, str(tmp_path), multiline=multiline)
+    with pytest.raises(Exception, match="(?i)header"):
+        rows.collect()
+    grouped = D.read_delimited(spark, str(tmp_path), multiline=multiline).select("A", "B")
+    assert sorted(collect(grouped)) == [("1", "2"), ("3", "4")]
