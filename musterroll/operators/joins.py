@@ -8,17 +8,34 @@ from pyspark.sql import types as T
 
 from musterroll.functions.cleaning import normalize_key
 
-# A key with more than this share of all left rows is spread over several tasks;
-# at most 1 / HOT_SHARE keys can exceed it, which bounds the table of hot keys.
-HOT_SHARE = 0.01
-SPREAD = 32
+# Keys are counted in this many hash buckets, so the count stays small however
+# many keys there are.  A bucket is hot when it holds more rows than one task
+# should, and far more than its even share; there can be no more hot buckets than
+# buckets, which bounds what is broadcast.
+BUCKETS = 16_384
+ROWS_PER_TASK = 4_000_000
+TIMES_EVEN_SHARE = 8
+MAX_SPREAD = 4_096
 
 
-def hot_keys(left: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows (counted map-side first)."""
-    counts = left.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_n"))
-    total = left.agg(F.count("*")).scalar()
-    return counts.where((F.col("_n") > total * share) & F.col("_hot").isNotNull()).select("_hot")
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def hot_buckets(rows: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Hash buckets of a key that hold too many rows for one task, and their spread.
+
+    Counted in every task first; at most :data:`BUCKETS` rows per task are shuffled.
+    """
+    counts = (
+        rows.where(F.col(key).isNotNull())
+        .groupBy(_bucket(key).alias("_hot"))
+        .agg(F.count("*").alias("_n"))
+    )
+    even = counts.agg(F.sum("_n")).scalar() / BUCKETS
+    limit = F.greatest(F.lit(float(rows_per_task)), even * TIMES_EVEN_SHARE)
+    spread = F.least(F.ceil(F.col("_n") / rows_per_task), F.lit(MAX_SPREAD))
+    return counts.where(F.col("_n") > limit).select("_hot", spread.cast("int").alias("_spread"))
 
 
 def join_on_key(
@@ -28,57 +45,69 @@ def join_on_key(
     right_key: str,
     how: str = "left",
     normalize: bool = True,
-    spread: int | None = SPREAD,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join two registers on a key that may be written with leading zeros.
 
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.  One key may hold a
-    third of the left rows: rows of such keys get a salt and meet one copy of the
+    third of the left rows: rows of hot keys get a salt and meet one copy of the
     right row per salt; null keys are salted too.  The salt comes from the row and
     from the task that read it, so copies of one row part ways and a recomputed
-    task sends every row where it went before.  Whether the right side is
-    broadcast is left to Spark's size check.
+    task sends every row where it went before.  Which keys are hot is counted
+    exactly, so both sides always agree.  Whether the right side is broadcast is
+    left to Spark's size check.
 
-    Finding the hot keys reads the left key column once more.  ``spread=None`` skips
-    that, for a left side whose keys cannot be hot (say, one aggregated by them).
+    Finding the hot keys reads the left key column once more.
+    ``rows_per_task=None`` skips that, for a left side whose keys cannot be hot (say,
+    one aggregated by them).
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    integers = _is_integer(left, left_key) and _is_integer(right, right_key)
-
-    def prepare(df: DataFrame, key: str) -> Column:
-        """The key to compare: integers as they are, text without leading zeros."""
-        if not normalize or integers:
-            return F.col(key)
-        return F.col(key).cast("string") if _is_integer(df, key) else normalize_key(F.col(key))
-
-    rows = left.withColumn("_key", prepare(left, left_key))
-    other = right.withColumn("_rkey", prepare(right, right_key)).where(F.col("_rkey").isNotNull())
+    rows = left.withColumn("_key", _comparable(left, left_key, normalize))
+    other = right.withColumn("_rkey", _comparable(right, right_key, normalize))
+    if rows.schema["_key"].dataType != other.schema["_rkey"].dataType:
+        rows = rows.withColumn("_key", F.col("_key").cast("string"))
+        other = other.withColumn("_rkey", F.col("_rkey").cast("string"))
+    other = other.where(F.col("_rkey").isNotNull())
     if how in ("left_semi", "left_anti"):
         other = other.select("_rkey").distinct()
-    if spread is None:
+    if rows_per_task is None:
         return rows.join(other, F.col("_key") == F.col("_rkey"), how).drop("_key", "_rkey")
 
-    hot = F.broadcast(hot_keys(rows, "_key"))
+    hot = F.broadcast(hot_buckets(rows, "_key", rows_per_task))
     content = [c for c in left.columns if _hashable(left, c)]
-    rows = rows.withColumn("_spread", F.xxhash64(*content, F.spark_partition_id()))
-    hit = F.col("_hot").isNotNull() | F.col("_key").isNull()
-    rows = rows.join(hot, rows["_key"] == hot["_hot"], "left").withColumn(
-        "_salt", F.when(hit, F.pmod("_spread", F.lit(spread))).otherwise(0)
-    ).drop("_hot", "_spread")
-
-    other = other.join(hot, other["_rkey"] == hot["_hot"], "left").withColumn(
-        "_rsalt",
-        F.explode(
-            F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    ).drop("_hot")
+    rows = rows.withColumns({
+        "_bucket": _bucket("_key"),
+        "_content": F.xxhash64(*content, F.spark_partition_id()),
+    })
+    salt = (
+        F.when(F.col("_key").isNull(), F.pmod("_content", F.lit(MAX_SPREAD)))
+        .when(F.col("_spread").isNotNull(), F.pmod("_content", F.col("_spread")))
+        .otherwise(0)
+    )
+    rows = (
+        rows.join(hot, F.col("_bucket") == F.col("_hot"), "left")
+        .withColumn("_salt", salt.cast("int"))
+        .drop("_bucket", "_content", "_hot", "_spread")
+    )
+    copies = F.sequence(F.lit(0), F.coalesce("_spread", F.lit(1)) - 1)
+    other = (
+        other.withColumn("_bucket", _bucket("_rkey"))
+        .join(hot, F.col("_bucket") == F.col("_hot"), "left")
+        .withColumn("_rsalt", F.explode(copies))
+        .drop("_bucket", "_hot", "_spread")
+    )
     on = (F.col("_key") == F.col("_rkey")) & (F.col("_salt") == F.col("_rsalt"))
     return rows.join(other, on, how).drop("_key", "_salt", "_rkey", "_rsalt")
 
 
+def _comparable(df: DataFrame, key: str, normalize: bool) -> Column:
+    """The key to compare: whole numbers as they are, text without leading zeros."""
+    if _is_integer(df, key):
+        return F.col(key).cast("bigint")
+    return normalize_key(F.col(key)) if normalize else F.col(key)
+
+
 def _is_integer(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.IntegralType)
 

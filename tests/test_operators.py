@@ -364,8 +364,9 @@ def test_last_alias_wins():
 # -- joins ---------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("rows_per_task", [20, joins.ROWS_PER_TASK, None])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_join_with_hot_and_null_keys(spark, how):
+def test_join_with_hot_and_null_keys(spark, how, rows_per_task):
     """A third of the rows share a key and are equal, another third have none."""
     left = (
         [("0007", "same")] * 300
@@ -375,7 +376,7 @@ def test_join_with_hot_and_null_keys(spark, how):
     right = [("7", "seven"), ("8", "eight"), ("8", "eight again"), ("500", "far"), (None, "no key")]
     l_df = spark.createDataFrame(left, "k string, v string").repartition(8)
     r_df = spark.createDataFrame(right, "code string, w string")
-    got = joins.join_on_key(l_df, r_df, "k", "code", how)
+    got = joins.join_on_key(l_df, r_df, "k", "code", how, rows_per_task=rows_per_task)
     a = l_df.withColumn("x", F.col("k").cast("int"))
     b = r_df.withColumn("y", F.col("code").cast("int"))
     want = a.join(b, F.col("x") == F.col("y"), how).drop("x", "y")
@@ -383,14 +384,38 @@ def test_join_with_hot_and_null_keys(spark, how):
     assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
 
 
+def test_key_types_need_not_agree(spark):
+    ints = spark.range(20).select(F.col("id").cast("int").alias("k"))
+    longs = spark.range(5, 30).select(F.col("id").alias("code"))
+    texts = longs.select(F.lpad(F.col("code").cast("string"), 6, "0").alias("code"))
+    for right in (longs, texts):
+        joined = joins.join_on_key(ints, right, "k", "code", "inner", rows_per_task=1)
+        assert sorted(r["k"] for r in joined.collect()) == list(range(5, 20))
+    plain = joins.join_on_key(ints, texts, "k", "code", "inner", normalize=False)
+    assert plain.count() == 0
+
+
 def test_hot_rows_are_spread(spark):
+    """Copies of one row under one key land in many tasks, and none is lost."""
     left = spark.range(0, 6400, numPartitions=16).select(F.lit("1").alias("k"), F.lit("copy").alias("v"))
-    assert [r[0] for r in joins.hot_keys(left, "k").collect()] == ["1"]
-    right = spark.createDataFrame([("1", "x")], "code string, w string")
-    joined = joins.join_on_key(left, right, "k", "code", "inner")
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
-    assert joined.count() == 6400
+    rest = spark.range(0, 640, numPartitions=16).select(
+        (F.col("id") + 2).cast("string").alias("k"), F.lit("row").alias("v")
+    )
+    hot = joins.hot_buckets(left.unionByName(rest), "k", 400).collect()
+    assert [r["_spread"] for r in hot] == [17] or [r["_spread"] for r in hot] == [16]
+    assert joins.hot_buckets(rest, "k", 400).count() == 0
+
+    right = spark.createDataFrame([("1", "x"), ("2", "y")], "code string, w string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.join_on_key(left.unionByName(rest), right, "k", "code", "inner", rows_per_task=400)
+        per_task = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in per_task) == 6401
+    assert len(per_task) >= 5 and max(r["count"] for r in per_task) < 6401 * 0.6
     with pytest.raises(ValueError, match="unsupported"):
         joins.join_on_key(left, right, "k", "code", "full")
 
