@@ -226,3 +226,59 @@ def filter_then_count(spark: SparkSession, folder: str) -> DataFrame:
     kept = flt.apply_filters(rows, LINEITEM, {"return_flag": "returned", "line_status": "open"})
     return kept.groupBy("return_flag", "line_status").agg(F.count("*").alias("n_rows"))
 
+
+
+@check("""
+    SELECT CAST(NULL AS VARCHAR) AS period, 'total_price' AS measure, o_totalprice AS value,
+           'AUD' AS unit, o_orderstatus AS status, o_orderpriority AS priority,
+           strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_date,
+           CAST(o_orderkey AS VARCHAR) AS order_key, CAST(o_custkey AS VARCHAR) AS customer_key
+    FROM orders WHERE o_orderpriority = '1-URGENT'
+""")
+def query_flat(spark: SparkSession, folder: str) -> DataFrame:
+    return engine(spark, folder).query("ORDERS", {"priority": "urgent"}, format="csv")
+
+
+@check("""
+    SELECT 'balance' AS measure, 'AUD' AS unit, count(*) AS n, count(DISTINCT c_custkey) AS n_keys
+    FROM customer WHERE contains(lower(c_mktsegment), 'build')
+""")
+def query_series(spark: SparkSession, folder: str) -> DataFrame:
+    series = engine(spark, folder).query("CUSTOMER", {"segment": "build"}, format="series")
+    keys = F.transform(
+        "observations", lambda o: F.try_element_at(o["dimensions"], F.lit("customer_key"))
+    )
+    sizes = series.select(
+        "measure",
+        "unit",
+        F.size("observations").cast("bigint").alias("n"),
+        F.size(F.array_distinct(keys)).cast("bigint").alias("n_keys"),
+    )
+    return sizes.groupBy("measure", "unit").agg(
+        F.sum("n").alias("n"), F.sum("n_keys").alias("n_keys")
+    )
+
+
+@check("""
+    SELECT 'LINEITEM' AS table_id, count(l_quantity) + count(l_extendedprice) + count(l_discount)
+               AS row_count,
+           CAST(NULL AS VARCHAR) AS unit, CAST(NULL AS VARCHAR) AS period_start,
+           '{"filters": {"return_flag": "returned"}}' AS query
+    FROM lineitem WHERE l_returnflag = 'R'
+""")
+def query_summary(spark: SparkSession, folder: str) -> DataFrame:
+    row = engine(spark, folder).summary("LINEITEM", filters={"return_flag": "returned"})
+    return row.select("table_id", "row_count", "unit", "period_start", "query")
+
+
+@check("""
+    SELECT doc_id, lang,
+           CASE WHEN length(text) > 200 THEN substr(text, 1, 200)
+                || '...[truncated, use include_full_authorisation=true to see full text]'
+                ELSE text END AS text
+    FROM documents WHERE contains(lower(text), 'the') AND lang IN ('en', 'de')
+""")
+def query_long_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The filter sees the whole text, the result shows its beginning."""
+    rows = engine(spark, folder).rows("DOCUMENTS", {"text": "THE*", "lang": ["en", "de"]})
+    return rows.select("doc_id", "lang", "text")

@@ -120,10 +120,49 @@ def closest_by_edits(spark: SparkSession, folder: str) -> DataFrame:
     return near.withColumn("similarity", F.round("similarity", 6))
 
 
-@check()
+WORD = "Custmer#000000721"
+
+
+def _longest_block(alo: str, ahi: str, blo: str, bhi: str) -> str:
+    """SQL for the longest equal stretch of two text ranges: its length and places.
+
+    Places are negated so that the first one is the largest among equal lengths.
+    """
+    prefix = (
+        f"list_max(list_filter(range(0, least({ahi} - i, {bhi} - j) + 1), lambda n: "
+        f"substr(a, CAST(i + 1 AS INT), CAST(n AS INT)) = "
+        f"substr('{WORD}', CAST(j + 1 AS INT), CAST(n AS INT))))"
+    )
+    return (
+        f"list_max(list_transform(range({alo}, {ahi}), lambda i: list_max(list_transform("
+        f"range({blo}, {bhi}), lambda j: {{'k': {prefix}, 'i': -i, 'j': -j}}))))"
+    )
+
+
+@check(f"""
+    WITH RECURSIVE names AS (SELECT DISTINCT c_name AS a FROM customer WHERE c_name IS NOT NULL),
+    blocks AS (
+        SELECT a, 0::BIGINT AS alo, length(a) AS ahi, 0::BIGINT AS blo,
+               {len(WORD)}::BIGINT AS bhi, {_longest_block('0', 'length(a)', '0', str(len(WORD)))} AS m
+        FROM names
+        UNION ALL
+        SELECT a, c.alo, c.ahi, c.blo, c.bhi,
+               {_longest_block('c.alo', 'c.ahi', 'c.blo', 'c.bhi')} AS m
+        FROM (
+            SELECT a, unnest([
+                {{'alo': alo, 'ahi': -m.i, 'blo': blo, 'bhi': -m.j}},
+                {{'alo': m.k - m.i, 'ahi': ahi, 'blo': m.k - m.j, 'bhi': bhi}}]) AS c
+            FROM blocks WHERE m.k > 0
+        ) WHERE c.alo < c.ahi AND c.blo < c.bhi
+    )
+    SELECT a AS c_name, round(2.0 * sum(m.k) / (length(a) + {len(WORD)}), 6)::DOUBLE AS similarity
+    FROM blocks GROUP BY a
+    HAVING 2.0 * sum(m.k) / (length(a) + {len(WORD)}) >= 0.7
+    ORDER BY 2.0 * sum(m.k) / (length(a) + {len(WORD)}) DESC, a DESC LIMIT 5
+""")
 def closest_values(spark: SparkSession, folder: str) -> DataFrame:
-    """Matching-block similarity has no SQL form; a test checks it by brute force."""
-    return fuzzy.closest_values(load(spark, folder, "customer"), "c_name", "Custmer#000000721", 5)
+    near = fuzzy.closest_values(load(spark, folder, "customer"), "c_name", WORD, 5)
+    return near.withColumn("similarity", F.round("similarity", 6))
 
 
 @check("""
