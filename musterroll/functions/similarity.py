@@ -114,7 +114,16 @@ def partial_ratio(query: str, col: Column, enough: float | None = None) -> Colum
             common = _common(F.slice(marks, low + 1, width), whole)
             return F.lit(200.0) * common / (n_query + width)
 
-        return _best(F.sequence(1 - n_query, F.size(marks) - 1), score, enough)
+        # A stretch gains nothing from an end character the query lacks: the one beside
+        # it, or without it, scores as well.  Stretches cut off by the end of the text
+        # are asked for their first character, all others for their last.
+        def worth(start: Column) -> Column:
+            last = start + n_query
+            edge = F.when(last <= F.size(marks), last).otherwise(start + 1)
+            return F.element_at(marks, edge) != 0
+
+        starts = F.filter(F.sequence(1 - n_query, F.size(marks) - 1), worth)
+        return F.coalesce(_best(starts, score, enough), F.lit(0.0))
 
     def in_query(marks: Column) -> Column:
         def score(start: Column) -> Column:

@@ -19,6 +19,9 @@ from musterroll.specs.model import TableSpec
 
 OBSERVATION = ("period", "measure", "value", "unit", "dimensions")
 
+# Chunk borders up to this number (some ten megabytes) are broadcast.
+MAX_BROADCAST_BORDERS = 100_000
+
 
 def no_text() -> Column:
     return F.lit(None).cast("string")
@@ -200,6 +203,31 @@ def dimension_names(observations: DataFrame) -> DataFrame:
     return observations.select(F.explode(F.map_keys("dimensions")).alias("name")).distinct()
 
 
+def _chunk_layout(rows: DataFrame, chunk_rows: int) -> DataFrame:
+    """Per measure and month the first and last chunk its rows belong to.
+
+    As small as measures times months; counted in every task first.  Counting per
+    unit too keeps the big aggregate a hash aggregate.
+    """
+    by_month = Window.partitionBy("_m").orderBy(F.col("_p").asc_nulls_first())
+    size = F.lit(chunk_rows)
+    upto = F.sum("_n").over(by_month.rowsBetween(Window.unboundedPreceding, 0))
+    first = F.floor((upto - F.col("_n")) / size)
+    return (
+        rows.groupBy(F.col("measure").alias("_m"), F.col("_month").alias("_p"), "unit")
+        .agg(F.count("*").alias("_n"))
+        .groupBy("_m", "_p")
+        .agg(F.sum("_n").alias("_n"), F.min("unit").alias("_u"))
+        .select(
+            "_m",
+            "_p",
+            F.min("_u").over(Window.partitionBy("_m")).alias("_u"),
+            first.alias("_first"),
+            F.when(F.col("_n") > size, F.floor((upto - 1) / size)).otherwise(first).alias("_last"),
+        )
+    )
+
+
 def series(observations: DataFrame, chunk_rows: int = 10_000) -> DataFrame:
     """Observations grouped into series per measure, in bounded chunks.
 
@@ -209,6 +237,9 @@ def series(observations: DataFrame, chunk_rows: int = 10_000) -> DataFrame:
     and a month larger than a chunk is spread over several.  The spread depends
     on the row and on the task that read it, so copies of one row part ways too
     and a recomputed task repeats its choice.
+
+    The borders are looked at when the plan is made: if there are few, as usual,
+    they are broadcast; otherwise they are joined.
     """
     rows = observations.select(
         F.coalesce(F.nullif("measure", F.lit("")), F.lit("value")).alias("measure"),
@@ -219,25 +250,11 @@ def series(observations: DataFrame, chunk_rows: int = 10_000) -> DataFrame:
             "period", "value", F.map_entries("dimensions"), F.spark_partition_id()
         ).alias("_spread"),
     )
-    by_month = Window.partitionBy("_m").orderBy(F.col("_p").asc_nulls_first())
-    earlier = by_month.rowsBetween(Window.unboundedPreceding, -1)
-    size = F.lit(chunk_rows)
-    first = F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / size)
-    end = F.floor((F.sum("_n").over(by_month.rowsBetween(Window.unboundedPreceding, 0)) - 1) / size)
-    # counting per unit too keeps the big aggregate a hash aggregate
-    layout = (
-        rows.groupBy(F.col("measure").alias("_m"), F.col("_month").alias("_p"), "unit")
-        .agg(F.count("*").alias("_n"))
-        .groupBy("_m", "_p")
-        .agg(F.sum("_n").alias("_n"), F.min("unit").alias("_u"))
-        .select(
-            "_m",
-            "_p",
-            F.min("_u").over(Window.partitionBy("_m")).alias("_u"),
-            first.alias("_first"),
-            F.when(F.col("_n") > size, end).otherwise(first).alias("_last"),
-        )
-    )
+    layout = _chunk_layout(rows, chunk_rows)
+    borders = layout.limit(MAX_BROADCAST_BORDERS + 1).collect()
+    if len(borders) <= MAX_BROADCAST_BORDERS:
+        layout = F.broadcast(observations.sparkSession.createDataFrame(borders, layout.schema))
+
     same_month = (F.col("measure") == F.col("_m")) & F.col("_month").eqNullSafe(F.col("_p"))
     chunk = F.col("_first") + F.pmod("_spread", F.col("_last") - F.col("_first") + 1)
     order = F.struct(
@@ -247,8 +264,16 @@ def series(observations: DataFrame, chunk_rows: int = 10_000) -> DataFrame:
     )
     return (
         rows.join(layout, same_month)
-        .groupBy("measure", F.col("_u").alias("unit"), chunk.alias("chunk"))
-        .agg(F.sort_array(F.collect_list(F.struct("_month", order.alias("o")))).alias("_list"))
+        .select(
+            "measure",
+            F.col("_u").alias("unit"),
+            chunk.alias("chunk"),
+            F.struct("_month", order.alias("o")).alias("_row"),
+        )
+        # lists do not shrink inside a task: bring the rows together first
+        .repartition("measure", "chunk")
+        .groupBy("measure", "unit", "chunk")
+        .agg(F.sort_array(F.collect_list("_row")).alias("_list"))
         .select(
             "measure",
             "unit",

@@ -265,7 +265,8 @@ def test_engine_on_a_transposed_table(sheet, spark):
         Engine(spark, Catalog([SHEET])).query("SHEET")
 
 
-def test_series_keeps_every_row_in_bounded_chunks(spark):
+@pytest.mark.parametrize("borders", [reshape.MAX_BROADCAST_BORDERS, 3])
+def test_series_keeps_every_row_in_bounded_chunks(spark, monkeypatch, borders):
     """A measure with most rows, one month with most of those, many of them equal."""
     hot = [("hot", "2024-05", 1.0, "a")] * 700 + [("hot", "2024-05", float(i), "b") for i in range(300)]
     rest = [("hot", f"20{y}-01", 1.0, "c") for y in range(10, 40)] + [("cold", None, 5.0, "d")] * 3
@@ -276,6 +277,7 @@ def test_series_keeps_every_row_in_bounded_chunks(spark):
         "period", "measure", "value", F.lit("u").alias("unit"),
         F.create_map(F.lit("k"), "k").alias("dimensions"),
     )
+    monkeypatch.setattr(reshape, "MAX_BROADCAST_BORDERS", borders)
     got = reshape.series(long, chunk_rows=100).orderBy("measure", "chunk").collect()
     back = [
         (r["measure"], o["period"], o["value"], o["dimensions"]["k"])
