@@ -18,6 +18,7 @@ WHITESPACE = (
 )
 NULL_TOKENS = ("", "NULL", "null")
 SOURCE_DATE_FORMAT = "d/M/yyyy"
+PADDED_DATE = r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"
 ISO_DATE_FORMAT = "yyyy-MM-dd"
 
 
@@ -70,17 +71,24 @@ def safe_number(col: Column) -> Column:
     return to_double(col)
 
 
+def date_to_iso(col: Column, fmt: str = SOURCE_DATE_FORMAT) -> Column:
+    """Day/month/year text becomes ISO text; anything else passes through.
+
+    Padded dates of the usual format are rearranged as text and checked by a cast;
+    only odd ones go through the much slower pattern parser.
+    """
+    parsed = F.coalesce(F.date_format(F.try_to_date(col, fmt), ISO_DATE_FORMAT), col)
+    if fmt != SOURCE_DATE_FORMAT:
+        return parsed
+    day, month, year = F.substring(col, 1, 2), F.substring(col, 4, 2), F.substring(col, 7, 4)
+    moved = F.concat_ws("-", year, month, day).try_cast("date").cast("string")
+    return F.when(col.rlike(PADDED_DATE), F.coalesce(moved, col)).otherwise(parsed)
+
+
 def parse_date(col: Column, fmt: str = SOURCE_DATE_FORMAT) -> Column:
     """Typed companion of a date text: day/month/year or ISO, else null."""
     text = strip_text(col)
-    return F.coalesce(
-        F.try_to_date(text, fmt), F.try_to_date(text, ISO_DATE_FORMAT)
-    )
-
-
-def date_to_iso(col: Column, fmt: str = SOURCE_DATE_FORMAT) -> Column:
-    """Day/month/year text becomes ISO text; anything else passes through."""
-    return F.coalesce(F.date_format(F.try_to_date(col, fmt), ISO_DATE_FORMAT), col)
+    return F.coalesce(F.try_to_date(text, fmt), F.try_to_date(text, ISO_DATE_FORMAT))
 
 
 def normalize_key(col: Column) -> Column:

@@ -23,12 +23,14 @@ def check_sources(df: DataFrame, spec: TableSpec) -> None:
         raise ValueError(f"table {spec.id!r} lacks expected columns: {some(missing, 5)}")
 
 
+def _is_raw_text(spec: ColumnSpec, source_type: T.DataType) -> bool:
+    return isinstance(source_type, T.StringType) and spec.dtype != "native"
+
+
 def typed(col: Column, spec: ColumnSpec, source_type: T.DataType) -> Column:
-    """One source column in the type its spec declares."""
+    """One column, its text already clean, in the type its spec declares."""
     is_text = isinstance(source_type, T.StringType)
     is_number = isinstance(source_type, T.NumericType)
-    if is_text and spec.dtype != "native":
-        col = C.null_tokens(C.strip_text(col))
     if spec.dtype == "long":
         return col.try_cast("bigint") if is_number else C.to_long(col)
     if spec.dtype == "double":
@@ -44,24 +46,49 @@ def typed(col: Column, spec: ColumnSpec, source_type: T.DataType) -> Column:
     return col
 
 
+def _clean(df: DataFrame, spec: TableSpec, kept: Sequence[str]) -> DataFrame:
+    """Declared columns under their keys, raw text stripped and blanks made null.
+
+    One step per ``select``: each step uses its input several times, and nested in
+    one expression they would grow into methods too large to be compiled well.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    raw = {c.key for c in spec.columns if _is_raw_text(c, types[c.source])}
+    out = df.select(
+        *[
+            (C.strip_text(quoted(c.source)) if c.key in raw else quoted(c.source)).alias(c.key)
+            for c in spec.columns
+        ],
+        *[quoted(n) for n in kept],
+    )
+    if not raw:
+        return out
+    return out.select(
+        *[
+            (C.null_tokens(quoted(c.key)) if c.key in raw else quoted(c.key)).alias(c.key)
+            for c in spec.columns
+        ],
+        *[quoted(n) for n in kept],
+    )
+
+
 def project(df: DataFrame, spec: TableSpec, keep: Sequence[str] = ()) -> DataFrame:
-    """Rename, type and clean in one ``select``.
+    """Rename, clean and type the declared columns.
 
     A wide table keeps only declared columns and those named in ``keep``.  A
     transposed table also keeps the undeclared ones: they are its periods.
     """
     check_sources(df, spec)
     types = {f.name: f.dataType for f in df.schema.fields}
+    sources = {c.source for c in spec.columns}
+    kept = list(keep) if spec.layout == "wide" else [n for n in df.columns if n not in sources]
     declared = [
-        typed(quoted(c.source), c, types[c.source]).alias(
+        typed(quoted(c.key), c, types[c.source]).alias(
             c.key, metadata={"role": c.role, "unit": c.unit or "", "source": c.source}
         )
         for c in spec.columns
     ]
-    if spec.layout == "wide":
-        return df.select(*declared, *[quoted(n) for n in keep])
-    sources = {c.source for c in spec.columns}
-    return df.select(*declared, *[quoted(n) for n in df.columns if n not in sources])
+    return _clean(df, spec, kept).select(*declared, *[quoted(n) for n in kept])
 
 
 def coercion_report(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -71,15 +98,19 @@ def coercion_report(df: DataFrame, spec: TableSpec) -> DataFrame:
     checked = [c for c in spec.columns if c.dtype in ("long", "double")]
     if not checked:
         raise ValueError(f"table {spec.id!r} declares no numeric column")
-    aggregates = []
-    for c in checked:
-        raw = quoted(c.source)
-        failed = C.coercion_failed(raw, typed(raw, c, types[c.source]))
-        aggregates.append(
-            F.struct(
-                F.lit(c.key).alias("key"),
-                F.count(C.null_tokens(raw.cast("string"))).alias("filled"),
-                F.count_if(failed).alias("failed"),
-            )
+    clean = _clean(df, spec, ())
+    cells = clean.select(
+        *[quoted(c.key).alias(f"raw_{c.key}") for c in checked],
+        *[typed(quoted(c.key), c, types[c.source]).alias(f"typed_{c.key}") for c in checked],
+    )
+    aggregates = [
+        F.struct(
+            F.lit(c.key).alias("key"),
+            F.count(quoted(f"raw_{c.key}")).alias("filled"),
+            F.count_if(
+                quoted(f"raw_{c.key}").isNotNull() & quoted(f"typed_{c.key}").isNull()
+            ).alias("failed"),
         )
-    return df.agg(F.array(*aggregates).alias("report")).select(F.inline("report"))
+        for c in checked
+    ]
+    return cells.agg(F.array(*aggregates).alias("report")).select(F.inline("report"))

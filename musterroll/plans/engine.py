@@ -63,7 +63,11 @@ class Engine:
         spec = self.catalog.get(table_id)
         first = spec.header_row + 1
         if spec.header_row == 1 and spec.max_rows is None and spec.data_start_row in (None, first):
-            return read_delimited(self.spark, paths, encoding=encoding, multiline=spec.multiline)
+            # missing-value texts are dropped when the columns are cleaned
+            return read_delimited(
+                self.spark, paths, encoding=encoding, multiline=spec.multiline,
+                drop_null_tokens=False,
+            )
         grid = read_grid(self.spark, paths, encoding=encoding, multiline=spec.multiline)
         return carve(with_row_number(grid), spec.header_row, spec.data_start_row, spec.max_rows)
 

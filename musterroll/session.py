@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # lets every task cut a ranked group to the largest listing before the shuffle
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
+    # generated methods beyond this size are not compiled by the JVM; split them instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 PARTITION_BYTES = 128 * 1024 * 1024
