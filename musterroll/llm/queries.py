@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from musterroll.llm import mixing, quality, shards
+from musterroll.llm import jaccard, mixing, quality, shards
 from musterroll.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,8 @@ def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
