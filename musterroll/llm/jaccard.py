@@ -9,8 +9,9 @@ o(a, b) = ceil(percent * (a + b) / (100 + percent)) shingles.
   subset, so the meetings are links without any check.
 * *Heavy* sets scan inverted lists.  A set must share a shingle with each partner within
   its first a - ceil(percent * a / 100) + 1 shingles of one global order, so only those
-  are listed.  The order puts frequent shingles last: they are counted over all texts
-  and noted in a bitmap of fixed size.
+  are listed.  The order puts shingles of one text first and frequent ones last: they
+  are counted over all texts and noted in bitmaps of fixed size.  A shingle that no
+  other text has need not be listed.
 * The *boundary* is the largest size whose subsets cost less than its list scans, from
   the list lengths counted in these data.
 
@@ -34,7 +35,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from musterroll.llm.graph import components
@@ -44,8 +45,9 @@ from musterroll.llm.shared import written
 WORDS, PERCENT = 5, 75
 #: A shingle in more than this many texts is frequent.
 FREQUENT = 24
-#: The bitmap of frequent shingles: 2**23 bits are 1 MB.
-BITMAP_BITS = 23
+#: Shingles in two texts or more are noted in a bitmap of 2**27 bits (16 MB), frequent
+#: ones in another of 2**23 (1 MB); fuller maps prune less and change no result.
+SHARED_BITS, BITMAP_BITS = 27, 23
 #: Text bytes for each group of inverted lists that one task holds at a time.
 BYTES_PER_BUCKET = 1 << 20
 #: Rounds of checks against one centre per list.
@@ -121,26 +123,35 @@ class Join:
         self.rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
         self.words, self.percent = words, percent
         size = self.rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        self.buckets = max(16, -(-size // BYTES_PER_BUCKET))
+        # a power of two, so that buckets are ranges of hashes and of the bitmaps
+        self.log_buckets = min(16, max(4, int(size // BYTES_PER_BUCKET).bit_length()))
 
-    def frequent(self) -> tuple[bytes, float]:
-        """Bitmap of frequent shingles, and the mean list length of the others.
+    def counted(self) -> tuple[bytes, bytes, float]:
+        """Bitmaps of shared and of frequent shingles; mean list length of the shared rest.
 
-        The lower half of the hash range is counted; it comes first in the order.
+        A bucket is a range of spread hashes, so it makes its own slices of the bitmaps,
+        and 32 bits tell its shingles apart well enough for an order.
         """
-        words, buckets = self.words, self.buckets
+        words, log = self.words, self.log_buckets
 
         def count(batches):
             held, n = [], 0
 
             def flush():
-                tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-                spread = mix(tokens)
-                yield from _packed((spread % U(buckets)).astype(np.int64), tokens, counts.astype(np.int32))
+                spread, counts = np.unique(_spread(np.concatenate(held)), return_counts=True)
+                rest = (spread >> U(32 - log)).astype(np.uint32)
+                one = counts == 1
+                bucket = (spread >> U(64 - log)).astype(np.int64)
+                none = np.zeros(0, np.int32)
+                for mask in (one, ~one):
+                    for part in _packed(bucket[mask], rest[mask], counts[mask].astype(np.int32)):
+                        yield part if mask is not one else pa.record_batch(
+                            [part.column(0), part.column(1), pa.array([none.tobytes()] * len(part), pa.binary())], names=part.schema.names
+                        )
 
             for _, hashes, _ in _sets(batches, words):
-                held.append(hashes[: len(hashes)][hashes < U(1 << 63)])
-                n += len(held[-1])
+                held.append(hashes)
+                n += len(hashes)
                 if n >= FLUSH:
                     yield from flush()
                     held, n = [], 0
@@ -148,28 +159,43 @@ class Join:
                 yield from flush()
 
         def add(table: pa.Table) -> pa.Table:
-            tokens, counts = _column(table, "c0", U), _column(table, "c1", np.int32).astype(np.int64)
-            tokens, places = np.unique(tokens, return_inverse=True)
-            total = np.bincount(places, weights=counts, minlength=len(tokens))
-            hot = total > FREQUENT
-            bits = np.unique(_bit(tokens[hot]))
-            cold = total[~hot]
-            sums = [np.append(np.zeros(len(bits)), x) for x in (cold.sum(), (cold**2).sum())]
-            return pa.table({"bit": pa.array([*bits.tolist(), None], pa.int32()), "n": sums[0], "n2": sums[1]})
+            bucket = table.column("bucket")[0].as_py()
+            rest, counts = [], []
+            for r, c in zip(table.column("c0").to_pylist(), table.column("c1").to_pylist(), strict=True):
+                rest.append(np.frombuffer(r, np.uint32))
+                counts.append(np.frombuffer(c, np.int32) if c else np.ones(len(rest[-1]), np.int32))
+            rest, places = np.unique(np.concatenate(rest), return_inverse=True)
+            total = np.bincount(places, weights=np.concatenate(counts), minlength=len(rest))
+            slices = []
+            for bits, least in ((SHARED_BITS, 1), (BITMAP_BITS, FREQUENT)):
+                marks = np.zeros(1 << (bits - log), bool)
+                marks[rest[total > least] >> np.uint32(32 - bits + log)] = True
+                slices.append(np.packbits(marks).tobytes())
+            some = total[(total > 1) & (total <= FREQUENT)]
+            return pa.table({
+                "bucket": pa.array([bucket], pa.int32()), "shared": pa.array([slices[0]], pa.binary()), "frequent": pa.array([slices[1]], pa.binary()),
+                "n": [float(some.sum())], "n2": [float((some**2).sum())],
+            })
 
         packed = self.rows.mapInArrow(count, "bucket int, c0 binary, c1 binary")
-        found = packed.groupBy("bucket").applyInArrow(add, "bit int, n double, n2 double")
-        found = written(found, "frequent")
-        n, n2 = found.agg(F.sum("n"), F.sum("n2")).first()
-        return _bitmap(found.where("bit is not null")), (n2 or 0) / (n or 1)
-
-    def lists(self, bitmap, boundary: int) -> DataFrame:
+        found = packed.groupBy("bucket").applyInArrow(add, "bucket int, shared binary, frequent binary, n double, n2 double")
+        maps = [bytearray(1 << (bits - 3)) for bits in (SHARED_BITS, BITMAP_BITS)]
+        n = n2 = 0.0
+        for row in written(found, "frequent").toLocalIterator():  # 17 MB in all
+            for m, name in zip(maps, ("shared", "frequent"), strict=True):
+                size = len(m) >> log
+                m[row["bucket"] * size : (row["bucket"] + 1) * size] = row[name]
+            n, n2 = n + row["n"], n2 + row["n2"]
+        return bytes(maps[0]), bytes(maps[1]), n2 / n if n else 0.0
+
+    def lists(self, maps, boundary: int) -> DataFrame:
         """Members of inverted lists and subset groups with two nodes or more.
 
-        (token, node, n, light): ``light`` is null for lists, else the smaller and the
-        larger size of a subset group as ``1000 * a + b``.
+        (token, node, n, light, own): ``light`` is 0 for lists, else the smaller and the
+        larger size of a subset group as ``1000 * a + b``; ``place`` is the shingle's in
+        the order of the set.
         """
-        words, percent, buckets = self.words, self.percent, self.buckets
+        words, percent, log = self.words, self.percent, self.log_buckets
         listed_from = -(-percent * (boundary + 1) // 100) if boundary else 1
 
         def post(batches):
@@ -179,32 +205,37 @@ class Join:
                 _, first = np.unique(nodes, return_index=True)
                 keep = np.zeros(len(nodes), dtype=bool)
                 keep[first] = True  # copies in one batch post once
-                held.append(_prefix(hashes, at, np.where(keep & (sizes >= listed_from), sizes, 0), nodes, bitmap.value, percent))
+                held.append(_prefix(hashes, at, np.where(keep & (sizes >= listed_from), sizes, 0), nodes, maps.value, percent))
                 for i in np.flatnonzero(keep & (sizes > 0) & (sizes <= boundary)):
                     held.append(_subsets(hashes[at[i] : at[i + 1]], nodes[i], percent, boundary))
-                n += sum(len(x[0]) for x in held[-1:])
-                if n >= FLUSH // 2:
-                    yield from _packed(*_spread(held, buckets))
+                n += len(hashes)
+                if n >= 4 * FLUSH:
+                    yield from flush(held)
                     held, n = [], 0
             if held:
-                yield from _packed(*_spread(held, buckets))
+                yield from flush(held)
+
+        def flush(held):
+            token, *rest = (np.concatenate([x[i] for x in held]) for i in range(5))
+            yield from _packed((_spread(token.view(U)) >> U(64 - log)).astype(np.int64), token, *rest)
 
         def gather(table: pa.Table) -> pa.Table:
             token, node = _column(table, "c0", np.int64), _column(table, "c1", np.int64)
-            n, light = _column(table, "c2", np.int32), _column(table, "c3", np.int32)
+            n, light, place = (_column(table, c, np.int32) for c in ("c2", "c3", "c4"))
             order = np.lexsort((node, token, light))
-            token, node, n, light = token[order], node[order], n[order], light[order]
+            token, node, n, light, place = (x[order] for x in (token, node, n, light, place))
             new = np.ones(len(token), dtype=bool)
             new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1]) | (light[1:] != light[:-1])
-            token, node, n, light = token[new], node[new], n[new], light[new]
+            token, node, n, light, place = (x[new] for x in (token, node, n, light, place))
             same = (token[1:] == token[:-1]) & (light[1:] == light[:-1])
             many = np.zeros(len(token), dtype=bool)
             many[1:] |= same
             many[:-1] |= same
-            return pa.table({"token": token[many], "node": node[many], "n": n[many], "light": light[many]})
+            columns = {"token": token, "node": node, "n": n, "light": light, "place": place}
+            return pa.table({k: v[many] for k, v in columns.items()})
 
-        packed = self.rows.mapInArrow(post, "bucket int, c0 binary, c1 binary, c2 binary, c3 binary")
-        found = packed.groupBy("bucket").applyInArrow(gather, "token long, node long, n int, light int")
+        packed = self.rows.mapInArrow(post, "bucket int, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary")
+        found = packed.groupBy("bucket").applyInArrow(gather, "token long, node long, n int, light int, place int")
         return written(found, "lists")
 
     def sets(self, lists: DataFrame) -> DataFrame:
@@ -257,9 +288,9 @@ class Join:
 
     def links(self) -> DataFrame:
         """Links (u, v) between nodes that connect exactly the nodes that links connect."""
-        bitmap, mean_list = self.frequent()
+        shared, frequent, mean_list = self.counted()
         boundary = choose_boundary(mean_list, self.percent)
-        lists = self.lists(self.spark.sparkContext.broadcast(bitmap), boundary)
+        lists = self.lists(self.spark.sparkContext.broadcast((shared, frequent)), boundary)
         heavy, light = lists.where("light = 0"), lists.where("light > 0")
         known = written(_light_links(light), "links")
         if heavy.limit(1).count() == 0:
@@ -267,7 +298,9 @@ class Join:
         sets = self.sets(heavy)
         tried = None
         p = self.percent
-        fits = lambda a, b: (100 * F.least(a, b) >= p * F.greatest(a, b))
+        # a pair's first shared shingle has all the others of both sets after it
+        left = F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp"))
+        fits = (100 + p) * left >= p * (F.col("xn") + F.col("yn"))
         for turn in range(ROUNDS + 1):
             labels = components(known) if turn else None
             live = heavy
@@ -277,19 +310,16 @@ class Join:
                 live = live.join(mixed.select("token"), "token")
             else:
                 live = live.withColumn("c", F.col("node"))
-            live = written(live.select("token", "node", "n", "c"), "live")
+            live = written(live.select("token", "node", "n", "c", "place"), "live")
             if turn < ROUNDS:
-                by = F.xxhash64("node", F.lit(turn))
-                centre = live.groupBy("token").agg(F.min(F.struct(by.alias("by"), "node", "n", "c")).alias("m"))
-                pairs = live.join(centre, "token").select(
-                    F.col("node").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"),
-                    F.col("m.node").alias("y"), F.col("m.n").alias("yn"), F.col("m.c").alias("yc"),
-                )
+                # first the member with the fewest shingles of its own, likeliest the text copied
+                by = F.col("place").cast("bigint") if turn == 0 else F.xxhash64("node", F.lit(turn))
+                centre = live.groupBy("token").agg(F.min(F.struct(by.alias("by"), "node", "n", "c", "place")).alias("m"))
+                pairs = live.join(centre, "token").select(*_side("x"), *_side("y", "m."))
             else:
-                other = live.select("token", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("c").alias("yc"))
-                pairs = live.select("token", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc")).join(other, "token")
+                pairs = live.select("token", *_side("x")).join(live.select("token", *_side("y")), "token")
                 pairs = pairs.where(F.col("xc") < F.col("yc"))
-            pairs = pairs.where((F.col("xc") != F.col("yc")) & fits(F.col("xn"), F.col("yn")))
+            pairs = pairs.where((F.col("xc") != F.col("yc")) & fits)
             pairs = pairs.select(F.greatest("x", "y").alias("v"), F.least("x", "y").alias("u")).distinct()
             if tried is not None:
                 pairs = pairs.join(tried, ["u", "v"], "left_anti")
@@ -315,8 +345,14 @@ class Join:
         return self.rows.mapInArrow(of, f"id {kind}, node long, n long")
 
 
-def _bit(tokens: np.ndarray) -> np.ndarray:
-    return (tokens & U((1 << BITMAP_BITS) - 1)).astype(np.int64)
+def _spread(hashes: np.ndarray) -> np.ndarray:
+    return mix(hashes ^ U(0x2545F4914F6CDD1D))
+
+
+def _marked(bitmap: bytes, bits: int, spread: np.ndarray) -> np.ndarray:
+    marks = np.frombuffer(bitmap, np.uint8)
+    bit = (spread >> U(64 - bits)).astype(np.int64)
+    return ((marks[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1).astype(bool)
 
 
 def _bitmap(bits: DataFrame) -> bytes:
@@ -333,21 +369,37 @@ def _bitmap(bits: DataFrame) -> bytes:
     return np.packbits(np.unpackbits(words.view(np.uint8), bitorder="little")).tobytes()
 
 
-def _prefix(hashes, at, sizes, nodes, bitmap, percent):
-    """Prefix postings of the texts whose size here is not 0: (token, node, n, light 0)."""
-    marks = np.frombuffer(bitmap, np.uint8)
-    bit = _bit(hashes)
-    hot = ((marks[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1).astype(bool) & (hashes < U(1 << 63))
+def _prefix(hashes, at, sizes, nodes, maps, percent):
+    """Postings of the texts whose size here is not 0: (token, node, n, light 0).
+
+    Order of a text's shingles: those that no other text has, shared ones, frequent
+    ones; by hash within each kind.  The first kind is not posted.
+    """
+    spread = _spread(hashes)
+    frequent = _marked(maps[1], BITMAP_BITS, spread)
+    alone = ~frequent & ~_marked(maps[0], SHARED_BITS, spread)
     n = np.diff(at)
     text = np.repeat(np.arange(len(n)), n)
-    hot_sum = np.concatenate([[0], np.cumsum(hot)])
-    hot_before = hot_sum[:-1] - hot_sum[at[:-1]][text]
+
+    def before(mask):
+        sums = np.concatenate([[0], np.cumsum(mask)])
+        return sums[:-1] - sums[at[:-1]][text], (sums[at[1:]] - sums[at[:-1]])[text]
+
+    alone_before, all_alone = before(alone)
+    frequent_before, all_frequent = before(frequent)
     rank = np.arange(len(hashes)) - at[:-1][text]
-    cold = (n - (hot_sum[at[1:]] - hot_sum[at[:-1]]))[text]
-    place = np.where(hot, cold + hot_before, rank - hot_before)
+    place = np.where(
+        frequent, n[text] - all_frequent + frequent_before, all_alone + rank - alone_before - frequent_before
+    )
     length = np.where(sizes > 0, sizes - -(-percent * sizes // 100) + 1, 0)
-    keep = place < length[text]
-    return hashes[keep].view(np.int64), nodes[text[keep]], n[text[keep]].astype(np.int32), np.zeros(int(keep.sum()), np.int32)
+    keep = ~alone & (place < length[text])
+    return (
+        hashes[keep].view(np.int64),
+        nodes[text[keep]],
+        n[text[keep]].astype(np.int32),
+        np.zeros(int(keep.sum()), np.int32),
+        place[keep].astype(np.int32),
+    )
 
 
 def _subsets(shingles, node, percent, boundary):
@@ -366,12 +418,14 @@ def _subsets(shingles, node, percent, boundary):
         np.full(len(token), node, np.int64),
         np.full(len(token), a, np.int32),
         np.concatenate(light) if light else np.zeros(0, np.int32),
+        np.zeros(len(token), np.int32),
     )
 
 
-def _spread(held, buckets):
-    token, node, n, light = (np.concatenate([x[i] for x in held]) for i in range(4))
-    return (mix(token.view(U)) % U(buckets)).astype(np.int64), token, node, n, light
+def _side(end: str, of: str = "") -> list[Column]:
+    """A list member's columns as one end of a pair: x, xn, xc, xp."""
+    names = {"node": "", "n": "n", "c": "c", "place": "p"}
+    return [F.col(of + name).alias(end + short) for name, short in names.items()]
 
 
 def _light_links(light: DataFrame) -> DataFrame:
