@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from musterroll.llm import jaccard, mixing, quality, shards, suffixes
+from musterroll.llm import contamination, jaccard, mixing, quality, shards, suffixes, toxicity
 from musterroll.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,22 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.suffix_dedup(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256"
     )
+
+
+@query
+def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        F.col("id").alias("doc_id"),
+        F.coalesce(toxicity.fold(F.col("id")) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        "predicted",
+        F.size("passages").alias("n_passages"),
+    )
+
+
+@query
+def op9_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
