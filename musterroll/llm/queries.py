@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from musterroll.llm import contamination, jaccard, mixing, quality, shards, suffixes, toxicity
+from musterroll.llm import contamination, jaccard, lm, mixing, quality, shards, suffixes, toxicity
 from musterroll.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
+@query
+def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.pseudo_likelihood(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
