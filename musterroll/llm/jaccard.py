@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from musterroll.llm.graph import components
 from musterroll.llm.kernels import U, chunks, mix, shingle_sets
@@ -440,6 +441,13 @@ def _light_links(light: DataFrame) -> DataFrame:
     return met.select(F.col("node").alias("u"), to.alias("v")).where("u != v").distinct()
 
 
+def _grouped(join: Join) -> DataFrame:
+    """(id, node, n, c) of every text; c is the group's smallest node, null for no words."""
+    labels = written(components(join.links()), "labels")
+    rows = join.members().join(labels, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    return written(rows.select("id", "node", "n", "c"), "members")
+
+
 def jaccard_join(
     docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -447,11 +455,35 @@ def jaccard_join(
 
     ``component_id`` is the smallest id that links reach from the text, itself included.
     """
-    join = Join(docs, id, text, words, percent)
-    labels = written(components(join.links()), "labels")
-    rows = join.members().join(labels, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    rows = written(rows.select("id", "n", "c"), "members")
+    rows = _grouped(Join(docs, id, text, words, percent))
     least = rows.where("c is not null").groupBy("c").agg(F.min("id").alias("least"))
     return rows.join(least, "c", "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id")
     )
+
+
+def one_of_each(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The rows of ``docs`` with one of each group: that with the smallest id, as it is.
+
+    Texts without words link with nothing, so all of them stay; a null id stands for its
+    group only where no row has an id; of equal rows one stays.
+    """
+    rows = _grouped(Join(docs, id, text, words, percent))
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "node"))
+    chosen = rows.where("c is not null").groupBy("c").agg(first.alias("m"))
+    chosen = chosen.select(F.col("m.id").alias("_chosen_id"), F.col("m.node").alias("_chosen_node"))
+    at = docs.columns.index(text)
+
+    def add(batches):
+        for batch in batches:
+            texts = pa.record_batch([pa.nulls(len(batch)), batch.column(at)], names=["none", "text"])
+            nodes = [(_nodes(hashes, offsets), np.diff(offsets) == 0) for _, hashes, offsets in _sets([texts], words)]
+            node = pa.array(np.concatenate([x for x, _ in nodes]), pa.int64(), mask=np.concatenate([x for _, x in nodes])) if nodes else pa.nulls(0, pa.int64())
+            yield pa.record_batch([*batch.columns, node], names=[*batch.schema.names, "_node"])
+
+    noded = docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField("_node", T.LongType())]))
+    same = (F.col("_node") == F.col("_chosen_node")) & F.col(id).eqNullSafe(F.col("_chosen_id"))
+    kept = noded.where("_node is not null").join(chosen, same).dropDuplicates(["_chosen_node", "_chosen_id"])
+    return kept.select(*docs.columns).union(noded.where("_node is null").select(*docs.columns))

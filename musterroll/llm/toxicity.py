@@ -15,8 +15,8 @@ adds up per task before anything is shuffled.
 
 Edge cases: null and empty texts have no segments and get the score of no evidence; a
 document with several labels counts once per label row; labels of unknown documents and
-null labels are left out; without labels of both kinds every score is 0.5 and the model
-says so; null ids and repeated rows are scored like any other; other columns are not read.
+null labels are left out; without labels of both kinds the model is untrained, every score is
+0 and nothing is called toxic; null ids and repeated rows are scored like any other; other columns are not read.
 """
 
 from __future__ import annotations
@@ -321,7 +321,7 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
         m = Model(**shared.value)
         for part, n, hits, _, _ in _scan(batches, m.weights):
             x = np.array([evidence(m.rate, m.log_k, m.margin, n[i], f) for i, f in enumerate(hits)])
-            p = 1 / (1 + np.exp(-np.clip(m.slope * x + m.bias, -30, 30)))
+            p = 1 / (1 + np.exp(-np.clip(m.slope * x + m.bias, -500, 500))) if m.trained else np.zeros(len(x))
             spans = []
             for i, found in enumerate(hits):
                 law = [(s, e, v, float(np.exp(min(m.log_k + np.log(max(n[i], 1)) - m.rate * v, 300)))) for s, e, v in found]
@@ -336,3 +336,20 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
         f"id {kind}, score double, predicted int, n_tokens long, "
         "passages array<struct<start: long, end: long, score: double, expected: double>>",
     )
+
+
+def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the model does not call toxic, as they are."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(vars(model)), docs.columns.index(text)
+
+    def clean(batches):
+        m = Model(**shared.value)
+        for batch in batches:
+            texts = pa.record_batch([pa.nulls(len(batch)), batch.column(at)], names=["none", "text"])
+            keep = []
+            for _, n, hits, _, _ in _scan([texts], m.weights):
+                x = np.array([evidence(m.rate, m.log_k, m.margin, n[i], f) for i, f in enumerate(hits)])
+                keep.append(m.slope * x + m.bias < 0)
+            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
+
+    return docs.mapInArrow(clean, docs.schema) if model.trained else docs
