@@ -30,7 +30,8 @@ from musterroll.llm.shared import written
 
 FEATURE_BITS, DIRECTIONS = 15, 16
 #: A passage is two strides of words, so a match of a stride lies whole in some passage.
-STRIDE = 32
+#: Items of fewer words than the first stride are sought in passages of the second kind.
+STRIDE, SHORT_STRIDE = 32, 8
 #: Items per block of queries.
 BLOCK_ITEMS = 256
 #: Candidates: share of weight on words that items have, and cosine in the latent space.
@@ -158,7 +159,12 @@ class Queries:
             np.add.at(vector, feature[: at[1]], weights[feature[: at[1]]])
             vectors.append(vector)
         own = np.stack(vectors) if vectors else np.zeros((0, 1 << FEATURE_BITS), np.float32)
-        self.known = (own != 0).any(axis=0)
+        short = np.array([len(w) < STRIDE for w in self.words], bool)
+        self.scales = [
+            (stride, np.flatnonzero(mine), (own[mine] != 0).any(axis=0))
+            for stride, mine in ((STRIDE, np.ones(len(short), bool)), (SHORT_STRIDE, short))
+            if mine.any()
+        ]
         # the items first, so that the basis holds them whole
         basis, _ = np.linalg.qr(np.concatenate([own, directions.T]).T.astype(np.float64))
         self.basis = basis.astype(np.float32)
@@ -167,17 +173,21 @@ class Queries:
 
     def candidates(self, feature: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int, float]]:
         """(text, item, first word, end word, cosine) of passages near an item; runs merge."""
-        heads = _bounds(at, STRIDE)
-        if not len(heads) or not self.ids:
+        if not len(feature):
             return []
+        return [x for scale in self.scales for x in self._near(feature, at, *scale)]
+
+    def _near(self, feature, at, stride, items, known_features):
+        heads = _bounds(at, stride)
         w = self.weights[feature]
         ends = np.append(heads[1:], len(feature))
         text = np.searchsorted(at, heads, "right") - 1
         follows = np.append(text[1:] == text[:-1], False)  # the next stride is in the same text
-        pair = lambda x: x + np.where(follows.reshape(-1, *[1] * (x.ndim - 1)), np.concatenate([x[1:], x[:1]]), 0)
+        pair = lambda x: x + np.where(follows, np.append(x[1:], 0), 0)
         whole = pair(np.add.reduceat(w * w, heads))
-        known = pair(np.add.reduceat(w * w * self.known[feature], heads))
+        known = pair(np.add.reduceat(w * w * known_features[feature], heads))
         near = np.flatnonzero(known >= LEAST_SHARE * np.maximum(whole, 1e-9))
+        latent = self.latent[items].T
         out: dict[tuple[int, int], list] = {}
         for part in np.array_split(near, max(1, len(near) // 4096)):
             stop = np.where(follows[part], ends[np.minimum(part + 1, len(ends) - 1)], ends[part])
@@ -187,11 +197,11 @@ class Queries:
             flat = np.concatenate(spans)
             firsts = np.cumsum([0, *map(len, spans[:-1])])
             z = np.add.reduceat(self.weights[flat][:, None] * self.basis[flat], firsts, axis=0)
-            cosine = (z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)) @ self.latent.T
-            for p, q in zip(*np.nonzero(cosine >= LEAST_COSINE), strict=True):
-                i = int(text[part[p]])
-                a, b, c = int(heads[part[p]]), int(stop[p]), float(cosine[p, q])
-                runs = out.setdefault((i, int(q)), [])
+            cosine = (z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)) @ latent
+            for p, k in zip(*np.nonzero(cosine >= LEAST_COSINE), strict=True):
+                i, q = int(text[part[p]]), int(items[k])
+                a, b, c = int(heads[part[p]]), int(stop[p]), float(cosine[p, k])
+                runs = out.setdefault((i, q), [])
                 if runs and a <= runs[-1][1] + len(self.words[q]):
                     runs[-1] = (runs[-1][0], b, max(c, runs[-1][2]))
                 else:

@@ -61,7 +61,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse; kept for texts of ordinary length."""
     if n > 2 * CHUNK_BYTES:
         return _powers(n, _BASE), _powers(n, _INVERSE)
-    if len(_CACHE.get("up", ())) < n:
+    if "up" not in _CACHE or len(_CACHE["up"]) < n:
         _CACHE["up"], _CACHE["down"] = _powers(n, _BASE), _powers(n, _INVERSE)
     return _CACHE["up"][:n], _CACHE["down"][:n]
 
