@@ -51,13 +51,20 @@ def whole_number_text(col: Column) -> Column:
 
 
 def to_long(col: Column) -> Column:
-    """Whole number or null, value by value.
+    """Whole number or null, value by value and without rounding.
 
-    Text goes through a decimal, so ``"12.0"`` is 12 and ``"12.5"`` is null.
+    ``"12.0"`` is 12; ``"12.5"`` and ``"12.0000000000001"`` are null.  Powers of ten
+    (``"1e3"``) are read as doubles, which hold whole numbers up to 2**53 exactly.
     """
-    number = strip_text(col.cast("string")).try_cast("decimal(38,6)")
-    whole = number.try_cast("bigint")
-    return F.when(whole == number, whole)
+    text = strip_text(col.cast("string"))
+    digits = F.regexp_extract(text, r"^([+-]?[0-9]*)(\.0*)?$", 1)
+    power = F.when(text.rlike("[eE]"), text.try_cast("double"))
+    exact = (F.abs(power) <= float(1 << 53)) & (F.floor(power) == power)
+    return (
+        F.when(text.rlike(r"^[+-]?[0-9]+(\.0*)?$"), digits.try_cast("bigint"))
+        .when(text.rlike(r"^[+-]?\.0+$"), F.lit(0).cast("bigint"))
+        .when(exact, power.try_cast("bigint"))
+    )
 
 
 def to_double(col: Column) -> Column:
@@ -66,11 +73,6 @@ def to_double(col: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
-def safe_number(col: Column) -> Column:
-    """A measure cell as a double; text that is no number, and NaN, are null."""
-    return to_double(col)
-
-
 def date_to_iso(col: Column, fmt: str = SOURCE_DATE_FORMAT) -> Column:
     """Day/month/year text becomes ISO text; anything else passes through.
 

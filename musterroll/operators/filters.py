@@ -107,10 +107,6 @@ def drop_empty_dimensions(df: DataFrame, column: str = "dimensions") -> DataFram
     return df.where(F.size(column) > 0)
 
 
-def drop_null_values(df: DataFrame, column: str = "value") -> DataFrame:
-    return df.where(F.col(column).isNotNull())
-
-
 def date_range(
     df: DataFrame, column: str, start: object = None, end: object = None, iso: bool = False
 ) -> DataFrame:

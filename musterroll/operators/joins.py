@@ -8,36 +8,6 @@ from pyspark.sql import types as T
 
 from musterroll.functions.cleaning import normalize_key
 
-# Keys are counted in this many hash buckets, so the count stays small however
-# many keys there are.  A bucket is hot when it holds more rows than one task
-# should, and far more than its even share; there can be no more hot buckets than
-# buckets, which bounds what is broadcast.
-BUCKETS = 16_384
-ROWS_PER_TASK = 4_000_000
-TIMES_EVEN_SHARE = 8
-MAX_SPREAD = 4_096
-
-
-def _bucket(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
-
-
-def hot_buckets(rows: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Hash buckets of a key that hold too many rows for one task, and their spread.
-
-    Counted in every task first; at most :data:`BUCKETS` rows per task are shuffled.
-    """
-    counts = (
-        rows.where(F.col(key).isNotNull())
-        .groupBy(_bucket(key).alias("_hot"))
-        .agg(F.count("*").alias("_n"))
-    )
-    even = counts.agg(F.sum("_n")).scalar() / BUCKETS
-    limit = F.greatest(F.lit(float(rows_per_task)), even * TIMES_EVEN_SHARE)
-    spread = F.least(F.ceil(F.col("_n") / rows_per_task), F.lit(MAX_SPREAD))
-    return counts.where(F.col("_n") > limit).select("_hot", spread.cast("int").alias("_spread"))
-
-
 def join_on_key(
     left: DataFrame,
     right: DataFrame,
@@ -45,21 +15,14 @@ def join_on_key(
     right_key: str,
     how: str = "left",
     normalize: bool = True,
-    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join two registers on a key that may be written with leading zeros.
 
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.  One key may hold a
-    third of the left rows: rows of hot keys get a salt and meet one copy of the
-    right row per salt; null keys are salted too.  The salt comes from the row and
-    from the task that read it, so copies of one row part ways and a recomputed
-    task sends every row where it went before.  Which keys are hot is counted
-    exactly, so both sides always agree.  Whether the right side is broadcast is
-    left to Spark's size check.
-
-    Finding the hot keys reads the left key column once more.
-    ``rows_per_task=None`` skips that, for a left side whose keys cannot be hot (say,
-    one aggregated by them).
+    third of the left rows, and null keys another: adaptive execution (set in
+    :mod:`musterroll.session`) broadcasts a right side that turns out small, and
+    otherwise splits the large left partitions, hot and null keys alike, by what it
+    measured.  So the rows are read once and only the columns that are used.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -71,34 +34,7 @@ def join_on_key(
     other = other.where(F.col("_rkey").isNotNull())
     if how in ("left_semi", "left_anti"):
         other = other.select("_rkey").distinct()
-    if rows_per_task is None:
-        return rows.join(other, F.col("_key") == F.col("_rkey"), how).drop("_key", "_rkey")
-
-    hot = F.broadcast(hot_buckets(rows, "_key", rows_per_task))
-    content = [c for c in left.columns if _hashable(left, c)]
-    rows = rows.withColumns({
-        "_bucket": _bucket("_key"),
-        "_content": F.xxhash64(*content, F.spark_partition_id()),
-    })
-    salt = (
-        F.when(F.col("_key").isNull(), F.pmod("_content", F.lit(MAX_SPREAD)))
-        .when(F.col("_spread").isNotNull(), F.pmod("_content", F.col("_spread")))
-        .otherwise(0)
-    )
-    rows = (
-        rows.join(hot, F.col("_bucket") == F.col("_hot"), "left")
-        .withColumn("_salt", salt.cast("int"))
-        .drop("_bucket", "_content", "_hot", "_spread")
-    )
-    copies = F.sequence(F.lit(0), F.coalesce("_spread", F.lit(1)) - 1)
-    other = (
-        other.withColumn("_bucket", _bucket("_rkey"))
-        .join(hot, F.col("_bucket") == F.col("_hot"), "left")
-        .withColumn("_rsalt", F.explode(copies))
-        .drop("_bucket", "_hot", "_spread")
-    )
-    on = (F.col("_key") == F.col("_rkey")) & (F.col("_salt") == F.col("_rsalt"))
-    return rows.join(other, on, how).drop("_key", "_salt", "_rkey", "_rsalt")
+    return rows.join(other, F.col("_key") == F.col("_rkey"), how).drop("_key", "_rkey")
 
 
 def _comparable(df: DataFrame, key: str, normalize: bool) -> Column:
@@ -112,16 +48,21 @@ def _is_integer(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.IntegralType)
 
 
-def _hashable(df: DataFrame, column: str) -> bool:
-    return "map<" not in df.schema[column].dataType.simpleString()
-
-
 def enrich(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, columns: list[str]
 ) -> DataFrame:
-    """Left rows with columns of the matching right row."""
-    side = right.select(right_key, *[c for c in columns if c != right_key])
-    return join_on_key(left, side, left_key, right_key, "left")
+    """Left rows with columns of the matching right row.
+
+    Left rows never multiply: where the right side writes one key several times (say,
+    ``012`` and ``12``), the row that is smallest in the given columns counts.  A column
+    that the left side has already is not taken.
+    """
+    wanted = [c for c in columns if c not in left.columns]
+    text = not (_is_integer(left, left_key) and _is_integer(right, right_key))
+    key = normalize_key(F.col(right_key)) if text else F.col(right_key)
+    smallest = F.min(F.struct(*[F.col(c) for c in wanted])).alias("_row")
+    side = right.groupBy(key.alias("_side_key")).agg(smallest).select("_side_key", "_row.*")
+    return join_on_key(left, side, left_key, "_side_key", "left").drop("_side_key")
 
 
 def listed(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

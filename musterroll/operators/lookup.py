@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-from itertools import chain
+import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from musterroll.functions.regions import normalize_region
 
-# An enum is written into the plan as a literal map up to this many aliases;
-# larger lookups are tables and are joined.
-MAX_LITERAL_ALIASES = 1000
-
 
 def literal_map(values: dict[str, str]) -> Column:
-    if len(values) > MAX_LITERAL_ALIASES:
-        raise ValueError("lookup too large for a literal; join it as a table")
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(values.items())])
+    """An enum as a constant of the plan, one literal whatever its size.
+
+    A look-up compares with the entries one by one; enums of many thousands are
+    better kept as tables, see :func:`lookup_join`.
+    """
+    return F.from_json(F.lit(json.dumps(values)), "map<string, string>")
 
 
 def translate_column(col: Column, enum: dict[str, str], region: bool = False) -> Column:

@@ -19,8 +19,6 @@ from musterroll.specs.model import TableSpec
 
 OBSERVATION = ("period", "measure", "value", "unit", "dimensions")
 
-# Chunk borders up to this number (some ten megabytes) are broadcast.
-MAX_BROADCAST_BORDERS = 100_000
 
 
 def no_text() -> Column:
@@ -238,8 +236,8 @@ def series(observations: DataFrame, chunk_rows: int = 10_000) -> DataFrame:
     on the row and on the task that read it, so copies of one row part ways too
     and a recomputed task repeats its choice.
 
-    The borders are looked at when the plan is made: if there are few, as usual,
-    they are broadcast; otherwise they are joined.
+    The plan is lazy: how the borders meet the rows is left to Spark, which broadcasts
+    them by their measured size and splits a hot month of a larger join.
     """
     rows = observations.select(
         F.coalesce(F.nullif("measure", F.lit("")), F.lit("value")).alias("measure"),
@@ -251,9 +249,6 @@ def series(observations: DataFrame, chunk_rows: int = 10_000) -> DataFrame:
         ).alias("_spread"),
     )
     layout = _chunk_layout(rows, chunk_rows)
-    borders = layout.limit(MAX_BROADCAST_BORDERS + 1).collect()
-    if len(borders) <= MAX_BROADCAST_BORDERS:
-        layout = F.broadcast(observations.sparkSession.createDataFrame(borders, layout.schema))
 
     same_month = (F.col("measure") == F.col("_m")) & F.col("_month").eqNullSafe(F.col("_p"))
     chunk = F.col("_first") + F.pmod("_spread", F.col("_last") - F.col("_first") + 1)

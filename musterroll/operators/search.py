@@ -110,7 +110,7 @@ def closest_values(
     Distinct values first; two cheap upper bounds drop most of them inside the
     scan stage; only the rest reach the exact comparison, in Arrow batches.
     """
-    check_limit(n)
+    check_limit(n, None)
     if not word:
         raise ValueError("word is empty")
 
@@ -140,7 +140,7 @@ def closest_by_edits(
     df: DataFrame, column: str, word: str, n: int = 3, cutoff: float = VALUE_CUTOFF
 ) -> DataFrame:
     """Like :func:`closest_values` with edit distance: no Python, any SQL engine can check it."""
-    check_limit(n)
+    check_limit(n, None)
     value = F.col(column)
     longest = F.greatest(F.length(value), F.lit(len(word)))
     shortest = F.least(F.length(value), F.lit(len(word)))

@@ -12,17 +12,16 @@ from musterroll.functions.periods import normalize_period
 # Default and largest number of rows of a limited listing.
 DEFAULT_LIMIT, MAX_LIMIT = 50, 10_000
 
-# Limits up to this are merged in one step, larger ones through this many groups.
-ONE_STEP_LIMIT = 100
+# Tops meet in this many groups before they are merged.
 MERGE_GROUPS = 256
-GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def check_limit(limit: object, largest: int | None = MAX_LIMIT) -> int:
     if isinstance(limit, bool) or not isinstance(limit, int):
         raise ValueError(f"limit must be a positive integer, got {limit!r}")
     if limit < 1 or (largest is not None and limit > largest):
-        raise ValueError(f"limit must be between 1 and {largest}, got {limit}")
+        upto = "" if largest is None else f" and at most {largest}"
+        raise ValueError(f"limit must be at least 1{upto}, got {limit}")
     return limit
 
 
@@ -63,18 +62,13 @@ def last_n(
 def first_in_order(df: DataFrame, order_by: Sequence[str | Column], limit: int) -> DataFrame:
     """The first ``limit`` rows in a total order.
 
-    Spark keeps ``limit`` rows per task and merges them in one place, which is fine
-    for small limits.  Larger ones are merged in two steps: tasks first meet in
-    groups that each keep ``limit`` rows, so the last step sees few groups.  That
-    needs Spark to cut ranked groups inside each task, which it does up to a limit
-    set in the session.
+    Tasks cut their rows to ``limit`` and meet in a fixed number of groups that do the
+    same, so the last step merges few groups however many tasks there are.
     """
-    cut_in_tasks = int(df.sparkSession.conf.get(GROUP_LIMIT_SETTING))
-    if ONE_STEP_LIMIT < limit <= cut_in_tasks:
-        df = df.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
-        window = Window.partitionBy("_group").orderBy(*order_by)
-        ranked = df.withColumn("_rank", F.row_number().over(window))
-        df = ranked.where(F.col("_rank") <= limit).drop("_group", "_rank")
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    window = Window.partitionBy("_group").orderBy(*order_by)
+    ranked = df.withColumn("_group", group).withColumn("_rank", F.row_number().over(window))
+    df = ranked.where(F.col("_rank") <= limit).drop("_group", "_rank")
     return df.orderBy(*order_by).limit(limit)
 
 
@@ -99,6 +93,6 @@ def limited(
 
 def top_n(df: DataFrame, measure: str, n: int, tiebreak: Sequence[str]) -> DataFrame:
     """Rows with the largest measure, ties broken by the given columns."""
-    check_limit(n)
+    check_limit(n, None)
     order = [F.col(measure).desc_nulls_last(), *map(F.col, tiebreak)]
     return first_in_order(df, order, n)

@@ -13,12 +13,13 @@ from musterroll.functions.cleaning import truncate_text
 from musterroll.functions.periods import check_period_range
 from musterroll.operators import filters as flt
 from musterroll.operators import reshape, summaries, topk
+from musterroll.operators.topk import check_limit
 from musterroll.operators.project import project, quoted
-from musterroll.operators.search import closest_values
+from musterroll.operators.search import closest_by_edits
 from musterroll.plans import catalog as cat
 from musterroll.sources.carve import carve, with_row_number
 from musterroll.sources.delimited import read_delimited, read_grid
-from musterroll.sources.tables import UNFILTERED_ROWS, first_rows, materialise
+from musterroll.sources.tables import materialise
 from musterroll.specs.model import Catalog, TableSpec
 from musterroll.specs.registers import TRUNCATION_SUFFIX
 
@@ -101,13 +102,6 @@ class Engine:
             return self.spark.read.parquet(source)
         return source() if callable(source) else source
 
-    def _guarded(self, table_id: str) -> DataFrame:
-        """A bounded part of a large table: what a query without any filter reads."""
-        source = self._bound.get(table_id)
-        if isinstance(source, str):
-            return first_rows(self.spark, source)
-        return self.table(table_id).limit(UNFILTERED_ROWS)
-
     def rows(
         self,
         table_id: str,
@@ -115,13 +109,13 @@ class Engine:
         start_period: object = None,
         end_period: object = None,
         date_column: str | None = None,
-        full_text: bool = False,
+        cut_text: int | None = None,
     ) -> DataFrame:
         """Friendly, typed, filtered rows of a table, before any reshaping.
 
         On a wide table period bounds need a date column to act on; they are never
-        ignored.  A large table asked for without any filter yields its first rows
-        only.
+        ignored.  ``cut_text`` shortens the long text columns of the spec to so many
+        characters; filters see the whole text.
         """
         spec = self.spec(table_id)
         start, end = check_period_range(start_period, end_period)
@@ -129,8 +123,7 @@ class Engine:
         bounded = spec.layout == "wide" and bool(start or end)
         if bounded and date_column not in [c.key for c in spec.columns]:
             raise ValueError(f"name the date column of {spec.id!r} the period bounds apply to")
-        whole = wanted or bounded or not spec.large
-        df = project(self.table(spec.id) if whole else self._guarded(spec.id), spec)
+        df = project(self.table(spec.id), spec)
         dimensions = [c.key for c in spec.with_role("dimension")]
         asked = [*wanted, date_column if bounded else None]
         if spec.id not in self._clean and not any(k in dimensions for k in asked):
@@ -141,11 +134,11 @@ class Engine:
         if bounded:
             declared = self.catalog.get(spec.id).column(date_column)
             df = flt.date_range(df, date_column, start, end, iso=declared.dtype == "date")
-        cuts = {} if full_text else spec.truncate
-        if not cuts:
+        if cut_text is None or not spec.truncate:
             return df
+        check_limit(cut_text, None)
         return df.withColumns(
-            {k: truncate_text(quoted(k), n, TRUNCATION_SUFFIX) for k, n in cuts.items()}
+            {k: truncate_text(quoted(k), cut_text, TRUNCATION_SUFFIX) for k in spec.truncate}
         )
 
     def _observations(
@@ -174,7 +167,7 @@ class Engine:
         measures: str | list[str] | None = None,
         format: str | None = "records",
         date_column: str | None = None,
-        full_text: bool = False,
+        cut_text: int | None = None,
         last_n: int | None = None,
     ) -> DataFrame:
         """Observations of a table as records, as series, or flat for CSV."""
@@ -185,11 +178,11 @@ class Engine:
             raise ValueError(f"Unknown format {format!r}. Valid options: {FORMATS}")
         spec = self.spec(table_id)
         start, end = check_period_range(start_period, end_period)
-        rows = self.rows(table_id, filters, start, end, date_column, full_text)
+        rows = self.rows(table_id, filters, start, end, date_column, cut_text)
         if form == "csv" and spec.layout == "wide":
             return reshape.wide_flat(rows, spec, measures, filled=self._filled(spec))
         out = self._observations(spec, rows, measures, start, end)
-        if last_n:
+        if last_n is not None:
             out = topk.last_n(out, last_n, has_periods=spec.layout == "transposed")
         if form == "series":
             return reshape.series(out)
@@ -203,7 +196,7 @@ class Engine:
         filters: object = None,
         limit: int = topk.DEFAULT_LIMIT,
         order_by: Sequence[str | Column] | None = None,
-        full_text: bool = False,
+        cut_text: int | None = None,
         with_count: bool = True,
     ) -> DataFrame:
         """The newest observation per measure, at most ``limit`` rows in a stated order.
@@ -213,7 +206,7 @@ class Engine:
         """
         spec = self.catalog.get(table_id)
         topk.check_limit(limit)
-        out = self.query(table_id, filters, full_text=full_text, last_n=1)
+        out = self.query(table_id, filters, cut_text=cut_text, last_n=1)
         if order_by is None:
             ids = [c.key for c in spec.with_role("id")] or spec.dimension_keys
             order_by = [F.try_element_at("dimensions", F.lit(k)) for k in ids]
@@ -238,7 +231,7 @@ class Engine:
         rows = project(self.table(table_id), spec).select(quoted(spec.check_filter_key(key)))
         if re.fullmatch("[0-9]{4}", value.strip()) and key not in spec.enums:
             return summaries.year_hint(rows, key, int(value))
-        return closest_values(rows, key, value.strip())
+        return closest_by_edits(rows, key, value.strip())
 
     def search(self, query: str, limit: int = 10) -> DataFrame:
         return cat.search(self.spark, self.catalog, query, limit)

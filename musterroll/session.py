@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key even where the plan above must then shuffle once more
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # lets every task cut a ranked group to the largest listing before the shuffle
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",

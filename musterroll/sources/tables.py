@@ -15,10 +15,6 @@ from musterroll.operators.filters import drop_blank_rows
 from musterroll.operators.project import project, quoted
 from musterroll.specs.model import Catalog, TableSpec, some
 
-# Fixed value: rows of a large table returned when nothing narrows the query.
-UNFILTERED_ROWS = 100_000
-
-
 def shared_dir(spark: SparkSession) -> str | None:
     """The folder the cluster shares between its executors, if it names one."""
     context = spark.sparkContext
@@ -46,7 +42,7 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return df if columns is None else df.select(*[quoted(c) for c in columns])
 
 
-def first_rows(spark: SparkSession, path: str, rows: int = UNFILTERED_ROWS) -> DataFrame:
+def first_rows(spark: SparkSession, path: str, rows: int) -> DataFrame:
     """The first rows of a Parquet table in file order, without reading the rest.
 
     Rows per file come from file footers, a few files at a time, until enough are
@@ -161,7 +157,7 @@ def materialise_many(
         try:
             return table_id, "ok", materialise(load(spec), target(spec), spec=spec)
         except Exception as error:  # noqa: BLE001 - reported per table
-            return table_id, f"error: {type(error).__name__}: {error}"[:200], None
+            return table_id, f"error: {type(error).__name__}: {error}", None
 
     with ThreadPoolExecutor(max(1, max_concurrency)) as pool:
         rows = list(pool.map(run, ids))

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import dataclasses
 import difflib
+import functools
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-from musterroll.functions.regions import STATE_KEYS, normalize_region_text
+from musterroll.functions.regions import (
+    STATE_KEYS,
+    STATE_NAMES,
+    normalize_region_text,
+    state_spellings,
+)
 
 # The shape of a table id, the column roles, types and layouts.
 TABLE_ID_PATTERN = r"[A-Z][A-Z0-9_]*"
@@ -196,41 +202,46 @@ class TableSpec:
 
     def check_filter_key(self, key: str) -> str:
         """Only id and dimension columns can be filtered."""
-        valid = sorted(c.key for c in self.with_role("id", "dimension"))
-        if key not in valid:
-            raise ValueError(
-                f"Filter {key!r} is not a column on {self.id}. {hint_for(key, valid)}"
-                f"Valid filters: {some(valid)}"
-            )
-        return key
+        allowed = {c.key for c in self.with_role("id", "dimension")}
+        if key in allowed:
+            return key
+        raise ValueError(
+            f"{self.id} cannot be filtered by {key!r}. {hint_for(key, sorted(allowed))}"
+            f"It can by: {some(sorted(allowed))}"
+        )
+
+    @functools.cached_property
+    def accepted(self) -> dict[str, dict[str, str]]:
+        """Per column every accepted spelling of a value and the source value it stands for."""
+        tables: dict[str, dict[str, str]] = {}
+        for key in {c.key for c in self.columns} & (STATE_KEYS | set(self.enums)):
+            enum = self.enums.get(key)
+            table = tables[key] = {}
+            if key in STATE_KEYS:
+                sources = {v.upper(): v for v in (enum or dict.fromkeys(STATE_NAMES)) if v.upper() in STATE_NAMES}
+                sources |= {v.upper(): v for v in (enum or {}).values()}
+                table |= {s: sources[code] for s, code in state_spellings().items() if code in sources}
+            table |= {v: v for v in (enum or {}).values()} | (enum or {})
+        return tables
 
     def translate(self, key: str, value: str) -> str:
-        """Alias or source value of an enum column to its source value.
+        """The source value that a filter value stands for.
 
-        Region columns also take state names, ISO codes and postcodes. Columns
-        without an enum pass their value through.
+        Columns without accepted spellings take any value as it is; region columns also
+        take names, ISO codes and postcodes in any case.
         """
-        enum = self.enums.get(key)
-        region = normalize_region_text(value) if key in STATE_KEYS else None
-        if enum is None:
-            return region or value
-        if value in enum:
-            return enum[value]
-        if value in enum.values():
+        table = self.accepted.get(key)
+        if table is None:
             return value
-        if region is not None:
-            for spelling in (region, region.lower()):
-                if spelling in enum:
-                    return enum[spelling]
-            for source in enum.values():
-                if source.upper() == region:
-                    return source
-        aliases = sorted(enum)
-        raise ValueError(
-            f"Unknown value {value!r} for filter {key!r} on {self.id}. "
-            f"{hint_for(value, aliases + sorted(set(enum.values())))}"
-            f"Valid options: {some(aliases)}"
-        )
+        region = (value.strip().lower(), (normalize_region_text(value) or "").lower())
+        spellings = (value, *region) if key in STATE_KEYS else (value,)
+        found = next((table[s] for s in spellings if s in table), None)
+        if found is None and key in self.enums:
+            raise ValueError(
+                f"{key} of {self.id} has no value {value!r}. {hint_for(value, sorted(table))}"
+                f"It has: {some(sorted(self.enums[key]))}"
+            )
+        return value if found is None else found
 
     def metric_enum(self) -> dict[str, str] | None:
         """Alias map of the metric labels of a transposed table."""
@@ -238,46 +249,40 @@ class TableSpec:
             return None
         return self.enums.get(self.key_of(self.metric_label))
 
+    @functools.cached_property
+    def measure_names(self) -> dict[str, str]:
+        """Every name a measure can be asked for by, and its key, in spec order."""
+        if self.layout == "transposed" and not self.measure_keys:
+            return {alias: alias for alias in self.metric_enum() or ()}
+        keys = {k: k for k in self.measure_keys}
+        return keys | {c.source: c.key for c in self.with_role("measure") if c.source not in keys}
+
     def resolve_measures(self, requested: str | list[str] | None = None) -> list[str]:
-        """Measure keys asked for by key or source header, in order, once each."""
-        valid = self.measure_keys
-        if not valid and self.layout == "transposed":
-            valid = list(self.metric_enum() or ())
+        """Keys of the measures asked for, in the order asked, once each; all by default."""
+        names = self.measure_names
         if requested is None:
-            return valid
-        if isinstance(requested, str):
-            requested = [requested]
-        if not isinstance(requested, list):
-            raise ValueError(
-                f"measures must be a string or list of strings, got {type(requested).__name__}"
-            )
-        if not requested:
-            raise ValueError("measures is an empty list; omit it to return all")
-        by_source = {c.source: c.key for c in self.with_role("measure")}
-        resolved: dict[str, None] = {}
-        for item in map(str, requested):
-            name = item.strip()
-            if not name:
-                raise ValueError(f"Empty measure key. Valid measures: {some(sorted(valid), 15)}")
-            key = name if name in valid else by_source.get(name)
-            if key is None:
-                raise ValueError(
-                    f"Unknown measure {item!r} on {self.id}. "
-                    + (
-                        f"{hint_for(name, sorted(valid))}Valid measures: {some(sorted(valid))}"
-                        if valid
-                        else "The table has no measures; omit `measures` to return all rows."
-                    )
-                )
-            resolved[key] = None
-        return list(resolved)
+            return list(dict.fromkeys(names.values()))
+        asked = [requested] if isinstance(requested, str) else requested
+        if not isinstance(asked, list) or not asked:
+            raise ValueError("give a measure, a non-empty list of them, or nothing for all")
+        asked = [str(a).strip() for a in asked]
+        for name in asked:
+            if name not in names:
+                offer = f"It has: {some(names)}" if names else "It has none at all."
+                raise ValueError(f"{self.id} has no measure {name!r}. {hint_for(name, names)}{offer}")
+        return list(dict.fromkeys(names[a] for a in asked))
 
 
 class Catalog:
-    """The tables an engine knows, by id."""
+    """The tables an engine knows, by id.
+
+    ``prefixes`` are publishers' names that may stand before an id (``PUB_COMPANIES``) and
+    do stand before their package ids on a portal (``pub-companies``).
+    """
 
-    def __init__(self, specs: Iterable[TableSpec] = ()):
+    def __init__(self, specs: Iterable[TableSpec] = (), prefixes: Iterable[str] = ()):
         self._specs: dict[str, TableSpec] = {}
+        self.prefixes = tuple(p.strip().upper() for p in prefixes)
         for spec in specs:
             self.register(spec)
 
@@ -294,9 +299,15 @@ class Catalog:
         return [self._specs[i] for i in self.ids()]
 
     def find(self, table_id: str) -> TableSpec | None:
-        """Spec by id in any case; a publisher prefix before the id is accepted."""
+        """Spec by id in any case, with or without one of the catalogue's prefixes."""
         text = table_id.strip().upper()
-        return self._specs.get(text) or self._specs.get(text.partition("_")[2])
+        forms = [text, *(text.removeprefix(f"{p}_") for p in self.prefixes)]
+        return next((self._specs[f] for f in forms if f in self._specs), None)
+
+    def packages(self, spec: TableSpec) -> list[str]:
+        """Portal package ids of a table: as declared, and under each prefix."""
+        name = (spec.discovery or {}).get("package")
+        return [name, *(f"{p.lower()}-{name}" for p in self.prefixes)] if name else []
 
     def get(self, table_id: object) -> TableSpec:
         text = normalize_id(table_id)

@@ -1,8 +1,8 @@
 """Specs of the twelve public registers and the daily short-position feed.
 
 Fixed values: column keys, roles, types, source headers, enum aliases, units,
-resource names, cadences and the text cut below must equal what the published
-extracts and existing queries use.  They are listed as they are.
+resource names and cadences below must equal what the published extracts and existing
+queries use.  They are listed as they are.  Descriptions and keywords are our own.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from musterroll.functions.regions import state_enum
 from musterroll.specs.model import TableSpec, columns
 
-TRUNCATION_SUFFIX = "...[truncated, use include_full_authorisation=true to see full text]"
+TRUNCATION_SUFFIX = "...[cut here; leave out cut_text to see the full text]"
 TRUNCATION_CHARS = 200
 
 _WEEKLY = dict(
@@ -27,8 +27,8 @@ COMPANIES = TableSpec(
     name="Company Register",
     description="Every registered company with its number, type, status and registration dates.",
     keywords=(
-        "company register", "company search", "acn", "company status", "company type",
-        "proprietary company", "public company", "pty ltd", "deregistered company",
+        "incorporated entities", "corporation lookup", "limited companies",
+        "australian company number", "wound up or struck off", "who incorporated when",
     ),
     discovery={"package": "companies", "resource_name": "Company Dataset - Current"},
     natural_key=("acn",),
@@ -61,8 +61,8 @@ BUSINESS_NAMES = TableSpec(
     name="Business Names Register",
     description="Registered and cancelled business (trading) names and who holds them.",
     keywords=(
-        "business name", "trading name", "trading as", "business name lookup",
-        "business name status", "sole trader name",
+        "shop and brand names", "registered name of a business", "names held by a person or firm",
+        "name renewal and cancellation", "storefront name",
     ),
     discovery={"package": "business-names", "resource_name": "Business Names Dataset - Current"},
     natural_key=("state_number", "business_name", "abn"),
@@ -91,8 +91,8 @@ FINANCIAL_ADVISERS = TableSpec(
     name="Financial Advisers Register",
     description="People who give personal financial advice, one row per appointment.",
     keywords=(
-        "financial adviser", "financial advisor", "financial advice", "adviser register",
-        "personal advice", "retail clients", "professional standards",
+        "people giving money advice", "investment planner", "adviser history",
+        "qualifications of a planner", "who advised under which licence",
     ),
     discovery={
         "package": "financial-adviser",
@@ -122,8 +122,12 @@ FINANCIAL_ADVISERS = TableSpec(
     """),
     enums={
         "state": state_enum(),
-        "overall_registration_status": {"current": "Current", "ceased": "Ceased"}
-        | _same("Current", "Ceased"),
+        # the published extract says Registered / Not Registered; older ones Current / Ceased
+        "overall_registration_status": {
+            "registered": "Registered", "current": "Registered",
+            "not registered": "Not Registered", "ceased": "Not Registered",
+        }
+        | _same("Registered", "Not Registered", "Current", "Ceased"),
         "adviser_role_status": {"current": "Current", "ceased": "Ceased"}
         | _same("Current", "Ceased"),
     },
@@ -135,8 +139,8 @@ AFS_AUTH_REP = TableSpec(
     name="AFS Authorised Representative Register",
     description="Representatives who act under a financial services licence.",
     keywords=(
-        "afs authorised representative", "afsl rep", "corporate authorised representative",
-        "representative number", "financial services rep",
+        "agents of a licence holder", "appointed on behalf of a licensee",
+        "delegated financial services", "cross endorsement", "rep appointments",
     ),
     discovery={
         "package": "afs-authorised-representative",
@@ -172,8 +176,8 @@ AFS_LICENSEE = TableSpec(
     name="Australian Financial Services Licensee Register",
     description="Holders of a financial services licence and what the licence authorises.",
     keywords=(
-        "afs licensee", "afsl", "financial services licence", "fund manager licence",
-        "stockbroker", "broker licence", "investment adviser firm",
+        "holders of a financial services permit", "licensed dealers and brokers",
+        "licence conditions", "funds and platforms operator", "authorised financial business",
     ),
     discovery={"package": "afs-licensee", "resource_name": "AFS Licensee Dataset - Current"},
     natural_key=("licence_number",),
@@ -202,8 +206,8 @@ CREDIT_LICENSEE = TableSpec(
     name="Australian Credit Licensee Register",
     description="Holders of a consumer credit licence and its status history.",
     keywords=(
-        "credit licensee", "australian credit licence", "consumer credit", "mortgage broker licence",
-        "lender licence", "credit provider",
+        "holders of a lending permit", "licensed lenders",
+        "home loan and consumer lending business", "credit business conditions", "loan company",
     ),
     discovery={"package": "credit-licensee", "resource_name": "Credit Licence Dataset - Current"},
     natural_key=("licence_number",),
@@ -240,8 +244,8 @@ CREDIT_REPRESENTATIVE = TableSpec(
     name="Credit Representative Register",
     description="Representatives who act under a consumer credit licence.",
     keywords=(
-        "credit representative", "credit rep", "mortgage broker", "finance broker",
-        "credit intermediary", "credit activities",
+        "agents of a lender", "loan broker", "appointed for a credit licence holder",
+        "person arranging loans", "credit appointments",
     ),
     discovery={
         "package": "credit-representative",
@@ -272,8 +276,8 @@ BANNED_PERSONS = TableSpec(
     name="Banned and Disqualified Persons Register",
     description="People banned or disqualified, with the type and term of the ban.",
     keywords=(
-        "banned person", "disqualified director", "banning order", "banned financial adviser",
-        "banned credit", "enforcement", "prohibited person",
+        "people barred from the industry", "individual bans", "barred from managing companies",
+        "banned individual", "regulatory action against a person",
     ),
     discovery={
         "package": "banned-disqualified-per",
@@ -302,8 +306,8 @@ BANNED_ORGS = TableSpec(
     name="Banned and Disqualified Organisations Register",
     description="Organisations banned or disqualified, with the type and term of the ban.",
     keywords=(
-        "banned organisation", "banned company", "banned firm", "banning order organisation",
-        "disqualified corporation", "enforcement organisations",
+        "firms barred from the industry", "organisation bans", "barred business", "banned entity",
+        "regulatory action against a firm",
     ),
     discovery={
         "package": "banned-disqualified-org",
@@ -328,8 +332,9 @@ LIQUIDATOR = TableSpec(
     name="Registered Liquidator Register",
     description="Registered and official liquidators, their firm and status.",
     keywords=(
-        "registered liquidator", "official liquidator", "insolvency practitioner",
-        "external administrator", "voluntary administrator",
+        "winding up specialist", "insolvent company administrator",
+        "person closing a failed company", "receivers and administrators",
+        "insolvency appointments",
     ),
     discovery={"package": "liquidator", "resource_name": "Liquidator Dataset - Current"},
     natural_key=("liquidator_number",),
@@ -364,8 +369,8 @@ AUDITORS = TableSpec(
     name="Registered Auditor Register",
     description="Registered company auditors and their registration status.",
     keywords=(
-        "registered auditor", "company auditor", "audit registration", "auditor status",
-        "auditor suspended",
+        "approved company auditors", "people who audit accounts", "audit practitioner",
+        "suspended or cancelled auditors", "financial report audit",
     ),
     discovery={
         "package": "registered-auditor",
@@ -400,8 +405,8 @@ SMSF_AUDITORS = TableSpec(
     name="Self-Managed Super Fund Auditor Register",
     description="Auditors of self-managed super funds, one row per condition or capacity.",
     keywords=(
-        "smsf auditor", "self managed super fund auditor", "smsf audit", "smsf register",
-        "smsf number",
+        "auditors of private pension funds", "self run superannuation",
+        "super fund audit approval", "smsf conditions", "retirement fund auditor",
     ),
     discovery={"package": "smsf", "resource_name": "SMSF Auditor Dataset - Current"},
     natural_key=("smsf_auditor_number", "attribute_type", "capacity", "condition"),
@@ -441,8 +446,8 @@ SHORT_POSITIONS = TableSpec(
     name="Daily Aggregated Short Position Report",
     description="Reported short positions per listed product, one file per trading day.",
     keywords=(
-        "short positions", "short selling", "short interest", "most shorted", "shorted stocks",
-        "daily short positions",
+        "shares sold short", "bets against a share", "most heavily shorted securities",
+        "daily short sale totals", "percentage of issue shorted",
     ),
     cadence="daily",
     cache_kind="data",

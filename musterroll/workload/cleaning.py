@@ -207,3 +207,19 @@ def region_normalize(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "customer").select(
         "c_custkey", normalize_region(text).alias("state")
     )
+
+
+@check("""
+    SELECT l_orderkey, l_linenumber, written,
+           CASE WHEN written LIKE '%.0' THEN CAST(l_quantity AS BIGINT) END AS as_long
+    FROM (SELECT l_orderkey, l_linenumber, l_quantity,
+                 CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
+                 || CASE WHEN l_linenumber % 2 = 0 THEN '.0' ELSE '.0000000001' END AS written
+          FROM lineitem)
+""")
+def coerce_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """A fraction beyond any rounding is still a fraction."""
+    tail = F.when(F.col("l_linenumber") % 2 == 0, ".0").otherwise(".0000000001")
+    text = F.concat(F.col("l_quantity").cast("bigint").cast("string"), tail)
+    lines = load(spark, folder, "lineitem").withColumn("written", text)
+    return lines.select("l_orderkey", "l_linenumber", "written", C.to_long(F.col("written")).alias("as_long"))

@@ -274,11 +274,26 @@ def query_summary(spark: SparkSession, folder: str) -> DataFrame:
 @check("""
     SELECT doc_id, lang,
            CASE WHEN length(text) > 200 THEN substr(text, 1, 200)
-                || '...[truncated, use include_full_authorisation=true to see full text]'
+                || '...[cut here; leave out cut_text to see the full text]'
                 ELSE text END AS text
     FROM documents WHERE contains(lower(text), 'the') AND lang IN ('en', 'de')
 """)
 def query_long_text(spark: SparkSession, folder: str) -> DataFrame:
     """The filter sees the whole text, the result shows its beginning."""
-    rows = engine(spark, folder).rows("DOCUMENTS", {"text": "THE*", "lang": ["en", "de"]})
+    rows = engine(spark, folder).rows(
+        "DOCUMENTS", {"text": "THE*", "lang": ["en", "de"]}, cut_text=200
+    )
     return rows.select("doc_id", "lang", "text")
+
+
+@check("""
+    SELECT 'quantity' AS measure, count(l_quantity) AS n, round(sum(l_quantity), 2) AS total FROM lineitem
+    UNION ALL SELECT 'price', count(l_extendedprice), round(sum(l_extendedprice), 2) FROM lineitem
+    UNION ALL SELECT 'discount', count(l_discount), round(sum(l_discount), 2) FROM lineitem
+""")
+def query_unfiltered(spark: SparkSession, folder: str) -> DataFrame:
+    """Nothing narrows the query of a large table: every row counts."""
+    rows = engine(spark, folder).query("LINEITEM")
+    return rows.groupBy("measure").agg(
+        F.count("value").alias("n"), F.round(F.sum("value"), 2).alias("total")
+    )

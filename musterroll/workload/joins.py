@@ -39,7 +39,7 @@ def enrich_chain(spark: SparkSession, folder: str) -> DataFrame:
     named = J.join_on_key(
         supplier, nation, "s_nationkey", "n_nationkey", "inner", normalize=False
     )
-    joined = J.join_on_key(sums, named, "l_suppkey", "s_suppkey", "inner", rows_per_task=None)
+    joined = J.join_on_key(sums, named, "l_suppkey", "s_suppkey", "inner")
     return joined.groupBy("l_returnflag", "n_name").agg(
         F.sum("n").alias("n_lines"), F.round(F.sum("q"), 2).alias("quantity")
     )
@@ -57,7 +57,7 @@ def enrich_skewed(spark: SparkSession, folder: str) -> DataFrame:
     flag = F.when(F.col("event_type") != "error", F.least("user_id", F.lit(7).cast("bigint")))
     events = load(spark, folder, "events").select("event_id", flag.alias("flag"))
     nation = load(spark, folder, "nation").select("n_nationkey", "n_name")
-    joined = J.join_on_key(events, nation, "flag", "n_nationkey", "left", rows_per_task=500)
+    joined = J.join_on_key(events, nation, "flag", "n_nationkey", "left")
     return joined.select("event_id", "flag", "n_name")
 
 
@@ -81,3 +81,16 @@ def unlisted(spark: SparkSession, folder: str) -> DataFrame:
     return J.unlisted(load(spark, folder, "customer"), orders, "c_custkey", "o_custkey").select(
         "c_custkey", "c_name"
     )
+
+
+@check("""
+    SELECT o_orderkey, o_custkey, best AS c_name FROM orders
+    LEFT JOIN (SELECT c_nationkey, min(c_name) AS best FROM customer GROUP BY c_nationkey)
+        ON o_custkey % 25 = c_nationkey
+""")
+def enrich_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """The right side has every key many times: left rows do not multiply."""
+    nation = (F.col("o_custkey") % 25).alias("nation")
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", nation)
+    joined = J.enrich(orders, load(spark, folder, "customer"), "nation", "c_nationkey", ["c_name"])
+    return joined.select("o_orderkey", "o_custkey", "c_name")

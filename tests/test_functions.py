@@ -47,6 +47,13 @@ def test_numbers_are_lenient_value_by_value(spark):
     ]
 
 
+def test_whole_numbers_are_not_rounded(spark):
+    texts = ["12.0000001", "12.0000000000000000000001", "+5", "-0.00", ".0", ".", "1.", "1.5e1", "1e-1", "9007199254740993", "--1", "1_0"]
+    assert column(spark, texts, C.to_long(F.col("c"))) == [
+        None, None, 5, 0, 0, None, 1, 15, None, 9007199254740993, None, None,
+    ]
+
+
 def test_whole_numbers_print_without_fraction(spark):
     got = column(spark, [94600082111.0, 1.5, None], C.whole_number_text(F.col("c")), "double")
     assert got == ["94600082111", "1.5", None]

@@ -273,18 +273,17 @@ def test_ingested_register_dates_and_output(companies):
     assert {r["truncated_at"] for r in companies.latest("COMPANIES").collect()} == {None}
 
 
-def test_unfiltered_large_table_is_guarded(spark, tmp_path, monkeypatch):
-    import musterroll.plans.engine as module
-
-    monkeypatch.setattr(module, "UNFILTERED_ROWS", 5)
-    monkeypatch.setattr(module, "first_rows", lambda s, p: S.first_rows(s, p, 5))
+def test_unfiltered_large_table_is_whole(spark, tmp_path):
     cells = [c.source for c in BUSINESS_NAMES.columns]
-    raw = spark.range(20).select(*[F.col("id").cast("string").alias(c) for c in cells])
+    raw = spark.range(150_000).select(*[F.col("id").cast("string").alias(c) for c in cells])
     engine = Engine(spark, Catalog(REGISTERS))
-    assert engine.bind("BUSINESS_NAMES", raw).query("BUSINESS_NAMES").count() == 5
     raw.write.parquet(str(tmp_path / "bn"))
-    assert engine.bind("BUSINESS_NAMES", str(tmp_path / "bn")).query("BUSINESS_NAMES").count() == 5
-    assert engine.query("BUSINESS_NAMES", {"business_name": "1"}).count() == 11
+    for source in (raw, str(tmp_path / "bn")):
+        engine.bind("BUSINESS_NAMES", source)
+        assert engine.query("BUSINESS_NAMES").count() == 150_000
+        assert engine.summary("BUSINESS_NAMES").head()["row_count"] == 150_000
+    assert engine.latest("BUSINESS_NAMES", limit=1).head()["truncated_at"] == 150_000
+    assert engine.query("BUSINESS_NAMES", {"business_name": "14999"}).count() == 12
 
 
 def test_carved_register_and_clustered_files(spark, tmp_path):
@@ -326,7 +325,7 @@ def test_suggestions(companies):
     assert near[0]["company_name"] == "ACME BANK PTY LTD"
     hint = companies.suggest("COMPANIES", "current_name", "2020").head()
     assert hint["requested"] == 2020 and hint["direction"] is None
-    with pytest.raises(ValueError, match="not a column"):
+    with pytest.raises(ValueError, match="cannot be filtered"):
         companies.suggest("COMPANIES", "nope", "x")
 
 
