@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from musterroll.functions.cleaning import truncate_text
 from musterroll.functions.periods import check_period_range
 from musterroll.operators import filters as flt
-from musterroll.operators import reshape, summaries, topk
+from musterroll.operators import reshape, snapshots, summaries, topk
 from musterroll.operators.topk import check_limit
 from musterroll.operators.project import project, quoted
 from musterroll.operators.search import closest_by_edits
 from musterroll.plans import catalog as cat
 from musterroll.sources.carve import carve, with_row_number
 from musterroll.sources.delimited import read_delimited, read_grid
-from musterroll.sources.tables import materialise
+from musterroll.sources.tables import materialise, materialise_many
 from musterroll.specs.model import Catalog, TableSpec
 from musterroll.specs.registers import TRUNCATION_SUFFIX
 
@@ -40,6 +40,7 @@ class Engine:
         self.catalog = catalog
         self._bound: dict[str, DataFrame | str | Callable[[], DataFrame]] = {}
         self._clean: set[str] = set()
+        self._snapshots: dict[str, tuple[str, str]] = {}
 
     def bind(
         self,
@@ -87,6 +88,60 @@ class Engine:
         self.bind(spec.id, target, materialised=True)
         return rows
 
+    def refresh(
+        self,
+        resources: DataFrame,
+        as_of: str,
+        target: Callable[[TableSpec], str],
+        ids: Sequence[str] | None = None,
+        host: str | None = None,
+    ) -> DataFrame:
+        """Convert and bind the current file of every table, as a portal listing names it.
+
+        ``resources`` lists what a portal offers: package, name, format, url and listing
+        order (``ordinal``).  A table's resource is the newest of its declared name on the
+        allowed host; a table with a file template takes the newest day within its
+        look-back that the listing has.  Returns id, url, status and rows per table.
+        """
+        specs = [self.catalog.get(i) for i in (ids or self.catalog.ids())]
+        rows = []
+        for spec in specs:  # tables of a catalogue, not data
+            url = self._current(spec, resources, as_of, host)
+            if url is None:
+                rows.append((spec.id, None, "error: no resource is listed", None))
+                continue
+            try:
+                rows.append((spec.id, url, "ok", self.ingest(spec.id, url, target(spec))))
+                self._snapshots[spec.id] = (url, as_of)
+            except Exception as error:  # noqa: BLE001 - reported per table
+                rows.append((spec.id, url, f"error: {type(error).__name__}: {error}", None))
+        return self.spark.createDataFrame(rows, "id string, url string, status string, rows long")
+
+    def _current(self, spec: TableSpec, resources: DataFrame, as_of: str, host: str | None) -> str | None:
+        """Address of the newest listed file of a table, if there is one."""
+        listed = resources
+        if host is not None:
+            listed = listed.where(snapshots.host_allowed(F.col("url"), host))
+        if spec.file_template:
+            name = re.split(r"\{date[^}]*\}", spec.file_template.rsplit("/", 1)[-1])
+            pattern = "([0-9]{8})".join(map(re.escape, name))
+            day = F.try_to_date(F.regexp_extract("url", f"{pattern}$", 1), "yyyyMMdd")
+            today = F.lit(as_of).cast("date")
+            inside = listed.withColumn("day", day).where(
+                F.col("day").between(F.date_sub(today, spec.lookback_days), today)
+            )
+            row = inside.orderBy(F.col("day").desc(), "url").select("url").head()
+        elif spec.discovery:
+            packages = self.catalog.packages(spec)
+            own = listed.where(F.col("package").isin(*packages))
+            found = snapshots.latest_resource(
+                own, "package", "name", "ordinal", exact=spec.discovery.get("resource_name"), fmt="csv"
+            )
+            row = found.orderBy(F.col("year").desc(), "package").select("url").head()
+        else:
+            row = None
+        return row["url"] if row else None
+
     def spec(self, table_id: str) -> TableSpec:
         """The spec of a table in the form its bound data has."""
         spec = self.catalog.get(table_id)
@@ -213,11 +268,27 @@ class Engine:
             order_by += [F.col("measure"), F.col("period"), F.to_json("dimensions")]
         return topk.limited(out, order_by, limit, with_count)
 
-    def summary(self, table_id: str, **arguments: object) -> DataFrame:
-        """One row that describes the result of a query, and echoes what was asked."""
+    def summary(
+        self,
+        table_id: str,
+        as_of: str | None = None,
+        snapshot_date: str | None = None,
+        **arguments: object,
+    ) -> DataFrame:
+        """One row that describes the result of a query, and echoes what was asked.
+
+        With ``as_of`` it says whether the snapshot is stale; the snapshot's date is that
+        of the last :meth:`refresh` unless given.
+        """
         spec = self.catalog.get(table_id)
         start, end = arguments.get("start_period"), arguments.get("end_period")
-        row = summaries.summary(self.query(table_id, **arguments), spec, start, end)
+        if snapshot_date is None and spec.id in self._snapshots:
+            snapshot_date = self._snapshots[spec.id][1]
+        source = self._snapshots.get(spec.id, ("",))[0]
+        row = summaries.summary(
+            self.query(table_id, **arguments), spec, start, end, source,
+            snapshot_date=snapshot_date, as_of=as_of,
+        )
         asked = dict(arguments, filters=flt.parse_filters(arguments.get("filters")))
         asked = {k: v for k, v in asked.items() if v not in (None, {})}
         return row.withColumn("query", F.lit(json.dumps(asked, sort_keys=True)))
@@ -233,6 +304,24 @@ class Engine:
             return summaries.year_hint(rows, key, int(value))
         return closest_by_edits(rows, key, value.strip())
 
+    def materialise_all(
+        self,
+        load: Callable[[TableSpec], DataFrame],
+        target: Callable[[TableSpec], str],
+        ids: Sequence[str] | None = None,
+        max_concurrency: int = 2,
+    ) -> DataFrame:
+        """Convert many tables and bind those that succeed; status and rows per table."""
+        status = materialise_many(self.spark, self.catalog, load, target, ids, max_concurrency)
+        for row in status.collect():
+            if row["status"] == "ok":
+                self.bind(row["id"], target(self.catalog.get(row["id"])), materialised=True)
+        return status
+
+    def values(self, table_id: str) -> DataFrame:
+        """Accepted values of a table's enum columns: alias and source value."""
+        return cat.enum_values(self.spark, [self.catalog.get(table_id)])
+
     def search(self, query: str, limit: int = 10) -> DataFrame:
         return cat.search(self.spark, self.catalog, query, limit)
 

@@ -10,7 +10,7 @@ from musterroll.sources.delimited import normalize_header
 
 
 def with_row_number(grid: DataFrame, column: str = "_row") -> DataFrame:
-    """Number the rows of a file scan from 1 in file order.
+    """Number the rows of a scan of one file from 1 in file order.
 
     Rows are numbered inside each split; the offsets of the splits come from one
     count per split, so no task handles more than a split.

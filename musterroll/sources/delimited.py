@@ -6,24 +6,22 @@ Every column is read as text, so leading zeros of keys survive.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from musterroll.functions.cleaning import null_tokens
+from musterroll.functions.cleaning import null_tokens, strip_text
 from musterroll.operators.project import quoted
 
 # Date digits in the last part of a path.
 DATE_IN_NAME = r"(\d{8})[^/]*$"
 
-# Bytes read to find a file's header, the encodings tried in order,
-# and how the bytes 0x80-0x9F read in windows-1252 (five of them are undefined).
-HEAD_BYTES = 8192
+# The encodings tried in order, and how the bytes 0x80-0x9F read in
+# windows-1252 (five of them are undefined).
 ENCODINGS = ("utf-8", "windows-1252", "iso-8859-1")
 UNDEFINED_1252 = (0x81, 0x8D, 0x8F, 0x90, 0x9D)
 SCAN_CHARSET = {"utf-8": "UTF-8", "windows-1252": "ISO-8859-1", "iso-8859-1": "ISO-8859-1"}
@@ -34,18 +32,6 @@ def normalize_header(name: str) -> str:
     return "\n".join(part.strip() for part in name.lstrip("\ufeff").split("\n"))
 
 
-def first_line(head: str) -> str:
-    """First line with any text in it."""
-    lines = head.lstrip("\ufeff").splitlines()
-    return next((line for line in lines if line.strip()), "")
-
-
-def sniff_delimiter(head: str) -> str:
-    """Tab if the first filled line has more tabs than commas, else comma."""
-    line = first_line(head)
-    return "\t" if line.count("\t") > line.count(",") else ","
-
-
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Addresses of the files under paths; file contents are not read."""
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -53,51 +39,47 @@ def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("path"))
 
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            filesystem, inner = fs.FileSystem.from_uri(path)
-            with filesystem.open_input_stream(inner) as stream:
-                head = stream.read(HEAD_BYTES).decode("utf-8", errors="replace")
-            rows.append((path, sniff_delimiter(head), first_line(head)))
-        yield pd.DataFrame(rows, columns=["path", "delimiter", "header"])
+def delimiter_of(header: Column) -> Column:
+    """Tab if the header line has more tabs than commas, else comma."""
+    many = lambda mark: F.length(header) - F.length(F.replace(header, F.lit(mark), F.lit("")))
+    return F.when(many("\t") > many(","), "\t").otherwise(",")
 
 
 def file_heads(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Delimiter and header line per file; tasks read only the head of each file."""
-    listing = list_files(spark, paths)
-    return listing.mapInPandas(_first_lines, "path string, delimiter string, header string")
-
+    """Header line, delimiter and encoding of every file that has a byte.
 
-def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """First encoding of :data:`ENCODINGS` that reads the whole file, per file.
-
-    One splittable pass over the raw lines, reduced per file inside each task.
+    One splittable pass over the raw lines by Spark's own reader, reduced per file inside
+    each task.  The header is the first line with any text, however far down it is; the
+    encoding is the first of :data:`ENCODINGS` that reads the whole file.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     undefined = "[" + "".join(f"\\x{b:02X}" for b in UNDEFINED_1252) + "]"
     raw = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     valid = F.is_valid_utf8("value")
     ascii_only = valid & (F.octet_length("value") == F.length("value"))
-    return (
-        spark.read.text(paths)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            valid.alias("utf8"),
-            F.when(ascii_only, False).otherwise(raw.rlike(undefined)).alias("undefined"),
-        )
-        .groupBy("path")
-        .agg(F.bool_and("utf8").alias("utf8"), F.bool_or("undefined").alias("undefined"))
-        .select(
-            "path",
-            F.when(F.col("utf8"), ENCODINGS[0])
-            .when(~F.col("undefined"), ENCODINGS[1])
-            .otherwise(ENCODINGS[2])
-            .alias("encoding"),
-        )
+    line = F.regexp_replace(F.make_valid_utf8("value"), "^\ufeff", "")
+    place = F.struct(
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
+    )
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.when(strip_text(line) != "", place).alias("place"),
+        line.alias("line"),
+        valid.alias("utf8"),
+        F.when(ascii_only, False).otherwise(raw.rlike(undefined)).alias("undefined"),
+    )
+    found = lines.groupBy("path").agg(
+        F.min_by("line", "place").alias("header"),
+        F.bool_and("utf8").alias("utf8"),
+        F.bool_or("undefined").alias("undefined"),
+    )
+    encoding = F.when(F.col("utf8"), ENCODINGS[0]).when(~F.col("undefined"), ENCODINGS[1])
+    header = F.coalesce("header", F.lit(""))
+    return found.select(
+        "path",
+        header.alias("header"),
+        delimiter_of(header).alias("delimiter"),
+        encoding.otherwise(ENCODINGS[2]).alias("encoding"),
     )
 
 
@@ -159,16 +141,12 @@ def file_groups(
     delimiter: str | None = None,
     encoding: str = "auto",
 ) -> list[FileGroup]:
-    """Files by delimiter, encoding and header: metadata, one row per file."""
-    heads = file_heads(spark, paths)
-    if encoding == "auto":
-        # an empty file has no lines, hence no encoding row
-        heads = heads.join(file_encodings(spark, paths), "path", "left")
-    else:
-        heads = heads.withColumn("encoding", F.lit(encoding))
-    rows = heads.select(
-        "path", "delimiter", "header", F.coalesce("encoding", F.lit(ENCODINGS[0])).alias("encoding")
-    ).collect()
+    """Files by delimiter, encoding and header: metadata, one row per file.
+
+    Files without a byte hold nothing and are left out.
+    """
+    known = F.col("encoding") if encoding == "auto" else F.lit(encoding).alias("encoding")
+    rows = file_heads(spark, paths).select("path", "delimiter", "header", known).collect()
     groups: dict[tuple[str, str, str], list[str]] = {}
     for row in sorted(rows, key=lambda r: r["path"]):
         key = (delimiter or row["delimiter"], row["encoding"], row["header"])
@@ -186,9 +164,8 @@ def read_delimited(
 ) -> DataFrame:
     """CSV / TSV files of one register as one all-text table.
 
-    Delimiter and header are found per file; with ``encoding="auto"`` the encoding
-    is too, at the price of a pass over the raw text.  Columns that a file lacks
-    are null.
+    Delimiter, header and, with ``encoding="auto"``, encoding are found per file, in one
+    pass over the raw text.  Columns that a file lacks are null.
     """
     groups = file_groups(spark, paths, delimiter, encoding)
     if not groups:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from musterroll.operators import reshape
 from musterroll.operators.project import project
 from musterroll.plans.engine import Engine
 from musterroll.specs.model import Catalog
-from musterroll.specs.tables import CUSTOMER, LINEITEM, SAMPLE_TABLES
+from musterroll.specs.tables import CUSTOMER, LINEITEM, ORDERS, SAMPLE_TABLES
 from musterroll.workload.base import check, load
 
 
@@ -297,3 +299,18 @@ def query_unfiltered(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("measure").agg(
         F.count("value").alias("n"), F.round(F.sum("value"), 2).alias("total")
     )
+
+
+@check("""
+    SELECT 'ORDERS' AS table_id, count(*) AS row_count, TRUE AS stale,
+           'weekly snapshot is 31 days old, expected at most 14' AS stale_reason
+    FROM orders WHERE o_orderstatus = 'F' AND o_totalprice IS NOT NULL
+""")
+def query_stale(spark: SparkSession, folder: str) -> DataFrame:
+    """The answer says that its snapshot is older than the table's cadence allows."""
+    weekly = dataclasses.replace(ORDERS, cadence="weekly")
+    bound = Engine(spark, Catalog([weekly])).bind("ORDERS", load(spark, folder, "orders"))
+    row = bound.summary(
+        "ORDERS", as_of="2024-02-01", snapshot_date="2024-01-01", filters={"status": "filled"}
+    )
+    return row.select("table_id", "row_count", "stale", "stale_reason")

@@ -22,11 +22,27 @@ def collect(df):
     return [tuple(r) for r in df.collect()]
 
 
-def test_sniffing():
-    assert D.sniff_delimiter("\n  \na\tb\tc,d\n1,2,3,4,5") == "\t"
-    assert D.sniff_delimiter("a,b\tc\n") == ","
-    assert D.sniff_delimiter("a,b,c") == ","
-    assert D.sniff_delimiter("") == ","
+@pytest.mark.parametrize(
+    "content, delimiter, header",
+    [
+        ("\n  \na\tb\tc,d\n1,2,3,4,5", "\t", "a\tb\tc,d"),
+        ("a,b\tc\n", ",", "a,b\tc"),
+        ("\ufeffa,b,c", ",", "a,b,c"),
+        ("\n" * 9000 + "a\tb\n1\t2\n", "\t", "a\tb"),
+        ("x" * 9000 + "\ty\n1\t2\n", "\t", "x" * 9000 + "\ty"),
+    ],
+)
+def test_heads_of_files(spark, tmp_path, content, delimiter, header):
+    (tmp_path / "f.txt").write_text(content, encoding="utf-8")
+    got = D.file_heads(spark, str(tmp_path)).collect()
+    assert [(r["delimiter"], r["header"]) for r in got] == [(delimiter, header)]
+
+
+def test_files_without_lines(spark, tmp_path):
+    (tmp_path / "empty.txt").write_text("")
+    (tmp_path / "full.txt").write_text("a\tb\n1\t2\n")
+    groups = D.file_groups(spark, str(tmp_path))
+    assert [(g.delimiter, g.header, len(g.paths)) for g in groups] == [("\t", "a\tb", 1)]
 
 
 def test_headers():
@@ -58,7 +74,7 @@ def test_encodings_per_file(spark, tmp_path):
     (tmp_path / "b.csv").write_bytes("ID,NOTE\n2,café 日\n".encode())
     (tmp_path / "c.csv").write_bytes(b"ID,NOTE\n3,odd \x81 byte\n")
     (tmp_path / "d.csv").write_bytes(b"ID,NOTE\n4,plain\n")
-    found = {r["path"][-5:]: r["encoding"] for r in D.file_encodings(spark, str(tmp_path)).collect()}
+    found = {r["path"][-5:]: r["encoding"] for r in D.file_heads(spark, str(tmp_path)).collect()}
     assert found == {
         "a.csv": "windows-1252", "b.csv": "utf-8", "c.csv": "iso-8859-1", "d.csv": "utf-8",
     }
@@ -354,3 +370,49 @@ def test_a_file_with_another_header_is_never_read_by_position(spark, tmp_path, m
         rows.collect()
     grouped = D.read_delimited(spark, str(tmp_path), multiline=multiline).select("A", "B")
     assert sorted(collect(grouped)) == [("1", "2"), ("3", "4")]
+
+
+def test_refresh_finds_converts_and_binds_the_newest_files(spark, tmp_path):
+    header = "\t".join(c.source for c in BUSINESS_NAMES.columns)
+    short = Catalog(REGISTERS).get("SHORT_POSITIONS")
+    for name, rows in (("old", 1), ("new", 2)):
+        lines = ["\t".join(f"{name}{i}" for _ in BUSINESS_NAMES.columns) for i in range(rows)]
+        (tmp_path / f"{name}.csv").write_text("\n".join([header, *lines]) + "\n")
+    for day in ("20240105", "20240109", "20240301"):
+        cells = ",".join(["Ore", "ORE", day[-2:], "100", "10.0"])
+        (tmp_path / f"RR{day}-001-SSDailyAggShortPos.csv").write_text(",".join(c.source for c in short.columns) + f"\n{cells}\n")
+    resource = BUSINESS_NAMES.discovery["resource_name"]
+    listing = [
+        ("pub-business-names", resource, "CSV", f"file://{tmp_path}/new.csv", 1),
+        ("pub-business-names", "Another file", "CSV", f"file://{tmp_path}/old.csv", 0),
+        *[("daily", "x", "CSV", f"file://{tmp_path}/RR{d}-001-SSDailyAggShortPos.csv", 2) for d in ("20240105", "20240109", "20240301")],
+    ]
+    offered = spark.createDataFrame(listing, "package string, name string, format string, url string, ordinal int")
+    engine = Engine(spark, Catalog(REGISTERS, prefixes=["pub"]))
+    done = engine.refresh(
+        offered, "2024-01-10", lambda spec: str(tmp_path / f"clean-{spec.id}"),
+        ["BUSINESS_NAMES", "SHORT_POSITIONS", "COMPANIES"],
+    ).collect()
+    assert [(r["id"], r["status"][:5], r["rows"]) for r in done] == [
+        ("BUSINESS_NAMES", "ok", 2), ("SHORT_POSITIONS", "ok", 1), ("COMPANIES", "error", None),
+    ]
+    assert done[1]["url"].endswith("RR20240109-001-SSDailyAggShortPos.csv")
+    row = engine.summary("BUSINESS_NAMES", as_of="2024-03-01").head()
+    assert (row["row_count"], row["stale"], row["source"]) == (2, True, f"file://{tmp_path}/new.csv")
+    assert engine.summary("BUSINESS_NAMES", as_of="2024-01-12").head()["stale"] is False
+    assert engine.values("COMPANIES").where("key = 'status'").count() == 5
+
+
+def test_materialise_all_binds_what_it_wrote(spark, tmp_path):
+    cells = [c.source for c in BUSINESS_NAMES.columns]
+    raw = spark.range(30).select(*[F.col("id").cast("string").alias(c) for c in cells])
+
+    def load(spec):
+        if spec.id != "BUSINESS_NAMES":
+            raise ValueError("x" * 500)
+        return raw
+
+    engine = Engine(spark, Catalog(REGISTERS))
+    status = engine.materialise_all(load, lambda spec: str(tmp_path / spec.id), ["BUSINESS_NAMES", "COMPANIES"]).collect()
+    assert status[0]["rows"] == 30 and len(status[1]["status"]) > 500
+    assert engine.query("BUSINESS_NAMES").count() == 30
