@@ -473,7 +473,8 @@ def one_of_each(
     rows = _grouped(Join(docs, id, text, words, percent))
     first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "node"))
     chosen = rows.where("c is not null").groupBy("c").agg(first.alias("m"))
-    chosen = chosen.select(F.col("m.id").alias("_chosen_id"), F.col("m.node").alias("_chosen_node"))
+    own = "_node" + "_" * max(map(len, docs.columns))  # longer than any name there is
+    chosen = chosen.select(F.col("m.id").alias(own + "id"), F.col("m.node").alias(own + "of"))
     at = docs.columns.index(text)
 
     def add(batches):
@@ -481,9 +482,9 @@ def one_of_each(
             texts = pa.record_batch([pa.nulls(len(batch)), batch.column(at)], names=["none", "text"])
             nodes = [(_nodes(hashes, offsets), np.diff(offsets) == 0) for _, hashes, offsets in _sets([texts], words)]
             node = pa.array(np.concatenate([x for x, _ in nodes]), pa.int64(), mask=np.concatenate([x for _, x in nodes])) if nodes else pa.nulls(0, pa.int64())
-            yield pa.record_batch([*batch.columns, node], names=[*batch.schema.names, "_node"])
+            yield pa.record_batch([*batch.columns, node], names=[*batch.schema.names, own])
 
-    noded = docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField("_node", T.LongType())]))
-    same = (F.col("_node") == F.col("_chosen_node")) & F.col(id).eqNullSafe(F.col("_chosen_id"))
-    kept = noded.where("_node is not null").join(chosen, same).dropDuplicates(["_chosen_node", "_chosen_id"])
-    return kept.select(*docs.columns).union(noded.where("_node is null").select(*docs.columns))
+    noded = docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())]))
+    same = (F.col(own) == F.col(own + "of")) & F.col(id).eqNullSafe(F.col(own + "id"))
+    kept = noded.where(F.col(own).isNotNull()).join(chosen, same).dropDuplicates([own, id])
+    return kept.select(*docs.columns).union(noded.where(F.col(own).isNull()).select(*docs.columns))
