@@ -137,3 +137,34 @@ left_over AS (
 )
 SELECT page_id, host, n_lines, n_lines - len(kept) AS n_dropped, coalesce(array_to_string(kept, chr(10)), '') AS kept FROM left_over
 """
+
+
+def _rule(rule: quality.Rule) -> str:
+    return f"{rule.measure} {rule.sign} {rule.limit}::DOUBLE * {rule.per or 1}"
+
+
+ORACLES["op1_quality_rules"] = rf"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+cut AS (
+    SELECT r, doc_id, text, list_filter(regexp_split_to_array(text, '{quality.SPACE_RUN}'), lambda x: x <> '') AS words,
+           list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM texts
+), windows AS (
+    SELECT r, unnest(list_transform(range(1, len(words) - 1), lambda i: {{'i': i, 'w': words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]}})) AS x
+    FROM cut
+), twice AS (SELECT r, x.i AS i FROM windows QUALIFY count(*) OVER (PARTITION BY r, x.w) > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, range(3) AS t(k) GROUP BY r),
+counted AS (
+    SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_repeat_words,
+           len(list_filter(words, lambda x: list_contains({sorted(set(quality.STOP_WORDS.split()))}, lower(x)))) AS n_stop_words,
+           length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+           length(text) - length(regexp_replace(text, '[{quality.SYMBOLS}]', '', 'g')) AS n_symbols,
+           len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           len(list_filter(lines, lambda x: regexp_matches(x, '^\s*[-*•]\s'))) AS n_list_lines,
+           len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) AS n_cut_lines
+    FROM cut LEFT JOIN covered USING (r)
+), based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {' AND '.join(map(_rule, quality.RULES))} AS kept
+FROM based
+"""
