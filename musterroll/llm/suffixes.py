@@ -14,6 +14,10 @@ common prefixes (each suffix with the one before it in the array) then say which
 are repeated.  Doubling of names stands in for a second induced level, whose buckets
 would hold a suffix or two each.
 
+A k-gram with very many different surroundings would fill a shard by itself.  Strings
+through such a crowded k-gram are dealt out one by one, as hashes of all their bytes,
+and meet in the shuffle; that is the same question asked without an order.
+
 Equal texts are one text from the start; if they are long enough, all of each is cut.
 
 Edge cases: null and empty texts have 0 bytes and the checksum of nothing; texts shorter
@@ -38,7 +42,9 @@ LENGTH, GRAM = 200, 32
 #: Texts are worked on in segments of so many bytes at most.
 SEGMENT = 4 << 20
 _PLACE_BITS = 24
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
+#: A k-gram with more different surroundings than this is crowded.
+CROWDED = 1024
 #: Text bytes for each group of fingerprints that one task holds at a time.
 BYTES_PER_BUCKET = 4 << 20
 
@@ -332,9 +338,10 @@ class _Dedup:
         return found.where("rows > 1").select("key", F.lit(0).cast("bigint").alias("start"), F.col("n").alias("end"))
 
     def meetings(self) -> DataFrame:
-        """Spans repeated as a whole, and places whose surroundings must be sorted.
+        """Spans repeated as a whole, and places whose surroundings must be compared.
 
-        (key, start, end, gram): a span where ``gram`` is null, else the place ``start``.
+        (key, start, end, gram, crowded): a span where ``gram`` is null, else the place
+        ``start``.
         """
         length, gram = self.length, self.gram
         buckets = max(16, -(-self.size // BYTES_PER_BUCKET))
@@ -379,6 +386,7 @@ class _Dedup:
             whole = equal & (left + right >= length)
             ask = by_around & (kinds > 1)
             none = np.zeros(int(whole.sum()), bool)
+            crowded = kinds > CROWDED
             return pa.table({
                 "key": np.concatenate([keys[whole], keys[ask]]),
                 "start": np.concatenate([(place - left)[whole], place[ask]]),
@@ -387,10 +395,11 @@ class _Dedup:
                     np.concatenate([np.zeros(len(none), np.int64), grams[ask].view(np.int64)]),
                     mask=np.concatenate([~none, np.zeros(int(ask.sum()), bool)]),
                 ),
+                "crowded": np.concatenate([none, crowded[ask]]),
             })
 
         packed = self.rows.mapInArrow(post, "bucket int, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary")
-        found = packed.groupBy("bucket").applyInArrow(meet, "key long, start long, end long, gram long")
+        found = packed.groupBy("bucket").applyInArrow(meet, "key long, start long, end long, gram long, crowded boolean")
         return written(found, "meetings")
 
     def texts(self, keys: DataFrame) -> DataFrame:
@@ -405,6 +414,57 @@ class _Dedup:
 
         return self.rows.mapInArrow(pick, f"id {self.id_type}, text string, key long")
 
+    def crowded_spans(self, asked: DataFrame) -> DataFrame:
+        """Repeated strings through the asked places, by hashes of the strings."""
+        length, gram = self.length, self.gram
+        total = asked.count() * (length - gram + 1)
+        buckets = max(8, -(-total // FLUSH))
+        places = asked.groupBy("key").agg(F.collect_set("start").alias("places"))
+        one = self.texts(asked).select("key", "text").dropDuplicates(["key"])
+
+        def deal(batches):
+            for batch in batches:
+                held, n = [], 0
+                for lo, hi, data, offsets in chunks(batch.column("text")):
+                    sums = prefix_hash(data)
+                    for i in range(lo, hi):
+                        place = np.sort(np.array(batch.column("places")[i].as_py(), np.int64))
+                        a, b = offsets[i - lo], offsets[i - lo + 1]
+                        first = np.maximum(place - (length - gram), 0)
+                        firsts, ends = merged(first, np.minimum(place, b - a - length) + 1)
+                        starts = np.concatenate([np.arange(x, y) for x, y in zip(firsts, ends, strict=True)] + [np.zeros(0, np.int64)])
+                        hashes = span_hash(sums, a + starts, a + starts + length)
+                        held.append((hashes, np.full(len(starts), batch.column("key")[i].as_py(), np.int64), starts.astype(np.int32)))
+                        n += len(starts)
+                        if n >= FLUSH // 2:
+                            yield from flush(held)
+                            held, n = [], 0
+                if n:
+                    yield from flush(held)
+
+        def flush(held):
+            columns = [np.concatenate([h[i] for h in held]) for i in range(3)]
+            yield from _packed((mix(columns[0]) % U(buckets)).astype(np.int64), *columns)
+
+        def meet(table: pa.Table) -> pa.Table:
+            hashes, keys, starts = _column(table, "c0", U), _column(table, "c1", np.int64), _column(table, "c2", np.int32)
+            order = np.lexsort((starts, keys, hashes))
+            hashes, keys, starts = hashes[order], keys[order], starts[order].astype(np.int64)
+            same = hashes[1:] == hashes[:-1]
+            hit = np.zeros(len(hashes), bool)
+            hit[1:] |= same
+            hit[:-1] |= same
+            keys, starts = keys[hit], starts[hit]
+            order = np.lexsort((starts, keys))
+            keys, starts = keys[order], starts[order]
+            new = np.ones(len(keys), bool)  # runs of neighbouring starts are one span
+            new[1:] = (keys[1:] != keys[:-1]) | (starts[1:] - starts[:-1] > length)
+            last = np.append(np.flatnonzero(new)[1:] - 1, len(keys) - 1) if len(keys) else np.zeros(0, np.int64)
+            return pa.table({"key": keys[new], "start": starts[new], "end": starts[last] + length})
+
+        packed = one.join(places, "key").mapInArrow(deal, "bucket int, c0 binary, c1 binary, c2 binary")
+        return packed.groupBy("bucket").applyInArrow(meet, "key long, start long, end long")
+
     def sorted_spans(self, asked: DataFrame) -> DataFrame:
         """Repeated strings among the surroundings of the asked places, from suffix arrays."""
         length, gram = self.length, self.gram
@@ -534,8 +594,9 @@ def suffix_dedup(
     met = job.meetings()
     spans = written(
         job.copies()
-        .unionByName(met.where("gram is null").drop("gram"))
-        .unionByName(job.sorted_spans(met.where("gram is not null"))),
+        .unionByName(met.where("gram is null").drop("gram", "crowded"))
+        .unionByName(job.sorted_spans(met.where("gram is not null and not crowded")))
+        .unionByName(job.crowded_spans(met.where("gram is not null and crowded"))),
         "spans",
     )
     return job.cut(spans)

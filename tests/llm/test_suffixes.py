@@ -107,5 +107,14 @@ def test_segments(make_docs, monkeypatch):
     check(make_docs(rows), 200)
 
 
+def test_crowded(make_docs, monkeypatch):
+    monkeypatch.setattr(suffixes, "CROWDED", 3)
+    rnd = random.Random(7)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    shared = text(260)
+    rows = [(i, text(rnd.randrange(300)) + shared[i % 30 : 260 - i % 7] + text(rnd.randrange(300))) for i in range(40)]
+    check(make_docs([*rows, (90, shared), (91, shared[:199]), (92, "z" * 900), (93, shared + shared)]), 200)
+
+
 def test_empty(make_docs):
     assert suffixes.suffix_dedup(make_docs([]).where("false")).collect() == []
