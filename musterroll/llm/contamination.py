@@ -9,7 +9,7 @@ compared word by word: the longest common subsequence with the whole item, and w
 answer (its last sentence, unless a column names it), decide.
 
 Benchmark items are the queries; they are worked in blocks of fixed number, so what is
-sent to tasks is bounded: a block's texts and a basis of 2**15 rows.
+sent to tasks is bounded: a block's texts and weights, and 16 directions of 2**17 rows.
 
 Edge cases: null and empty texts and items never match; an item shorter than
 ``SHORT`` words must be found whole; null ids, repeated rows and repeated items are
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from musterroll.llm.kernels import LETTER, U, chunks, prefix_hash, span_hash, words
 from musterroll.llm.shared import written
 
-FEATURE_BITS, DIRECTIONS = 15, 16
+FEATURE_BITS, DIRECTIONS = 17, 16
 #: A passage is two strides of words, so a match of a stride lies whole in some passage.
 #: Items of fewer words than the first stride are sought in passages of the second kind.
 STRIDE, SHORT_STRIDE = 32, 8
@@ -121,7 +121,7 @@ def main_directions(rows: DataFrame, weights: np.ndarray) -> np.ndarray:
                 norm = np.sqrt(np.add.reduceat(w * w, heads)) + 1e-6
                 y = np.add.reduceat(w[:, None] * random[feature], heads, axis=0) / (norm**2)[:, None]
                 passage = np.repeat(np.arange(len(heads)), lengths)
-                order = np.argsort(feature.astype(np.int16), kind="stable")
+                order = np.argsort(feature, kind="stable")
                 first = np.flatnonzero(np.concatenate([[True], feature[order][1:] != feature[order][:-1]]))
                 back = np.add.reduceat(w[order, None] * y[passage[order]], first, axis=0)
                 total[feature[order][first]] += back
@@ -146,7 +146,7 @@ class Queries:
 
     def __init__(self, items: list[tuple], weights: np.ndarray, directions: np.ndarray):
         self.weights = weights
-        self.ids, self.words, self.answers, vectors = [], [], [], []
+        self.ids, self.words, self.answers, found = [], [], [], []
         for item, text, answer in items:
             column = pa.array([text or "", answer if answer is not None else last_sentence(text or "")])
             (_, _, feature, hashes, at), *_ = _tokens(column)
@@ -155,20 +155,33 @@ class Queries:
             self.ids.append(item)
             self.words.append(hashes[: at[1]].tolist())
             self.answers.append(hashes[at[1] :].tolist())
-            vector = np.zeros(1 << FEATURE_BITS, np.float32)
-            np.add.at(vector, feature[: at[1]], weights[feature[: at[1]]])
-            vectors.append(vector)
-        own = np.stack(vectors) if vectors else np.zeros((0, 1 << FEATURE_BITS), np.float32)
+            found.append(feature[: at[1]])
+        def mask(chosen):
+            out = np.zeros(1 << FEATURE_BITS, bool)
+            for k in chosen:
+                out[found[k]] = True
+            return out
+
         short = np.array([len(w) < STRIDE for w in self.words], bool)
-        self.scales = [
-            (stride, np.flatnonzero(mine), (own[mine] != 0).any(axis=0))
-            for stride, mine in ((STRIDE, np.ones(len(short), bool)), (SHORT_STRIDE, short))
-            if mine.any()
-        ]
-        # the items first, so that the basis holds them whole
-        basis, _ = np.linalg.qr(np.concatenate([own, directions.T]).T.astype(np.float64))
-        self.basis = basis.astype(np.float32)
-        latent = own @ self.basis
+        kinds = ((STRIDE, np.arange(len(found))), (SHORT_STRIDE, np.flatnonzero(short)))
+        self.scales = [(stride, items, mask(items)) for stride, items in kinds if len(items)]
+        # The items' weights on the features they have, a row per feature, and row 0 for
+        # the rest; with the directions they span the latent space.
+        used = np.flatnonzero(mask(range(len(found))))
+        self.row = np.zeros(1 << FEATURE_BITS, np.int32)
+        self.row[used] = np.arange(1, len(used) + 1)
+        self.own = np.zeros((len(used) + 1, len(found)), np.float32)
+        for k, features in enumerate(found):
+            np.add.at(self.own[:, k], self.row[features], weights[features])
+        self.directions = directions
+        # products of the spanning vectors; their Cholesky factor makes them orthonormal
+        own = self.own[1:].astype(np.float64)
+        cross = own.T @ directions[used]
+        products = np.block([[own.T @ own, cross], [cross.T, directions.T @ directions]])
+        ridge = 1e-6 * max(np.trace(products) / max(len(products), 1), 1e-9)
+        factor = np.linalg.cholesky(products + ridge * np.eye(len(products)))
+        self.to_latent = np.linalg.inv(factor).T.astype(np.float32)
+        latent = products[: len(found)].astype(np.float32) @ self.to_latent
         self.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
 
     def candidates(self, feature: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int, float]]:
@@ -189,14 +202,17 @@ class Queries:
         near = np.flatnonzero(known >= LEAST_SHARE * np.maximum(whole, 1e-9))
         latent = self.latent[items].T
         out: dict[tuple[int, int], list] = {}
-        for part in np.array_split(near, max(1, len(near) // 4096)):
+        for part in np.array_split(near, max(1, len(near) // 1024)):
             stop = np.where(follows[part], ends[np.minimum(part + 1, len(ends) - 1)], ends[part])
             spans = [feature[heads[p] : e] for p, e in zip(part, stop, strict=True)]
             if not spans:
                 continue
             flat = np.concatenate(spans)
             firsts = np.cumsum([0, *map(len, spans[:-1])])
-            z = np.add.reduceat(self.weights[flat][:, None] * self.basis[flat], firsts, axis=0)
+            weight = self.weights[flat][:, None]
+            mine = np.add.reduceat(weight * self.own[self.row[flat]], firsts, axis=0)
+            main = np.add.reduceat(weight * self.directions[flat], firsts, axis=0)
+            z = np.concatenate([mine, main], axis=1) @ self.to_latent
             cosine = (z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)) @ latent
             for p, k in zip(*np.nonzero(cosine >= LEAST_COSINE), strict=True):
                 i, q = int(text[part[p]]), int(items[k])
