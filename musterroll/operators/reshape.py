@@ -5,6 +5,7 @@ An observation is ``period, measure, value, unit, dimensions``.
 
 from __future__ import annotations
 
+import dataclasses
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Window
@@ -80,34 +81,29 @@ def wide_observations(
     df: DataFrame, spec: TableSpec, measures: list[str] | None = None, filled: bool = False
 ) -> DataFrame:
     """Like :func:`wide_flat`, with the dimensions in one map column."""
-    measures = spec.resolve_measures(measures)
     dims = spec.dimension_keys
-    if not measures:
-        # "no filled dimension" asked of the columns, not of the map: the test then
-        # stays with the other filters in generated code
-        rows = df if filled else df.na.drop(how="all", subset=dims)
-        return rows.select(
-            no_text().alias("period"),
-            no_text().alias("measure"),
-            F.lit(None).cast("double").alias("value"),
-            no_text().alias("unit"),
-            dimension_map(dims).alias("dimensions"),
-        )
-    cells = df.select(
-        dimension_map(dims).alias("dimensions"),
-        *[quoted(m).cast("double").alias(m) for m in measures],
-    )
-    return (
-        cells.unpivot(["dimensions"], [quoted(m) for m in measures], "measure", "value")
-        .where(F.col("value").isNotNull())
-        .select(
-            no_text().alias("period"),
-            "measure",
-            "value",
-            unit_column(spec, measures).alias("unit"),
-            "dimensions",
-        )
+    if not set(dims) & set(OBSERVATION):
+        return mapped(wide_flat(df, spec, measures, filled), dims)
+    other = {k: f"_dimension_{i}" for i, k in enumerate(dims)}  # a dimension may be called "unit"
+    renamed = dataclasses.replace(
+        spec,
+        columns=tuple(dataclasses.replace(c, key=other.get(c.key, c.key)) for c in spec.columns),
+        enums={}, natural_key=(), truncate={},
     )
+    flat = wide_flat(df.withColumnsRenamed(other), renamed, measures, filled)
+    return mapped(flat, dims, other)
+
+
+def mapped(flat: DataFrame, dims: list[str], held: dict[str, str] | None = None) -> DataFrame:
+    """Flat observations with their dimension columns gathered in one map.
+
+    Best done last: grouping, ordering and cutting are cheaper on flat columns.
+    """
+    held = held or {k: k for k in dims}
+    pairs = chain.from_iterable((F.lit(k), quoted(held[k])) for k in dims)
+    filled = F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
+    rest = [c for c in flat.columns if c not in {*OBSERVATION, *held.values()}]
+    return flat.select("period", "measure", "value", "unit", filled.alias("dimensions"), *rest)
 
 
 def transposed_observations(

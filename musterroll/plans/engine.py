@@ -261,9 +261,16 @@ class Engine:
         """
         spec = self.catalog.get(table_id)
         topk.check_limit(limit)
+        dims, bound = spec.dimension_keys, self.spec(table_id)
+        ids = [c.key for c in spec.with_role("id")] or dims
+        if order_by is None and spec.layout == "wide" and not set(dims) & set(reshape.OBSERVATION):
+            # ordered and cut on flat columns; the map is built for the rows that stay
+            rows = self.rows(table_id, filters, cut_text=cut_text)
+            flat = reshape.wide_flat(rows, bound, None, filled=self._filled(bound))
+            order = [*map(quoted, ids), "measure", *[quoted(k) for k in dims if k not in ids]]
+            return reshape.mapped(topk.limited(flat, order, limit, with_count), dims)
         out = self.query(table_id, filters, cut_text=cut_text, last_n=1)
         if order_by is None:
-            ids = [c.key for c in spec.with_role("id")] or spec.dimension_keys
             order_by = [F.try_element_at("dimensions", F.lit(k)) for k in ids]
             order_by += [F.col("measure"), F.col("period"), F.to_json("dimensions")]
         return topk.limited(out, order_by, limit, with_count)
