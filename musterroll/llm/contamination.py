@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from musterroll.llm.kernels import LETTER, U, chunks, prefix_hash, span_hash, words
-from musterroll.llm.shared import written
+from musterroll.llm.shared import added_up, written
 
 FEATURE_BITS, DIRECTIONS = 17, 16
 #: A passage is two strides of words, so a match of a stride lies whole in some passage.
@@ -62,7 +62,7 @@ def _bounds(at: np.ndarray, size: int) -> np.ndarray:
 
 def _added(rows: DataFrame, of, width: int) -> np.ndarray:
     """Sum of one float array per task: blocks are added in Spark, the sum is returned."""
-    block = 1 << 16
+    block = 1 << 13
 
     def emit(batches):
         total = of(batches).ravel()
@@ -77,8 +77,8 @@ def _added(rows: DataFrame, of, width: int) -> np.ndarray:
         return pa.table({"block": table.column("block")[:1], "part": pa.array([total.astype(np.float32).tobytes()])})
 
     out = np.zeros(width, np.float32)
-    packed = rows.mapInArrow(emit, "block int, part binary").groupBy("block").applyInArrow(add, "block int, part binary")
-    for row in packed.toLocalIterator():
+    schema = "block int, part binary"
+    for row in added_up(rows.mapInArrow(emit, schema), add, schema).toLocalIterator():
         part = np.frombuffer(row["part"], np.float32)
         out[row["block"] * block : row["block"] * block + len(part)] = part
     return out

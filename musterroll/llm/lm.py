@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from musterroll.llm.kernels import U, chunks, mix, word_hashes
+from musterroll.llm.shared import added_up
 
 #: Hashed words that are counted, and word numbers: BASE * BASE, the last ones shared.
 FEATURE_BITS, BASE, SHARED = 17, 48, 256
@@ -34,7 +35,7 @@ ROUNDS, MASKED, BATCH, RATE = 2, 0.12, 2048, 0.03
 #: Words scored at a time.
 SLICE = 1 << 14
 _PAD = BASE * BASE
-_BLOCK = 1 << 14
+_BLOCK = 1 << 12
 
 
 def _hashes(batches):
@@ -52,7 +53,7 @@ def _summed(packed: DataFrame, width: int, dtype) -> np.ndarray:
         return pa.table({"block": table.column("block")[:1], "part": pa.array([total.astype(dtype).tobytes()], pa.binary())})
 
     out = np.zeros(width, dtype)
-    for row in packed.groupBy("block").applyInArrow(add, "block int, part binary").toLocalIterator():
+    for row in added_up(packed, add, "block int, part binary").toLocalIterator():
         part = np.frombuffer(row["part"], dtype)
         out[row["block"] * _BLOCK : row["block"] * _BLOCK + len(part)] = part
     return out

@@ -58,3 +58,14 @@ def longs(values: list[int]) -> Column:
     return F.expr("array(" + ",".join(f"{v}L" for v in values) + ")") if values else F.expr(
         "cast(array() as array<bigint>)"
     )
+
+
+def added_up(packed: DataFrame, add, schema: str) -> DataFrame:
+    """Add up what tasks sent in blocks: one row per ``block``.
+
+    Two steps, so that no task holds the parts of all others: tasks meet in groups of
+    256, then the groups' sums.  ``add`` makes one row of a table of parts of one block.
+    """
+    group = F.floor(F.spark_partition_id() / 256).cast("int")
+    grouped = packed.withColumn("tasks", group).groupBy("block", "tasks").applyInArrow(add, schema)
+    return grouped.groupBy("block").applyInArrow(add, schema)

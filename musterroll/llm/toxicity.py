@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from musterroll.llm.kernels import LETTER, U, chunks, mix, prefix_hash, span_hash, words
+from musterroll.llm.shared import added_up
 
 FEATURE_BITS = 20
 STEMS = (4, 5, 6)
@@ -118,7 +119,7 @@ def _counts(rows: DataFrame) -> np.ndarray:
     kind = "block int, clean binary, toxic binary"
     out = np.zeros((2, (1 << FEATURE_BITS) // BLOCK, BLOCK), np.int64)
     # 256 rows of 64 kB at most
-    for row in rows.mapInArrow(count, kind).groupBy("block").applyInArrow(add, kind).toLocalIterator():
+    for row in added_up(rows.mapInArrow(count, kind), add, kind).toLocalIterator():
         out[0, row["block"]] = np.frombuffer(row["clean"], np.int64)
         out[1, row["block"]] = np.frombuffer(row["toxic"], np.int64)
     return out.reshape(2, -1)
