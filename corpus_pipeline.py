@@ -1,13 +1,14 @@
 """A corpus made ready for training: five stages, each one operator with its decisions.
 
-Every stage takes (spark, docs, sf_dir) and returns rows with the columns of documents;
-its result is written as Parquet and read again as the next stage's ``docs``.
+Every stage takes (spark, docs, sf_dir) and returns rows with the columns of documents,
+mixing and sharding with their own after them; its result is written as Parquet and read
+again as the next stage's ``docs``.
 
 1. toxicity: documents that the model calls toxic go.
 2. near duplicates: one document of each group of the n-gram Jaccard join stays.
 3. decontamination: documents that hold a benchmark item go.
-4. mixing: the mix runs at its target weights until a source has no more rows; what is
-   left of the larger sources is outside the weights and stays out.
+4. mixing: every document gets its position in the mix, and the phase of it.  Phase 0
+   runs at the target weights; when a source has no more rows the others go on.
 5. sharding: every document gets its shard and its slot there.
 """
 
@@ -34,7 +35,8 @@ def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, carry=True).where(F.col("phase") == 0).select("doc.*")
+    own = [F.col("doc")[c].alias(c) for c in docs.columns if c not in ("phase", "position")]
+    return mixing.mix(docs, carry=True).select(*own, "phase", "position")
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

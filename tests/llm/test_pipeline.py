@@ -63,6 +63,18 @@ def test_mixing(stages):
     assert set(ids(stages["mixing"])) <= set(ids(stages["decontamination"]))
 
 
+def test_mixing_keeps_every_row(spark, sf_dir, stages, make_docs):
+    assert ids(stages["mixing"]) == ids(stages["decontamination"])
+    for name in ("mixing", "sharding"):
+        assert sorted(r["position"] for r in stages[name]) == list(range(len(stages["decontamination"])))
+    # a source of one block cuts nothing off, nor does a column of the input
+    docs = make_docs([(i, "t", "rare" if i < 3 else "ab"[i % 2]) for i in range(2000)])
+    rows = corpus_pipeline.mixed(spark, docs.withColumn("position", docs["doc_id"] * 0), sf_dir).collect()
+    assert ids(rows) == list(range(2000))
+    assert sorted(r["position"] for r in rows) == list(range(2000))
+    assert {r["phase"] for r in rows} > {0}
+
+
 def test_sharding(stages):
     sizes = Counter(r["shard"] for r in stages["sharding"])
     assert ids(stages["sharding"]) == ids(stages["mixing"])
