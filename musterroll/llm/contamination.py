@@ -6,7 +6,9 @@ its passages with a random matrix and back, the products add up in Spark, and a
 gives a basis.  The latent space is that basis together with the benchmark's own passages.
 Passages whose cosine with an item is high enough there are candidates; they are then
 compared word by word: the longest common subsequence with the whole item, and with its
-answer (its last sentence, unless a column names it), decide.
+answer (its last sentence, unless a column names it), decide.  A match needs so many of an
+item's words in one passage; passages with fewer of every item are not projected, and for
+items of under two short strides that count decides in place of the cosine.
 
 Benchmark items are the queries; they are worked in blocks of fixed number, so what is
 sent to tasks is bounded: a block's texts and weights, and 16 directions of 2**17 rows.
@@ -34,12 +36,14 @@ FEATURE_BITS, DIRECTIONS = 17, 16
 STRIDE, SHORT_STRIDE = 32, 8
 #: Items per block of queries.
 BLOCK_ITEMS = 256
-#: Candidates: share of weight on words that items have, and cosine in the latent space.
-LEAST_SHARE, LEAST_COSINE = 0.2, 0.45
+#: Candidates: cosine in the latent space.
+LEAST_COSINE = 0.45
 #: Matches: share of the item's words in order, or fewer with nearly all of its answer.
 WHOLE, PART, ANSWER = 0.75, 0.55, 0.8
 SHORT = 8
 _SEED = 20
+#: Strides whose words are counted at a time.
+_SLICE = 1 << 11
 
 
 def _tokens(column: pa.Array) -> Iterator[tuple]:
@@ -132,6 +136,35 @@ def main_directions(rows: DataFrame, weights: np.ndarray) -> np.ndarray:
     return basis.astype(np.float32)
 
 
+def _window(size: int) -> int:
+    """Words of a text in which a match of an item of ``size`` words lies."""
+    return max(size * 3 // 2, size + 4)
+
+
+def _anchors(features: np.ndarray, weights: np.ndarray, stride: int) -> tuple[np.ndarray, int]:
+    """An item's rarer features, and how many words with them some passage of a match has.
+
+    A match has ``need`` of the item's words in a window; without its ``spare`` most
+    frequent ones, need - spare are left.  The window's strides make up ``passages``
+    passages, one of which has its part of them.
+    """
+    size = len(features)
+    need = size if size < SHORT else int(np.ceil(PART * size - 1e-9))
+    spare = need // 2 if size >= 2 * SHORT_STRIDE else 0
+    rarest = features[np.argsort(-weights[features], kind="stable")[: size - spare]]
+    strides = (_window(size) - 2) // stride + 2
+    passages = -(-strides // 2)
+    return np.unique(rarest), -(-(need - spare) // passages)
+
+
+def _entries(feature: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries of a list by feature that words have: run of the word, entry, word."""
+    n = first[feature + 1] - first[feature]
+    word = np.repeat(np.arange(len(feature)), n)
+    entry = np.arange(len(word)) + (first[feature] - (np.cumsum(n) - n))[word]
+    return np.repeat(np.arange(len(lengths)), lengths)[word], entry, word
+
+
 class Queries:
     """A block of benchmark items: word hashes, answers, and the latent space with them.
 
@@ -156,26 +189,31 @@ class Queries:
             self.words.append(hashes[: at[1]].tolist())
             self.answers.append(hashes[at[1] :].tolist())
             found.append(feature[: at[1]])
-        def mask(chosen):
-            out = np.zeros(1 << FEATURE_BITS, bool)
-            for k in chosen:
-                out[found[k]] = True
-            return out
-
         short = np.array([len(w) < STRIDE for w in self.words], bool)
         kinds = ((STRIDE, np.arange(len(found))), (SHORT_STRIDE, np.flatnonzero(short)))
-        self.scales = [(stride, items, mask(items)) for stride, items in kinds if len(items)]
-        # The items' weights on the features they have, a row per feature, and row 0 for
-        # the rest; with the directions they span the latent space.
-        used = np.flatnonzero(mask(range(len(found))))
-        self.row = np.zeros(1 << FEATURE_BITS, np.int32)
-        self.row[used] = np.arange(1, len(used) + 1)
-        self.own = np.zeros((len(used) + 1, len(found)), np.float32)
+        self.scales = []
+        for stride, items in kinds:
+            if not len(items):
+                continue
+            anchors = [_anchors(found[k], weights, stride) for k in items]
+            flat = np.concatenate([a for a, _ in anchors])
+            order = np.argsort(flat, kind="stable")
+            first = np.searchsorted(flat[order], np.arange((1 << FEATURE_BITS) + 1)).astype(np.int32)
+            holders = np.repeat(np.arange(len(items)), [len(a) for a, _ in anchors])[order]
+            least = np.array([n for _, n in anchors])
+            counted = np.array([stride == SHORT_STRIDE and len(found[k]) < 2 * SHORT_STRIDE for k in items])
+            self.scales.append((stride, items, first, holders, least, counted))
+        # The items' weights on the features they have; with the directions they span the
+        # latent space.
+        used = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        own = np.zeros((len(used), len(found)))
         for k, features in enumerate(found):
-            np.add.at(self.own[:, k], self.row[features], weights[features])
+            np.add.at(own[:, k], np.searchsorted(used, features), weights[features])
+        rows, self.holders = np.nonzero(own)
+        self.own = own[rows, self.holders]
+        self.first = np.searchsorted(used[rows], np.arange((1 << FEATURE_BITS) + 1)).astype(np.int32)
         self.directions = directions
         # products of the spanning vectors; their Cholesky factor makes them orthonormal
-        own = self.own[1:].astype(np.float64)
         cross = own.T @ directions[used]
         products = np.block([[own.T @ own, cross], [cross.T, directions.T @ directions]])
         ridge = 1e-6 * max(np.trace(products) / max(len(products), 1), 1e-9)
@@ -190,31 +228,45 @@ class Queries:
             return []
         return [x for scale in self.scales for x in self._near(feature, at, *scale)]
 
-    def _near(self, feature, at, stride, items, known_features):
+    def _crowded(self, feature, edges, follows, first, holders, least) -> Iterator[tuple]:
+        """Passages with enough anchors of some item, and which items those are."""
+        size = len(least)
+        for lo in range(0, len(follows), _SLICE):
+            hi = min(lo + _SLICE + 1, len(follows))  # and the stride after the last passage
+            stride, entry = _entries(feature[edges[lo] : edges[hi]], np.diff(edges[lo : hi + 1]), first)[:2]
+            counts = np.bincount(stride * size + holders[entry], minlength=(hi - lo) * size).reshape(hi - lo, size)
+            counts[:-1] += counts[1:] * follows[lo : hi - 1, None]
+            enough = counts[:_SLICE] >= least
+            near = np.flatnonzero(enough.any(axis=1))
+            if len(near):
+                yield lo + near, enough[near]
+
+    def _projected(self, feature, edges, strides) -> np.ndarray:
+        """Products of the words of each stride with the vectors that span the latent space."""
+        n, size = edges[strides + 1] - edges[strides], len(self.ids)
+        flat = feature[np.arange(n.sum()) + np.repeat(edges[strides] - (np.cumsum(n) - n), n)]
+        stride, entry, word = _entries(flat, n, self.first)
+        weight = self.weights[flat]
+        mine = np.bincount(stride * size + self.holders[entry], weights=weight[word] * self.own[entry], minlength=len(strides) * size)
+        main = np.add.reduceat(weight[:, None] * self.directions[flat], np.cumsum(n) - n, axis=0)
+        return np.concatenate([mine.reshape(-1, size).astype(np.float32), main], axis=1)
+
+    def _near(self, feature, at, stride, items, first, holders, least, counted):
         heads = _bounds(at, stride)
-        w = self.weights[feature]
-        ends = np.append(heads[1:], len(feature))
+        edges = np.append(heads, len(feature))
         text = np.searchsorted(at, heads, "right") - 1
         follows = np.append(text[1:] == text[:-1], False)  # the next stride is in the same text
-        pair = lambda x: x + np.where(follows, np.append(x[1:], 0), 0)
-        whole = pair(np.add.reduceat(w * w, heads))
-        known = pair(np.add.reduceat(w * w * known_features[feature], heads))
-        near = np.flatnonzero(known >= LEAST_SHARE * np.maximum(whole, 1e-9))
         latent = self.latent[items].T
         out: dict[tuple[int, int], list] = {}
-        for part in np.array_split(near, max(1, len(near) // 1024)):
-            stop = np.where(follows[part], ends[np.minimum(part + 1, len(ends) - 1)], ends[part])
-            spans = [feature[heads[p] : e] for p, e in zip(part, stop, strict=True)]
-            if not spans:
-                continue
-            flat = np.concatenate(spans)
-            firsts = np.cumsum([0, *map(len, spans[:-1])])
-            weight = self.weights[flat][:, None]
-            mine = np.add.reduceat(weight * self.own[self.row[flat]], firsts, axis=0)
-            main = np.add.reduceat(weight * self.directions[flat], firsts, axis=0)
-            z = np.concatenate([mine, main], axis=1) @ self.to_latent
+        for part, enough in self._crowded(feature, edges, follows, first, holders, least):
+            stop = edges[part + 1 + follows[part]]
+            strides = np.union1d(part, part[follows[part]] + 1)
+            each = self._projected(feature, edges, strides)
+            sums = each[np.searchsorted(strides, part)]
+            sums[follows[part]] += each[np.searchsorted(strides, part[follows[part]] + 1)]
+            z = sums @ self.to_latent
             cosine = (z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)) @ latent
-            for p, k in zip(*np.nonzero(cosine >= LEAST_COSINE), strict=True):
+            for p, k in zip(*np.nonzero(np.where(counted, enough, cosine >= LEAST_COSINE)), strict=True):
                 i, q = int(text[part[p]]), int(items[k])
                 a, b, c = int(heads[part[p]]), int(stop[p]), float(cosine[p, k])
                 runs = out.setdefault((i, q), [])
@@ -229,9 +281,11 @@ class Queries:
         best: dict[tuple[int, int], tuple] = {}
         for i, q, a, b, cosine in self.candidates(feature, at):
             item, answer = self.words[q], self.answers[q]
-            reach = len(item)
+            reach = _window(len(item))
             region = hashes[max(at[i], a - reach) : min(at[i + 1], b + reach)].tolist()
             share = windowed_share(item, region)
+            if share < PART:
+                continue
             told = common(answer, region) / len(answer) if answer else share
             found = share >= WHOLE or (share >= PART and told >= ANSWER)
             if len(item) < SHORT:
@@ -263,10 +317,11 @@ def common(pattern: list[int], region: list[int]) -> int:
 
 def windowed_share(item: list[int], region: list[int]) -> float:
     """Best share of the item's words found in order in half again as many words."""
-    size = max(len(item) * 3 // 2, len(item) + 4)
+    size = _window(len(item))
     step = max(1, size // 6)
-    if common(item, region) < min(PART, 1) * len(item):
-        return common(item, region) / len(item) if len(region) <= size else 0.0
+    whole = common(item, region)
+    if whole < min(PART, 1) * len(item):
+        return whole / len(item) if len(region) <= size else 0.0
     best = 0
     for a in range(0, max(1, len(region) - size + step), step):
         best = max(best, common(item, region[a : a + size]))

@@ -64,6 +64,31 @@ def test_planted_passages(spark, make_docs, monkeypatch):
     assert kept == {d for d, _ in rows} - {d for d, _ in want}
 
 
+def test_short_items_inside_long_texts(spark, make_docs):
+    """Verbatim copies of items of 1 to 15 words are found, whatever their neighbours weigh."""
+    rnd = random.Random(8)
+    words = [f"w{k}" for k in range(20_000)]
+    weights = [1 / (k + 1) for k in range(len(words))]
+    text = lambda n: rnd.choices(words, weights, k=n)
+    sizes = [1, 2, *(n for n in (3, 4, 5, 6, 7, 9, 12, 15) for _ in range(30))]
+    items = [["onlyhere"], ["onlyhere", "too"], *(text(n) for n in sizes[2:])]
+    rows = []
+    for k, item in enumerate(items):
+        body = rnd.choices(words, k=400)  # rarer words than the item's
+        at = rnd.randrange(400)
+        rows.append((k, " ".join([*body[:at], *item, *body[at:]])))
+    rows += [(1000 + i, " ".join(text(300))) for i in range(300)]
+    plain = {d: f" {t} " for d, t in rows}
+    want = {(d, k) for k, item in enumerate(items) for d, t in plain.items() if f" {' '.join(item)} " in t}
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    got = {(r["id"], r["item"]) for r in contamination.leaks(make_docs(rows), bench).collect()}
+    assert want <= got, sorted(len(items[k]) for _, k in want - got)
+    texts = dict(rows)
+    for d, k in got - want:  # what else is found has its words in order
+        share = contamination.common([hash(w) for w in items[k]], [hash(w) for w in texts[d].split()]) / len(items[k])
+        assert share >= (1 if len(items[k]) < contamination.SHORT else contamination.PART)
+
+
 def test_edges(spark, make_docs):
     rows = [(1, None), (2, ""), (None, "one two three four"), (3, "one two three four"), (3, "one two three four"),
             (4, "long " * 30_000 + "alpha beta gamma delta epsilon zeta eta theta iota kappa " + "long " * 100)]
