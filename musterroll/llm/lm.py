@@ -9,7 +9,8 @@ pseudo-log-likelihood.
 
 Training goes over all documents in rounds.  In each, every task starts from the same
 parameters, masks a share of its words, fits them by gradient steps, and sends its
-parameters; the weighted means start the next round.  Word counts and parameters add up
+parameters; the weighted means start the next round.  A word's text and place tell its
+round, and over the rounds every word of every document is fitted once.  Word counts and parameters add up
 block by block in Spark and have a fixed size, whatever the data.
 
 Edge cases: a text without words (null, empty) has 0 words, sum 0 and no mean; null ids
@@ -31,7 +32,9 @@ from musterroll.llm.shared import added_up
 FEATURE_BITS, BASE, SHARED = 17, 48, 256
 #: Words on either side, width of embeddings and of the hidden layer.
 SIDE, WIDTH, HIDDEN = 2, 12, 24
-ROUNDS, MASKED, BATCH, RATE = 2, 0.12, 2048, 0.03
+ROUNDS, BATCH, RATE = 2, 2048, 0.03
+#: Share of the words that a round masks; the rounds share out all of them.
+MASKED = 1 / ROUNDS
 #: Words scored at a time.
 SLICE = 1 << 14
 _PAD = BASE * BASE
@@ -168,6 +171,16 @@ def contexts(numbers: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return padded, place
 
 
+def masked_in(turn: int, features: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which words a round masks, by their text and their place in it."""
+    sums = np.concatenate([[0], np.cumsum(features)])
+    n = np.diff(at)
+    text = np.repeat((sums[at[1:]] - sums[at[:-1]]).astype(U), n)
+    place = (np.arange(len(features)) - np.repeat(at[:-1], n)).astype(U)
+    draw = (mix(mix(text) + place) >> U(11)) * 2.0**-53
+    return np.floor(draw / MASKED) == turn
+
+
 _OFFSETS = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])
 
 
@@ -188,9 +201,8 @@ def train(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[np.n
             for _, features, at in _hashes(batches):
                 if not len(features):
                     continue
-                rng = np.random.default_rng([turn, len(features), int(features[0])])
                 padded, place = contexts(numbers[features], at)
-                masked = place[rng.random(len(place)) < MASKED]
+                masked = place[masked_in(turn, features, at)]
                 for lo in range(0, len(masked), BATCH):
                     target = masked[lo : lo + BATCH]
                     grads = net.gradients(padded[target[:, None] + _OFFSETS], padded[target])

@@ -49,6 +49,27 @@ def test_contexts_end_with_the_text():
     ]
 
 
+def test_every_word_is_fitted_once():
+    """Over the rounds, with production values, and however texts are cut into chunks."""
+    rng = np.random.default_rng(6)
+    n = np.array([0, 1, 700, 0, 3, 900])
+    at, features = np.concatenate([[0], np.cumsum(n)]), rng.integers(0, 1 << lm.FEATURE_BITS, n.sum())
+    rounds = np.array([lm.masked_in(t, features, at) for t in range(lm.ROUNDS)])
+    assert (rounds.sum(axis=0) == 1).all()
+    assert (rounds.mean(axis=1) > 0.4).all()
+    alone = [lm.masked_in(0, features[a:b], np.array([0, b - a])) for a, b in zip(at[:-1], at[1:], strict=True)]
+    assert (np.concatenate(alone) == rounds[0]).all()
+
+
+def test_training_fits_all_words(make_docs, monkeypatch):
+    sums, plain = [], lm._summed
+    monkeypatch.setattr(lm, "_summed", lambda *a: sums.append(plain(*a)) or sums[-1])
+    rnd = random.Random(3)
+    lm.train(make_docs([(i, " ".join(rnd.choices("abcdef", k=i % 40))) for i in range(200)]))
+    counts, *rounds = sums
+    assert counts.sum() == sum(i % 40 for i in range(200)) == sum(r[-1] for r in rounds)
+
+
 def test_learns_order_and_scores_every_row(make_docs, monkeypatch):
     monkeypatch.setattr(lm, "MASKED", 0.5)
     monkeypatch.setattr(lm, "BATCH", 256)
