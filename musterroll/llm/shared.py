@@ -32,15 +32,16 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs its running tasks, not the steps before.
+    ``by`` names a column of few values whose rows are kept in folders of their own.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
