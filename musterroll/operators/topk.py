@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.internal import InternalFunction  # Spark's bounded heap as an aggregate
 
 from musterroll.functions.periods import normalize_period
 
@@ -36,6 +39,43 @@ def _keep_last(observations: DataFrame, n: int, tiebreak: Sequence[Column]) -> D
     return ranked.where(F.col("_rank") <= n).drop("_rank")
 
 
+#: Above this many rows per measure a cut is found by counting instead of ranking; it is the
+#: largest rank that the session's ``windowGroupLimitThreshold`` lets tasks cut at.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def _newest_by_count(observations: DataFrame, n: int, tiebreak: Sequence[Column]) -> DataFrame:
+    """The N newest per measure without sorting any measure.
+
+    Counts per measure and period, added up from the newest on, find the period in which
+    the N-th row falls.  Newer periods pass whole; only rows of that period are ranked.
+    """
+    names = observations.columns
+    rows = observations.withColumns(
+        {"_m": F.coalesce("measure", F.lit("")), "_p": F.coalesce(normalize_period(F.col("period")), F.lit(""))}
+    )
+    newer_first = [F.col("_p").desc(), F.col("period").desc_nulls_last()]
+    upto = Window.partitionBy("_m").orderBy(*newer_first).rowsBetween(Window.unboundedPreceding, 0)
+    counts = rows.groupBy("_m", "_p", "period").agg(F.count("*").alias("_n"))
+    cuts = (
+        counts.withColumn("_upto", F.sum("_n").over(upto))
+        .where((F.col("_upto") >= n) & (F.col("_upto") - F.col("_n") < n))
+        .select(F.col("_m").alias("_cm"), F.col("_p").alias("_cp"), F.col("period").alias("_cperiod"), (n - F.col("_upto") + F.col("_n")).alias("_room"))
+    )
+    placed = rows.join(cuts, F.col("_m") == F.col("_cm"), "left")
+    there = F.struct("_p", "period")  # null sorts before every text, as the oldest period does
+    cut = F.struct(F.col("_cp").alias("_p"), F.col("_cperiod").alias("period"))
+    whole = placed.where(F.col("_cm").isNull() | (there > cut)).select(*names)
+    tied = placed.where(F.col("_cm").isNotNull() & there.eqNullSafe(cut))
+    ranked = tied.withColumn("_rank", F.row_number().over(Window.partitionBy("_m").orderBy(*tiebreak)))
+    return whole.unionByName(ranked.where(F.col("_rank") <= F.col("_room")).select(*names))
+
+
+def _newest(observations: DataFrame, n: int, tiebreak: Sequence[Column]) -> DataFrame:
+    cut_in_tasks = int(observations.sparkSession.conf.get(GROUP_LIMIT, "1000"))
+    return (_keep_last if n <= cut_in_tasks else _newest_by_count)(observations, n, tiebreak)
+
+
 def last_n(
     observations: DataFrame,
     n: int,
@@ -44,7 +84,8 @@ def last_n(
 ) -> DataFrame:
     """The N newest observations per measure, by normalised period.
 
-    When every period is null nothing is cut.  ``has_periods`` says so at plan
+    Up to the session's group limit every task cuts to N before the shuffle; beyond it
+    counts per period find where to cut, whatever N.  When every period is null nothing is cut.  ``has_periods`` says so at plan
     time where the layout tells; left at None it is looked up in the data by a
     one-row subquery.
     """
@@ -53,18 +94,100 @@ def last_n(
     if tiebreak is None:
         tiebreak = [F.to_json("dimensions"), F.col("value")]
     if has_periods is not None:
-        return _keep_last(observations, n, tiebreak) if has_periods else observations
+        return _newest(observations, n, tiebreak) if has_periods else observations
     dated = observations.agg(F.coalesce(F.bool_or(F.col("period").isNotNull()), F.lit(False)))
-    trimmed = _keep_last(observations.where(dated.scalar()), n, tiebreak)
+    trimmed = _newest(observations.where(dated.scalar()), n, tiebreak)
     return trimmed.unionByName(observations.where(~dated.scalar()))
 
 
-def first_in_order(df: DataFrame, order_by: Sequence[str | Column], limit: int) -> DataFrame:
-    """The first ``limit`` rows in a total order.
+def _upward(df: DataFrame, order: str | Column) -> list[Column] | None:
+    """Sort keys that order rows upwards, nulls first, as an order does; None if there are none.
 
-    Tasks cut their rows to ``limit`` and meet in a fixed number of groups that do the
-    same, so the last step merges few groups however many tasks there are.
+    A plain column is one; a :class:`Falling` number is turned round.
+    """
+    if isinstance(order, Falling):
+        dtype = df.schema[order.name].dataType
+        col = F.col(f"`{order.name}`")
+        # the number first: what tells null and NaN from the outermost numbers rarely counts
+        if isinstance(dtype, T.IntegralType):
+            return [F.coalesce(F.bitwise_not(col.cast("bigint")), F.lit((1 << 63) - 1)), col.isNull()]
+        if isinstance(dtype, T.DoubleType | T.FloatType):
+            number = F.when(F.isnan(col), float("-inf")).otherwise(-col.cast("double"))
+            odd = F.when(col.isNull(), 2).when(F.isnan(col), 0).otherwise(1)
+            return [F.coalesce(number, F.lit(float("inf"))), odd]
+        if isinstance(dtype, T.DecimalType):
+            return [col.isNull(), -col]
+        return None
+    if isinstance(order, Column):
+        return None if str(order).endswith(("NULLS FIRST'>", "NULLS LAST'>")) else [order]
+    return [F.col(f"`{order}`")]
+
+
+@dataclass(frozen=True)
+class Falling:
+    """A column whose largest values come first and nulls last."""
+
+    name: str
+
+    def order(self) -> Column:
+        return F.col(f"`{self.name}`").desc_nulls_last()
+
+
+def _heaped(df: DataFrame, keys: list[Column], limit: int) -> DataFrame:
+    """One row: ``_rows``, the first ``limit`` rows by the keys, and ``_total``, how many there are.
+
+    A bounded heap per task keeps its first rows and counts in the same pass.  Tasks meet
+    in a fixed number of groups, and those groups in one, so no step takes in the rows of
+    more than :data:`MERGE_GROUPS` heaps.
     """
+    flat = [  # maps have no order, their entries do
+        (F.map_entries(f"`{f.name}`") if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`")).alias(f"_row_{i}")
+        for i, f in enumerate(df.schema.fields)
+    ]
+    # keys and row side by side: nested structs compare several times slower
+    row = F.struct(*[k.alias(f"_key_{i}") for i, k in enumerate(keys)], *flat)
+    first = lambda rows: InternalFunction.collect_top_k(F.col(rows), limit, True)
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("_group")
+    parts = df.select(group, row.alias("_row")).groupBy("_group").agg(first("_row").alias("_rows"), F.count("*").alias("_n"))
+    listed = parts.select("_n", F.posexplode("_rows").alias("_place", "_row"))
+    return listed.agg(first("_row").alias("_rows"), F.sum(F.when(F.col("_place") == 0, F.col("_n"))).alias("_total"))
+
+
+def _ordered(order: str | Column | Falling) -> str | Column:
+    return order.order() if isinstance(order, Falling) else order
+
+
+def _sortable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _sortable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_sortable(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, T.MapType | T.VariantType)
+
+
+def _first(df: DataFrame, order_by: Sequence[str | Column | Falling], limit: int, count: bool) -> DataFrame:
+    keys = [_upward(df, o) for o in order_by]
+    kinds = [f.dataType for f in df.schema.fields]
+    kinds = [T.StructType().add("k", k.keyType).add("v", k.valueType) if isinstance(k, T.MapType) else k for k in kinds]
+    if all(k is not None for k in keys) and all(map(_sortable, kinds)):
+        found = _heaped(df, [k for ks in keys for k in ks], limit)
+        listed = found.select("_total", F.explode("_rows").alias("_row"))
+        columns = [
+            (F.map_from_entries(f"_row._row_{i}") if isinstance(f.dataType, T.MapType) else F.col(f"_row._row_{i}")).alias(f.name)
+            for i, f in enumerate(df.schema.fields)
+        ]
+        total = F.col("_total")
+    else:
+        order = list(map(_ordered, order_by))
+        listed, columns = _merged(df, order, limit), [f"`{c}`" for c in df.columns]
+        total = df.agg(F.count("*")).scalar() if count else None
+    if not count:
+        return listed.select(*columns)
+    return listed.select(*columns, F.when(total > limit, total).alias("truncated_at"))
+
+
+def _merged(df: DataFrame, order_by: Sequence[str | Column], limit: int) -> DataFrame:
+    """The first rows in any order that Spark sorts by, in two steps."""
     group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
     window = Window.partitionBy("_group").orderBy(*order_by)
     ranked = df.withColumn("_group", group).withColumn("_rank", F.row_number().over(window))
@@ -72,27 +195,35 @@ def first_in_order(df: DataFrame, order_by: Sequence[str | Column], limit: int)
     return df.orderBy(*order_by).limit(limit)
 
 
+def first_in_order(df: DataFrame, order_by: Sequence[str | Column | Falling], limit: int) -> DataFrame:
+    """The first ``limit`` rows in a total order, in that order.
+
+    Tasks keep their first rows in a bounded heap and meet in a fixed number of groups
+    that do the same, so the last step merges few groups however many tasks there are.
+    Every column of ``df`` is read and goes through the heaps.  Orders with a sort direction of their own are ranked by windows instead of heaps.
+    """
+    return _first(df, order_by, limit, count=False)
+
+
 def limited(
     df: DataFrame,
-    order_by: Sequence[str | Column],
+    order_by: Sequence[str | Column | Falling],
     limit: int = DEFAULT_LIMIT,
     with_count: bool = True,
 ) -> DataFrame:
     """The first rows in a given order, with the full count where rows were cut.
 
     ``truncated_at`` is the count of all rows if there are more than ``limit``, else
-    null.  The count is a pass of its own; without it there is no such column.
+    null; it is counted while the rows are found.  Without it there is no such column.
     """
     check_limit(limit)
-    top = first_in_order(df, order_by, limit)
-    if not with_count:
-        return top
-    total = df.agg(F.count("*")).scalar()
-    return top.withColumn("truncated_at", F.when(total > limit, total))
+    return _first(df, order_by, limit, with_count)
 
 
 def top_n(df: DataFrame, measure: str, n: int, tiebreak: Sequence[str]) -> DataFrame:
-    """Rows with the largest measure, ties broken by the given columns."""
+    """Rows with the largest measure, ties broken by the given columns.
+
+    Rows pass the heaps whole: select the columns in use first.
+    """
     check_limit(n, None)
-    order = [F.col(measure).desc_nulls_last(), *map(F.col, tiebreak)]
-    return first_in_order(df, order, n)
+    return first_in_order(df, [Falling(measure), *tiebreak], n)

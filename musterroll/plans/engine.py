@@ -256,8 +256,8 @@ class Engine:
     ) -> DataFrame:
         """The newest observation per measure, at most ``limit`` rows in a stated order.
 
-        ``truncated_at`` holds the full count where rows were cut (``with_count=False``
-        saves that pass).  The order defaults to the id columns of the table.
+        ``truncated_at`` holds the full count where rows were cut, counted in the same
+        pass.  The order defaults to the id columns of the table.
         """
         spec = self.catalog.get(table_id)
         topk.check_limit(limit)
@@ -267,9 +267,9 @@ class Engine:
             # ordered on flat columns, which compare faster than a map's entries
             rows = self.rows(table_id, filters, cut_text=cut_text)
             flat = reshape.wide_flat(rows, bound, None, filled=self._filled(bound))
-            order = [*map(quoted, ids), "measure", *[quoted(k) for k in dims if k not in ids]]
-            rows = flat.withColumn("dimensions", reshape.dimension_map(dims))
-            page = topk.limited(rows, order, limit, with_count)
+            order = [*ids, "measure", *[k for k in dims if k not in ids]]
+            page = topk.limited(flat, order, limit, with_count)
+            page = page.withColumn("dimensions", reshape.dimension_map(dims))
             return page.select(*reshape.OBSERVATION, *(["truncated_at"] if with_count else []))
         out = self.query(table_id, filters, cut_text=cut_text, last_n=1)
         if order_by is None:

@@ -260,6 +260,31 @@ def last_n_per_measure(spark: SparkSession, folder: str) -> DataFrame:
     return newest.select("measure", "period", "value", order)
 
 
+@check("""
+    SELECT measure, period, count(*) AS n, sum(l_orderkey)::BIGINT AS orders FROM (
+        SELECT l_returnflag AS measure, strftime(l_shipdate, '%Y-%m-%d') AS period, l_orderkey,
+               row_number() OVER (
+                   PARTITION BY l_returnflag
+                   ORDER BY strftime(l_shipdate, '%Y-%m') DESC, l_shipdate DESC,
+                            l_orderkey DESC, l_linenumber, l_partkey, l_quantity
+               ) AS place
+        FROM lineitem
+    ) WHERE place <= 12000 GROUP BY ALL
+""")
+def last_n_many(spark: SparkSession, folder: str) -> DataFrame:
+    """More rows per measure than tasks can cut to: found by counts per period."""
+
+    def key(name: str):
+        return F.try_element_at("dimensions", F.lit(name)).cast("bigint")
+
+    newest = topk.last_n(
+        flagged(spark, folder), 12_000,
+        tiebreak=[key("order").desc(), key("line"), key("part"), F.col("value")],
+        has_periods=True,
+    )
+    return newest.groupBy("measure", "period").agg(F.count("*").alias("n"), F.sum(key("order")).alias("orders"))
+
+
 @check("""
     SELECT 'balance' AS measure, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer
 """)

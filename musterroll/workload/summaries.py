@@ -101,9 +101,8 @@ def latest_limit(spark: SparkSession, folder: str) -> DataFrame:
     ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey LIMIT 100
 """)
 def top_n(spark: SparkSession, folder: str) -> DataFrame:
-    top = topk.top_n(
-        lines(spark, folder), "price", 100, ["order_key", "line_number", "part_key"]
-    )
+    rows = lines(spark, folder).select("order_key", "line_number", "part_key", "price")
+    top = topk.top_n(rows, "price", 100, ["order_key", "line_number", "part_key"])
     return top.select("order_key", "line_number", "price")
 
 
@@ -122,9 +121,8 @@ def first_rows_guard(spark: SparkSession, folder: str) -> DataFrame:
     FROM lineitem ORDER BY l_quantity DESC, l_orderkey, l_linenumber, l_partkey LIMIT 1000
 """)
 def top_n_two_step(spark: SparkSession, folder: str) -> DataFrame:
-    top = topk.top_n(
-        lines(spark, folder), "quantity", 1000, ["order_key", "line_number", "part_key"]
-    )
+    rows = lines(spark, folder).select("order_key", "line_number", "part_key", "quantity")
+    top = topk.top_n(rows, "quantity", 1000, ["order_key", "line_number", "part_key"])
     return top.select("order_key", "line_number", "quantity")
 
 

@@ -61,14 +61,15 @@ def test_last_n_cuts_before_the_shuffle(spark, sf_dir):
     assert "Partial" in plan
 
 
-@pytest.mark.parametrize("name", ["top_n", "latest_limit", "relevance_rank"])
-def test_tops_keep_few_rows_per_task(spark, sf_dir, name):
-    assert "TakeOrderedAndProject" in plan_of(CHECKS[name].run(spark, sf_dir))
+def test_hits_keep_few_rows_per_task(spark, sf_dir):
+    assert "TakeOrderedAndProject" in plan_of(CHECKS["relevance_rank"].run(spark, sf_dir))
 
 
-def test_large_tops_merge_in_two_steps(spark, sf_dir):
-    plan = plan_of(CHECKS["top_n_two_step"].run(spark, sf_dir))
-    assert "WindowGroupLimit" in plan and "TakeOrderedAndProject" in plan
+@pytest.mark.parametrize("name", ["top_n", "top_n_two_step", "latest_limit"])
+def test_tops_are_heaps_merged_in_two_steps_of_one_scan(spark, sf_dir, name):
+    plan = plan_of(CHECKS[name].run(spark, sf_dir))
+    assert plan.count("FileScan") == 1 and "Sort" not in plan and "Window" not in plan
+    assert plan.count("partial_collect_top_k") == 2 and plan.count("Exchange") == 2
 
 
 @pytest.mark.parametrize(
