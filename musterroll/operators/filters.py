@@ -37,15 +37,20 @@ def parse_filter_column(col: Column) -> Column:
     return F.from_json(col, "map<string,string>")
 
 
-def contains_text(col: Column, needle: str, name: str = "value") -> Column:
-    """Case-insensitive literal substring; wildcards in the needle are dropped."""
+def needle_of(needle: str, name: str = "value") -> str:
+    """What a substring filter looks for, in lower case; wildcards are dropped."""
     text = needle
     for mark in WILDCARDS:
         text = text.replace(mark, "")
     text = text.strip()
     if not text:
         raise ValueError(f"Filter {name!r}: nothing left to match after removing '*' and '~'")
-    return F.lower(col.cast("string")).contains(text.lower())
+    return text.lower()
+
+
+def contains_text(col: Column, needle: str, name: str = "value") -> Column:
+    """Case-insensitive literal substring; wildcards in the needle are dropped."""
+    return F.lower(col.cast("string")).contains(needle_of(needle, name))
 
 
 def equals_text(col: Column, values: list[str], dtype: T.DataType) -> Column:

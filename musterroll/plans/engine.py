@@ -17,6 +17,7 @@ from musterroll.operators.topk import check_limit
 from musterroll.operators.project import project, quoted
 from musterroll.operators.search import closest_by_edits
 from musterroll.plans import catalog as cat
+from musterroll.sources import text_index
 from musterroll.sources.carve import carve, with_row_number
 from musterroll.sources.delimited import read_delimited, read_grid
 from musterroll.sources.tables import materialise, materialise_many
@@ -80,11 +81,15 @@ class Engine:
         target: str,
         encoding: str = "auto",
         cluster_by: Sequence[str] = (),
+        text_index: Sequence[str] = (),
     ) -> int:
-        """Convert the raw files of a register to clean Parquet and bind it; returns its rows."""
+        """Convert the raw files of a register to clean Parquet and bind it; returns its rows.
+
+        Substring filters on the columns of ``text_index`` then read only blocks that can match.
+        """
         spec = self.catalog.get(table_id)
         raw = self.read_files(table_id, paths, encoding)
-        rows = materialise(raw, target, spec=spec, cluster_by=cluster_by)
+        rows = materialise(raw, target, spec=spec, cluster_by=cluster_by, text_index=text_index)
         self.bind(spec.id, target, materialised=True)
         return rows
 
@@ -157,6 +162,15 @@ class Engine:
             return self.spark.read.parquet(source)
         return source() if callable(source) else source
 
+    def _narrowed(self, spec: TableSpec, wanted: dict) -> DataFrame:
+        """The stored rows of a table; where its text is indexed, without blocks that cannot match."""
+        table, source = self.table(spec.id), self._bound[spec.id]
+        if not isinstance(source, str) or text_index.BLOCK not in table.columns:
+            return table
+        substring = spec.substring_keys()
+        needles = {k: flt.needle_of(str(v).strip(), k) for k, v in wanted.items() if k in substring and not isinstance(v, list)}
+        return text_index.narrowed(table, source, needles)
+
     def rows(
         self,
         table_id: str,
@@ -178,7 +192,7 @@ class Engine:
         bounded = spec.layout == "wide" and bool(start or end)
         if bounded and date_column not in [c.key for c in spec.columns]:
             raise ValueError(f"name the date column of {spec.id!r} the period bounds apply to")
-        df = project(self.table(spec.id), spec)
+        df = project(self._narrowed(spec, wanted), spec)
         dimensions = [c.key for c in spec.with_role("dimension")]
         asked = [*wanted, date_column if bounded else None]
         if spec.id not in self._clean and not any(k in dimensions for k in asked):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 
 from musterroll.operators.filters import drop_blank_rows
 from musterroll.operators.project import project, quoted
+from musterroll.sources import text_index as index
 from musterroll.specs.model import Catalog, TableSpec, some
 
+
 def shared_dir(spark: SparkSession) -> str | None:
     """The folder the cluster shares between its executors, if it names one."""
     context = spark.sparkContext
@@ -71,11 +73,13 @@ def first_rows(spark: SparkSession, path: str, rows: int) -> DataFrame:
     return table.where(address.isin(*chosen) & ((address != last) | (place < keep)))
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+def write_parquet(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), options: Mapping[str, object] | None = None
+) -> int:
     """Snappy Parquet through Spark's commit protocol; returns the rows written."""
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    writer.option("compression", "snappy").partitionBy(*partition_by).parquet(path)
+    writer.options(compression="snappy", **(options or {})).partitionBy(*partition_by).parquet(path)
     return seen.get["rows"]
 
 
@@ -104,6 +108,8 @@ def materialise(
     columns: Sequence[str] | None = None,
     spec: TableSpec | None = None,
     cluster_by: Sequence[str] = (),
+    text_index: Sequence[str] = (),
+    block_rows: int = index.BLOCK_ROWS,
 ) -> int:
     """Convert a raw text table to Parquet once, so that queries scan columns.
 
@@ -111,7 +117,9 @@ def materialise(
     rows, which lets later filters reach the scan.  ``cluster_by`` sorts the files by
     columns, so that exact lookups skip most row groups; a hash of row and reading
     task as last sort key lets a hot value, and copies of one row, spread over
-    several files.  An empty input is an error and leaves an earlier table as it was.
+    several files.  ``text_index`` names text columns whose substrings are looked up often:
+    rows get a block number and the columns a trigram index beside the table.  An empty
+    input is an error and leaves an earlier table as it was.
     """
     table = raw if columns is None else raw.select(*[quoted(c) for c in columns])
     if spec is not None:
@@ -123,7 +131,12 @@ def materialise(
         order = [*[quoted(c) for c in cluster_by], F.col("_spread")]
         table = table.withColumn("_spread", spread)
         table = table.repartitionByRange(*order).sortWithinPartitions(*order).drop("_spread")
-    return write_parquet(table, path)
+    if not text_index:
+        return write_parquet(table, path)
+    pages = {"maxRecordsPerFile": block_rows * index.FILE_BLOCKS, "parquet.page.row.count.limit": block_rows}
+    rows = write_parquet(index.with_blocks(table, block_rows), path, options=pages)
+    index.build(raw.sparkSession, path, text_index)
+    return rows
 
 
 STATUS_SCHEMA = T.StructType(

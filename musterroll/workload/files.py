@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from musterroll.operators.project import project
+from musterroll.plans.engine import Engine
 from musterroll.sources import delimited as D
 from musterroll.sources.carve import carve
 from musterroll.sources.tables import (
@@ -94,6 +95,20 @@ def materialised_scan(spark: SparkSession, folder: str) -> DataFrame:
     return table.where(F.col("return_flag") == "R").select("order_key", "line_number", "price")
 
 
+@check("""
+    SELECT c_custkey AS customer_key, c_name AS name, c_acctbal AS balance
+    FROM customer WHERE contains(lower(c_name), 'r#00000012')
+""")
+def filter_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """A substring looked up in a trigram index; other blocks of the table are not read."""
+    path = scratch_path(spark, "customer")
+    materialise(
+        load(spark, folder, "customer"), path, spec=CUSTOMER, cluster_by=["name"], text_index=["name"], block_rows=16
+    )
+    engine = Engine(spark, Catalog([CUSTOMER])).bind("CUSTOMER", path, materialised=True)
+    return engine.rows("CUSTOMER", {"name": "*R#00000012*"}).select("customer_key", "name", "balance")
+
+
 @check("""
     SELECT 'CUSTOMER' AS id, 'ok' AS status, count(*) AS rows FROM customer
     UNION ALL SELECT 'ORDERS', 'ok', count(*) FROM orders

@@ -8,7 +8,7 @@ from musterroll.workload import CHECKS
 WITH_PYTHON = {"closest_values"}
 # Queries that write files or run jobs before they return a plan.
 EAGER = {
-    "csv_roundtrip", "mixed_delimiters", "mixed_encodings", "materialised_scan", "materialise_status",
+    "csv_roundtrip", "mixed_delimiters", "mixed_encodings", "materialised_scan", "materialise_status", "filter_indexed",
     "daily_concat", "daily_stream", "parquet_roundtrip",
 }
 
