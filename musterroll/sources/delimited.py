@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from musterroll.functions.cleaning import null_tokens, strip_text
 from musterroll.operators.project import quoted
+from musterroll.sources import quoted_text
 
 # Date digits in the last part of a path.
 DATE_IN_NAME = r"(\d{8})[^/]*$"
@@ -125,6 +126,19 @@ def scan(
     return df
 
 
+def scan_splits(spark: SparkSession, group: FileGroup) -> DataFrame:
+    """Like :func:`scan` with ``multiline``, but large files split.
+
+    Records are put together from Spark's lines by quote parity; the header must be on
+    one line.
+    """
+    names = scan(spark, group.paths[:1], group.delimiter, group.encoding).columns  # reads a header
+    found = quoted_text.records(spark, group.paths, single_byte=group.encoding != "utf-8")
+    df = quoted_text.parsed(found, len(names), group.delimiter)
+    fix = from_1252 if group.encoding == "windows-1252" else (lambda c: c)
+    return df.select(*[fix(F.col(f"c{i}")).alias(n) for i, n in enumerate(names)])
+
+
 @dataclass(frozen=True)
 class FileGroup:
     """Files that one scan can read."""
@@ -165,12 +179,17 @@ def read_delimited(
     """CSV / TSV files of one register as one all-text table.
 
     Delimiter, header and, with ``encoding="auto"``, encoding are found per file, in one
-    pass over the raw text.  Columns that a file lacks are null.
+    pass over the raw text.  Columns that a file lacks are null.  Files split, with
+    ``multiline`` too, unless a header itself has a line break.
     """
     groups = file_groups(spark, paths, delimiter, encoding)
     if not groups:
         raise ValueError(f"no files under {paths!r}")
-    parts = [scan(spark, g.paths, g.delimiter, g.encoding, multiline) for g in groups]
+    parts = [
+        scan_splits(spark, g) if multiline and g.header.count('"') % 2 == 0
+        else scan(spark, g.paths, g.delimiter, g.encoding, multiline)
+        for g in groups
+    ]
     table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if not drop_null_tokens:
         return table
