@@ -100,27 +100,31 @@ def last_n(
     return trimmed.unionByName(observations.where(~dated.scalar()))
 
 
-def _upward(df: DataFrame, order: str | Column) -> list[Column] | None:
-    """Sort keys that order rows upwards, nulls first, as an order does; None if there are none.
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
-    A plain column is one; a :class:`Falling` number is turned round.
+
+def _upward(df: DataFrame, order: str | Falling) -> list[str] | None:
+    """SQL sort keys that order rows upwards, nulls first, as an order does; None if there are none.
+
+    A column is its own key; a :class:`Falling` number is turned round.
     """
-    if isinstance(order, Falling):
-        dtype = df.schema[order.name].dataType
-        col = F.col(f"`{order.name}`")
-        # the number first: what tells null and NaN from the outermost numbers rarely counts
-        if isinstance(dtype, T.IntegralType):
-            return [F.coalesce(F.bitwise_not(col.cast("bigint")), F.lit((1 << 63) - 1)), col.isNull()]
-        if isinstance(dtype, T.DoubleType | T.FloatType):
-            number = F.when(F.isnan(col), float("-inf")).otherwise(-col.cast("double"))
-            odd = F.when(col.isNull(), 2).when(F.isnan(col), 0).otherwise(1)
-            return [F.coalesce(number, F.lit(float("inf"))), odd]
-        if isinstance(dtype, T.DecimalType):
-            return [col.isNull(), -col]
-        return None
-    if isinstance(order, Column):
-        return None if str(order).endswith(("NULLS FIRST'>", "NULLS LAST'>")) else [order]
-    return [F.col(f"`{order}`")]
+    if isinstance(order, str):
+        return [_name(order)]
+    dtype, col = df.schema[order.name].dataType, _name(order.name)
+    # the number first: what tells null and NaN from the outermost numbers rarely counts
+    if isinstance(dtype, T.IntegralType):
+        return [f"coalesce(~cast({col} AS bigint), {(1 << 63) - 1}L)", f"{col} IS NULL"]
+    if isinstance(dtype, T.DoubleType | T.FloatType):
+        number = f"CASE WHEN isnan({col}) THEN double('-infinity') ELSE -cast({col} AS double) END"
+        return [f"coalesce({number}, double('infinity'))", f"CASE WHEN {col} IS NULL THEN 2 WHEN isnan({col}) THEN 0 ELSE 1 END"]
+    if isinstance(dtype, T.DecimalType):
+        return [f"{col} IS NULL", f"-{col}"]
+    return None
+
+
+def _is_sort(order: object) -> bool:
+    return isinstance(order, Column) and str(order).endswith(("NULLS FIRST'>", "NULLS LAST'>"))
 
 
 @dataclass(frozen=True)
@@ -133,24 +137,21 @@ class Falling:
         return F.col(f"`{self.name}`").desc_nulls_last()
 
 
-def _heaped(df: DataFrame, keys: list[Column], limit: int) -> DataFrame:
+def _heaped(df: DataFrame, names: list[str], keys: list[str], limit: int) -> DataFrame:
     """One row: ``_rows``, the first ``limit`` rows by the keys, and ``_total``, how many there are.
 
     A bounded heap per task keeps its first rows and counts in the same pass.  Tasks meet
     in a fixed number of groups, and those groups in one, so no step takes in the rows of
     more than :data:`MERGE_GROUPS` heaps.
     """
-    flat = [  # maps have no order, their entries do
-        (F.map_entries(f"`{f.name}`") if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`")).alias(f"_row_{i}")
-        for i, f in enumerate(df.schema.fields)
-    ]
-    # keys and row side by side: nested structs compare several times slower
-    row = F.struct(*[k.alias(f"_key_{i}") for i, k in enumerate(keys)], *flat)
-    first = lambda rows: InternalFunction.collect_top_k(F.col(rows), limit, True)
-    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("_group")
-    parts = df.select(group, row.alias("_row")).groupBy("_group").agg(first("_row").alias("_rows"), F.count("*").alias("_n"))
-    listed = parts.select("_n", F.posexplode("_rows").alias("_place", "_row"))
-    return listed.agg(first("_row").alias("_rows"), F.sum(F.when(F.col("_place") == 0, F.col("_n"))).alias("_total"))
+    maps = {f.name for f in df.schema.fields if isinstance(f.dataType, T.MapType)}
+    # keys and row side by side: nested structs compare several times slower; maps have no order, their entries do
+    fields = [f"{k} AS _key_{i}" for i, k in enumerate(keys)]
+    fields += [f"{f'map_entries({_name(n)})' if n in maps else _name(n)} AS _row_{i}" for i, n in enumerate(names)]
+    first = InternalFunction.collect_top_k(F.col("_row"), limit, True).alias("_rows")
+    rows = df.selectExpr(f"pmod(spark_partition_id(), {MERGE_GROUPS}) AS _group", f"struct({', '.join(fields)}) AS _row")
+    parts = rows.groupBy("_group").agg(first, F.expr("count(*) AS _n"))
+    return parts.selectExpr("_n", "posexplode(_rows) AS (_place, _row)").agg(first, F.expr("sum(CASE WHEN _place = 0 THEN _n END) AS _total"))
 
 
 def _ordered(order: str | Column | Falling) -> str | Column:
@@ -166,24 +167,27 @@ def _sortable(dtype: T.DataType) -> bool:
 
 
 def _first(df: DataFrame, order_by: Sequence[str | Column | Falling], limit: int, count: bool) -> DataFrame:
-    keys = [_upward(df, o) for o in order_by]
-    kinds = [f.dataType for f in df.schema.fields]
+    fields = df.schema.fields
+    kinds = [f.dataType for f in fields]
     kinds = [T.StructType().add("k", k.keyType).add("v", k.valueType) if isinstance(k, T.MapType) else k for k in kinds]
-    if all(k is not None for k in keys) and all(map(_sortable, kinds)):
-        found = _heaped(df, [k for ks in keys for k in ks], limit)
-        listed = found.select("_total", F.explode("_rows").alias("_row"))
-        columns = [
-            (F.map_from_entries(f"_row._row_{i}") if isinstance(f.dataType, T.MapType) else F.col(f"_row._row_{i}")).alias(f.name)
-            for i, f in enumerate(df.schema.fields)
-        ]
-        total = F.col("_total")
-    else:
-        order = list(map(_ordered, order_by))
-        listed, columns = _merged(df, order, limit), [f"`{c}`" for c in df.columns]
-        total = df.agg(F.count("*")).scalar() if count else None
-    if not count:
-        return listed.select(*columns)
-    return listed.select(*columns, F.when(total > limit, total).alias("truncated_at"))
+    worked_out = {f"_order_{i}": o for i, o in enumerate(order_by) if isinstance(o, Column)}
+    keys = [None]
+    if all(map(_sortable, kinds)) and not any(map(_is_sort, worked_out.values())):
+        orders = [f"_order_{i}" if isinstance(o, Column) else o for i, o in enumerate(order_by)]
+        keys = [_upward(df, o) for o in orders]
+    if None in keys:
+        listed = _merged(df, list(map(_ordered, order_by)), limit)
+        if not count:
+            return listed
+        total = df.agg(F.count("*")).scalar()
+        return listed.withColumn("truncated_at", F.when(total > limit, total))
+    found = _heaped(df.withColumns(worked_out) if worked_out else df, df.columns, [k for ks in keys for k in ks], limit)
+    columns = [
+        f"{f'map_from_entries(_row._row_{i})' if isinstance(f.dataType, T.MapType) else f'_row._row_{i}'} AS {_name(f.name)}"
+        for i, f in enumerate(fields)
+    ]
+    total = [f"CASE WHEN _total > {limit} THEN _total END AS truncated_at"] if count else []
+    return found.selectExpr("_total", "explode(_rows) AS _row").selectExpr(*columns, *total)
 
 
 def _merged(df: DataFrame, order_by: Sequence[str | Column], limit: int) -> DataFrame:
