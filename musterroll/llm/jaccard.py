@@ -260,7 +260,9 @@ class Join:
                 )
 
         found = self.rows.mapInArrow(pick, "node long, shingles binary")
-        return written(found.join(lists.select("node").distinct(), "node").dropDuplicates(["node"]), "sets")
+        sets = written(found.join(lists.select("node").distinct(), "node").dropDuplicates(["node"]), "sets")
+        wanted.destroy()
+        return sets
 
     def checked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Pairs (u, v) whose whole sets are similar enough, with their overlap."""
@@ -291,7 +293,10 @@ class Join:
         """Links (u, v) between nodes that connect exactly the nodes that links connect."""
         shared, frequent, mean_list = self.counted()
         boundary = choose_boundary(mean_list, self.percent)
-        lists = self.lists(self.spark.sparkContext.broadcast((shared, frequent)), boundary)
+        maps = self.spark.sparkContext.broadcast((shared, frequent))
+        del shared, frequent
+        lists = self.lists(maps, boundary)
+        maps.destroy()
         heavy, light = lists.where("light = 0"), lists.where("light > 0")
         known = written(_light_links(light), "links")
         if heavy.limit(1).count() == 0:

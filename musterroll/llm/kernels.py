@@ -7,6 +7,7 @@ and memory does not depend on the size of a partition.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 2 << 20
+#: Longer words are told apart by a digest: modulo a power of two, a polynomial hash can
+#: be the same for long strings that are built alike, whatever its base.
+LONG_WORD = 32
 U = np.uint64
 _ODD = U(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93  # odd, so that it has an inverse modulo 2**64
@@ -128,10 +132,20 @@ def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, fold_case: bool, inside: np.ndarray | None = None):
+def digest(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")
+
+
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, fold_case: bool, inside: np.ndarray | None = None, digest_long: bool = False
+):
     """Hashes of all words and their count offsets per text."""
     starts, ends, text = words(data, offsets, ~SPACE if inside is None else inside)
     hashes = span_hash(prefix_hash(data, fold_case), starts, ends) if len(starts) else np.zeros(0, U)
+    if digest_long:
+        for i in np.flatnonzero(ends - starts >= LONG_WORD):
+            word = data[starts[i] : ends[i]].tobytes()
+            hashes[i] = digest(word.lower() if fold_case else word)  # bytes fold ASCII only
     counts = np.bincount(text, minlength=len(offsets) - 1)
     return hashes, np.concatenate([[0], np.cumsum(counts)])
 
@@ -141,7 +155,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int, fold_case: bool
 
     A text with fewer than k words, but some, has one shingle: all its words.
     """
-    hashes, at = word_hashes(data, offsets, fold_case)
+    hashes, at = word_hashes(data, offsets, fold_case, digest_long=True)
     n = np.diff(at)
     out_n = np.where(n >= k, n - k + 1, (n > 0).astype(n.dtype))
     out_at = np.concatenate([[0], np.cumsum(out_n)])

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from musterroll.llm.jaccard import BITMAP_BITS, FLUSH, _bitmap, _column, _packed
-from musterroll.llm.kernels import U, buffers, chunks, mix, prefix_hash, span_hash
+from musterroll.llm.kernels import U, buffers, chunks, digest, mix, prefix_hash, span_hash
 from musterroll.llm.shared import written
 
 LENGTH, GRAM = 200, 32
@@ -115,14 +115,9 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gr
 
 
 def text_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A 64-bit key of each whole text."""
-    out = np.zeros(len(offsets) - 1, U)
-    if len(data) <= 2 * SEGMENT:
-        sums = prefix_hash(data)
-        return mix(span_hash(sums, offsets[:-1], offsets[1:]) ^ np.diff(offsets).astype(U)).view(np.int64)
-    for i in range(len(out)):
-        out[i] = int.from_bytes(hashlib.blake2b(data[offsets[i] : offsets[i + 1]], digest_size=8).digest(), "little")
-    return out.view(np.int64)
+    """A 64-bit key of each whole text, from a digest: long texts may be built alike."""
+    out = [digest(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    return np.array(out, U).view(np.int64)
 
 
 # ---------------------------------------------------------------- suffix arrays

@@ -137,3 +137,17 @@ def test_kernel_words_and_sets_match_a_plain_split():
             for j in range(len(got)):
                 assert len(got[i] & got[j]) == len(want[i] & want[j])
     assert np.array_equal(kernels.powers(5)[0][:3] * kernels.powers(5)[1][:3], np.ones(3, np.uint64))
+
+
+def thue_morse(n, letters="ab"):
+    return "".join(letters[i.bit_count() & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [64, 1024, 2048, 4096])
+def test_words_built_alike_are_different_words(make_docs, n):
+    """A polynomial hash modulo 2**64 is the same for these pairs, whatever its base."""
+    a, b = thue_morse(n), thue_morse(n, "ba")
+    rows = [(1, a), (2, b), (3, f"one two three four {a}"), (4, f"one two three four {b}"), (5, a.upper())]
+    got = {r["id"]: r["component_id"] for r in jaccard.jaccard_join(make_docs(rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+    assert jaccard.one_of_each(make_docs(rows)).count() == 4

@@ -118,3 +118,14 @@ def test_crowded(make_docs, monkeypatch):
 
 def test_empty(make_docs):
     assert suffixes.suffix_dedup(make_docs([]).where("false")).collect() == []
+
+
+def test_texts_built_alike_have_different_keys():
+    def word(n, letters):
+        return "".join(letters[i.bit_count() & 1] for i in range(n)).encode()
+
+    for n in (1024, 2048, 4096):
+        texts = [word(n, "ab"), word(n, "ba")]
+        data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.array([0, n, 2 * n])
+        a, b = suffixes.text_keys(data, offsets)
+        assert a != b
