@@ -13,14 +13,17 @@ the same recurrence on Python integers in an Arrow batch function.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from itertools import chain
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD_BITS = 62
+# What parts words.
+SPACES = r"(?U)[\s\x1c-\x1f]+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -38,8 +41,12 @@ def characters(col: Column) -> Column:
 
 def words(col: Column) -> Column:
     """Words of a text in sorted order, repeats included."""
-    parts = F.split(F.regexp_replace(col, r"(?U)[\s\x1c-\x1f]+", " "), " ")
-    return F.array_sort(F.filter(parts, lambda w: w != ""))
+    return F.sort_array(split_words(col))
+
+
+def split_words(col: Column) -> Column:
+    """Words of a text as they come; no function values, so this compiles."""
+    return F.array_remove(F.split(F.regexp_replace(col, SPACES, " "), " "), "")
 
 
 def query_words(query: str) -> list[str]:
@@ -145,12 +152,101 @@ def partial_ratio(query: str, col: Column, enough: float | None = None) -> Colum
     return F.when(n_text == 0, F.lit(0.0)).otherwise(let(_query_marks(query, col), pick))
 
 
+def _literal(text: str) -> str:
+    """A text literal in SQL text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _compare_sql(shared: str, left: str, right: str, matched: str) -> str:
+    """:func:`_compare` in SQL text, over columns with lengths."""
+    gap = f"if({shared} > 0, 1, 0)"
+    full = f"(2 * ({shared} + {gap}) + {left} + {right})"
+    differing = f"100D - 100D * ({left} + {right} - 2 * {matched}) / greatest({full}, 1)"
+    sides = [f"100D - 100D * ({gap} + {n}) / greatest(2 * {shared} + {gap} + {n}, 1)" for n in (left, right)]
+    return (
+        f"CASE WHEN {shared} > 0 AND ({left} = 0 OR {right} = 0) THEN 100D WHEN {shared} = 0 THEN {differing} "
+        f"ELSE greatest({differing}, {', '.join(sides)}) END"
+    )
+
+
+def with_bounds(df: DataFrame, query: str, text: str, partial: bool, into: str) -> DataFrame:
+    """``into`` with columns ``<into>_low`` and ``<into>_high`` around the scores of a text column.
+
+    They hold :func:`token_set_ratio`, with ``partial`` the greater of it and
+    :func:`partial_ratio`.  Words count exactly, characters in order by how many are shared
+    at all.  Worked out in steps of plain columns, which compile; nothing is searched.
+    """
+    whole, kept = _literal(query), [f"`{c}`" for c in df.columns]
+    own = f"array({', '.join(map(_literal, query_words(query)))})" if query.strip() else "cast(array() as array<string>)"
+    spaces = _literal(SPACES)
+    shared = [f"least({n}, length(`{text}`) - length(replace(`{text}`, {_literal(ch)}, '')))" for ch, n in sorted(Counter(query).items())]
+    df = df.selectExpr(
+        *kept, f"array_distinct(array_remove(split(regexp_replace(`{text}`, {spaces}, ' '), ' '), '')) AS _theirs",
+        f"{' + '.join(shared) or '0'} AS _chars",
+    )
+    size = "length(array_join(array_{}, ' ')) AS {}"
+    df = df.selectExpr(
+        *kept, "_chars", "size(_theirs) = 0 AS _wordless", size.format(f"intersect({own}, _theirs)", "_shared"),
+        size.format(f"except({own}, _theirs)", "_left"), size.format(f"except(_theirs, {own})", "_right"),
+    )
+    wordless = "_wordless" if query.strip() else "true"
+    low, high = (
+        f"CASE WHEN {wordless} THEN 0D ELSE {_compare_sql('_shared', '_left', '_right', m)} END"
+        for m in ("0", "least(_left, _right, _chars)")
+    )
+    if partial and query:
+        within = f"CASE WHEN length(`{text}`) > 0 AND (contains(`{text}`, {whole}) OR contains({whole}, `{text}`)) THEN 100D ELSE 0D END"
+        reach = f"200D * _chars / greatest(least(length(`{text}`), {len(query)}) + _chars, 1)"
+        low = f"greatest({low}, {within})"
+        high = f"greatest({high}, {within}, CASE WHEN length(`{text}`) = 0 THEN 0D ELSE {reach} END)"
+    return df.selectExpr(*kept, f"{low} AS {into}_low", f"{high} AS {into}_high")
+
+
+def _compare(n_shared: Column, n_left: Column, n_right: Column, matched: Column) -> Column:
+    """Word-wise score from the lengths of shared and differing words.
+
+    ``matched`` characters of the differing ones agree in order.
+    """
+    gap = (n_shared > 0).cast("int")
+    full_left, full_right = n_shared + gap + n_left, n_shared + gap + n_right
+
+    def score(distance: Column, total: Column) -> Column:
+        return F.lit(100.0) - F.lit(100.0) * distance / F.greatest(total, F.lit(1))
+
+    differing = score(n_left + n_right - 2 * matched, full_left + full_right)
+    return (
+        F.when((n_shared > 0) & ((n_left == 0) | (n_right == 0)), F.lit(100.0))
+        .when(n_shared == 0, differing)
+        .otherwise(
+            F.greatest(
+                differing,
+                score(gap + n_left, n_shared + full_left),
+                score(gap + n_right, n_shared + full_right),
+            )
+        )
+    )
+
+
+def _split_words(query: str, col: Column, body: Callable[[Column], Column], empty: Column) -> Column:
+    """``body`` of the words the query and the text share and those each has for itself."""
+    own = F.array(*[F.lit(w) for w in query_words(query)])
+
+    def parts(theirs: Column) -> Column:
+        join = lambda a: F.concat_ws(" ", a)
+        split = F.struct(
+            join(F.array_intersect(own, theirs)).alias("shared"),
+            join(F.array_except(own, theirs)).alias("left"),
+            join(F.array_except(theirs, own)).alias("right"),
+        )
+        return F.when(F.size(theirs) == 0, empty).otherwise(let(split, body))
+
+    return let(words(col), parts)
+
+
 def token_set_ratio(query: str, col: Column) -> Column:
     """Ratio of shared and differing words, whatever their order and repetition."""
-    mine = query_words(query)
-    if not mine:
+    if not query_words(query):
         return F.lit(0.0)
-    own = F.array(*[F.lit(w) for w in mine])
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
 
     def common(letters: Column, text: Column) -> Column:
@@ -163,40 +259,14 @@ def token_set_ratio(query: str, col: Column) -> Column:
 
         return _common(F.transform(characters(text), places), _bits(F.lit(0), F.size(letters)))
 
-    def score(distance: Column, total: Column) -> Column:
-        return F.lit(100.0) - F.lit(100.0) * distance / total
-
     def compare(t: Column) -> Column:
-        shared, left, right = t["shared"], t["left"], t["right"]
-        n_shared, n_left, n_right = F.length(shared), F.length(left), F.length(right)
-        gap = (n_shared > 0).cast("int")
-        full_left, full_right = n_shared + gap + n_left, n_shared + gap + n_right
+        left, right = t["left"], t["right"]
         matched = F.when(
-            (n_left > 0) & (n_right > 0), let(characters(left), lambda x: common(x, right))
+            (F.length(left) > 0) & (F.length(right) > 0), let(characters(left), lambda x: common(x, right))
         ).otherwise(0)
-        differing = score(n_left + n_right - 2 * matched, full_left + full_right)
-        return (
-            F.when((n_shared > 0) & ((n_left == 0) | (n_right == 0)), F.lit(100.0))
-            .when(n_shared == 0, differing)
-            .otherwise(
-                F.greatest(
-                    differing,
-                    score(gap + n_left, n_shared + full_left),
-                    score(gap + n_right, n_shared + full_right),
-                )
-            )
-        )
-
-    def parts(theirs: Column) -> Column:
-        join = lambda a: F.concat_ws(" ", a)
-        split = F.struct(
-            join(F.array_intersect(own, theirs)).alias("shared"),
-            join(F.array_except(own, theirs)).alias("left"),
-            join(F.array_except(theirs, own)).alias("right"),
-        )
-        return F.when(F.size(theirs) == 0, F.lit(0.0)).otherwise(let(split, compare))
+        return let(matched, lambda m: _compare(F.length(t["shared"]), F.length(left), F.length(right), m))
 
-    return let(words(col), parts)
+    return _split_words(query, col, compare, F.lit(0.0))
 
 
 def token_sort_ratio(query: str, col: Column) -> Column:
@@ -211,7 +281,7 @@ def weighted_ratio(query: str, col: Column, cap: float = 100.0) -> Column:
     if not query:
         return F.lit(0.0)
     n_query, n_text = F.lit(len(query)), F.length(col)
-    longer = F.greatest(n_query, n_text) / F.least(n_query, n_text)
+    longer = F.greatest(n_query, n_text) / F.greatest(F.least(n_query, n_text), F.lit(1))
     near = F.greatest(token_sort_ratio(query, col), token_set_ratio(query, col)) * 0.95
     mine = query_words(query)
     shares_word = (
@@ -236,8 +306,9 @@ def weighted_ratio(query: str, col: Column, cap: float = 100.0) -> Column:
         )
 
     gap = F.when(longer < 1.5, near).when(longer <= 8, far(0.9)).otherwise(far(0.6))
-    return F.when(n_text == 0, F.lit(0.0)).otherwise(
-        F.least(F.greatest(ratio(query, col), gap), F.lit(float(cap)))
+    # least and greatest pass over nulls: without a text there is no score
+    return F.when(n_text == 0, F.lit(0.0)).when(
+        n_text > 0, F.least(F.greatest(ratio(query, col), gap), F.lit(float(cap)))
     )
 
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from musterroll.functions.similarity import Scorer
+from musterroll.functions.similarity import Scorer, with_bounds
 from musterroll.operators.summaries import distinct_values
 from musterroll.operators.topk import check_limit
 
@@ -24,6 +24,9 @@ SCALE_FLOOR = 100.0
 MAX_HITS = 50
 VALUE_CUTOFF = 0.7
 
+# How far rounding may take a score past its bounds.
+SLACK = 1e-6
+
 
 def check_query(query: object) -> str:
     if not isinstance(query, str):
@@ -34,10 +37,13 @@ def check_query(query: object) -> str:
 
 
 def scored(
-    df: DataFrame, query: str, name: Column, keywords: Column, description: Column | None = None
-) -> DataFrame:
+    df: DataFrame, query: str, name: Column, keywords: Column, description: Column | None = None,
+    where: Column | None = None,
+) -> DataFrame:
     """Every row with its raw relevance ``_raw`` and its name score ``_name``.
 
+    With ``where`` only rows that meet it are scored; the others have null scores.
+
     The name counts most; keywords (which include the name) and description
     broaden recall with less weight; the query as a phrase earns a bonus.  Short
     queries also match parts of words in the name.
@@ -48,16 +54,35 @@ def scored(
     name_score = scorer.token_set(name)
     if len(text.split()) <= SHORT_QUERY_WORDS:
         name_score = F.greatest(name_score, scorer.partial(name))
-    out = df.withColumn("_name", name_score).withColumn(
-        "_raw",
-        F.col("_name")
-        + scorer.token_set(keywords) * KEYWORD_WEIGHT
-        + F.when(keywords.contains(text), F.lit(PHRASE_BONUS)).otherwise(0.0),
-    )
-    if description is None:
-        return out
-    weighted = F.coalesce(scorer.weighted(F.lower(description), DESCRIPTION_CAP), F.lit(0.0))
-    return out.withColumn("_raw", F.col("_raw") + weighted * DESCRIPTION_WEIGHT)
+    meets = F.lit(True) if where is None else where
+    words = scorer.token_set(keywords) * KEYWORD_WEIGHT
+    phrase = F.when(keywords.contains(text), F.lit(PHRASE_BONUS)).otherwise(0.0)
+    extra = words + phrase
+    if description is not None:
+        weighted = F.coalesce(scorer.weighted(F.lower(description), DESCRIPTION_CAP), F.lit(0.0))
+        extra = extra + weighted * DESCRIPTION_WEIGHT
+    out = df.withColumn("_name", F.when(meets, name_score))
+    return out.withColumn("_raw", F.when(meets, F.col("_name") + extra))
+
+
+def bounded(
+    df: DataFrame, query: str, name: Column, keywords: Column, description: Column | None = None
+) -> DataFrame:
+    """Every row with ``_low`` and ``_high``, between which its raw relevance lies.
+
+    Whole words and the phrase count exactly; how well the rest may match follows from
+    the characters that text and query share.
+    """
+    text = check_query(query)
+    rows = df.withColumns({"_text": F.lower(name), "_words": F.lower(keywords)})
+    rows = with_bounds(rows, text, "_text", partial=len(text.split()) <= SHORT_QUERY_WORDS, into="_text")
+    rows = with_bounds(rows, text, "_words", partial=False, into="_words")
+    phrase = F.when(F.col("_words").contains(text), F.lit(PHRASE_BONUS)).otherwise(0.0)
+    low = F.col("_text_low") + F.col("_words_low") * KEYWORD_WEIGHT + phrase
+    high = F.col("_text_high") + F.col("_words_high") * KEYWORD_WEIGHT + phrase
+    if description is not None:
+        high = high + F.when(F.length(description) > 0, DESCRIPTION_CAP * DESCRIPTION_WEIGHT).otherwise(0.0)
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], low.alias("_low"), high.alias("_high"))
 
 
 def relevance(
@@ -71,14 +96,22 @@ def relevance(
 ) -> DataFrame:
     """The best rows for a query, with ``relevance`` from 0 to 100.
 
-    Every row is scored where it lies; each task keeps its best ``limit`` rows, and
-    only those few are scaled against the leader.
+    Cheap bounds first: the ``limit``-th best lower bound is a floor that no hit falls
+    below, and only rows whose upper bound reaches it are scored in full.  Each task
+    keeps its best ``limit`` rows, and only those few are scaled against the leader.
     """
     check_limit(limit, MAX_HITS)
+    rows = bounded(df, query, name, keywords, description)
+    best = rows.select("_low").orderBy(F.col("_low").desc()).limit(limit)
+    floor = best.agg(F.when(F.count("_low") == limit, F.min("_low") - SLACK)).scalar()
+    # rows without a bound, and all rows where there are too few for a floor, are scored; a
+    # filter would be pushed below the steps of the bounds and work them out many times
+    rows = rows.withColumn("_open", F.coalesce(F.col("_high") >= floor, F.lit(True)))
     hits = (
-        scored(df, query, name, keywords, description)
+        scored(rows, query, name, keywords, description, F.col("_open"))
         .orderBy(F.col("_raw").desc(), F.col("_name").desc(), *tiebreak)
         .limit(limit)
+        .drop("_low", "_high", "_open")
     )
     rows = hits.agg(
         F.greatest(F.max("_raw"), F.lit(SCALE_FLOOR)).alias("_top"),

@@ -216,6 +216,19 @@ def test_scores_against_brute_force(spark, query):
         )
 
 
+@pytest.mark.parametrize("query", ["blue bolt", "business name register", "bank", "éx", "  ", "x" * 80])
+def test_bounds_hold_the_scores(spark, query):
+    values = texts()
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, c string")
+    for partial in (False, True):
+        rows = S.with_bounds(df, query, "c", partial, "b").orderBy("i").collect()
+        for r in rows:
+            score = S._plain_token_set(query, r["c"])
+            score = max(score, plain_partial(query, r["c"])) if partial else score
+            assert r["b_low"] - 1e-9 <= score <= r["b_high"] + 1e-9
+    assert S.with_bounds(df, query, "c", True, "b").columns == ["i", "c", "b_low", "b_high"]
+
+
 def test_long_queries_take_the_batch_form(spark):
     query = "of the bank company register names blue bolt of the company x y z"
     scorer = S.Scorer(query)

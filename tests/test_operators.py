@@ -542,6 +542,25 @@ def test_catalogue_search_against_brute_force(spark, query):
     assert sorted(got, key=lambda r: (-r[1], r[0])) == sorted(want, key=lambda r: (-r[1], r[0]))
 
 
+@pytest.mark.parametrize("query", ["blue bolt", "ring", "bolt of the blue plate", "zq"])
+def test_relevance_skips_no_hit(spark, query):
+    draw = random.Random(query)
+    vocabulary = ["blue", "bolt", "ring", "plate", "bl", "blues", "olt b", "of", "the", "tin", "ringer", "Blue Bolt"]
+    text = lambda n: " ".join(draw.choices(vocabulary, k=draw.randrange(0, n)))
+    rows = [(i, text(4), text(6), draw.choice([None, "", text(9)])) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, name string, kw string, about string").repartition(3)
+    for limit in (1, 7, 50):
+        hits = search.relevance(df, query, F.col("name"), F.col("kw"), F.col("about"), limit=limit, tiebreak=["id"])
+        got = [(r["id"], r["relevance"]) for r in hits.collect()]
+        want = brute_relevance([(i, n, k, a) for i, n, k, a in rows], query, limit)
+        assert sorted(r for _, r in got) == sorted(r for _, r in want)
+        assert set(got) <= set(brute_relevance(rows, query, 120))  # scores that tie may swap by rounding
+    few = search.relevance(df.limit(3), query, F.col("name"), F.col("kw"), limit=10, tiebreak=["id"])
+    assert few.count() == 3
+    nameless = spark.createDataFrame([(1, None, "ring", None), (2, "ring", None, None)], df.schema)
+    assert search.relevance(nameless, query, F.col("name"), F.col("kw"), limit=1).count() == 1
+
+
 @pytest.mark.parametrize(
     "query, best",
     [
