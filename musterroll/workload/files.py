@@ -9,6 +9,8 @@ from musterroll.operators.project import project
 from musterroll.plans.engine import Engine
 from musterroll.sources import delimited as D
 from musterroll.sources.carve import carve
+from musterroll.sources.signatures import file_changes as changes_of
+from musterroll.sources.signatures import file_signatures
 from musterroll.sources.tables import (
     materialise,
     materialise_many,
@@ -20,6 +22,7 @@ from musterroll.sources.tables import (
 from musterroll.specs.model import Catalog, TableSpec, columns
 from musterroll.specs.tables import CUSTOMER, LINEITEM, ORDERS, PART
 from musterroll.streaming.incremental import daily_files, load_new_files
+from musterroll.streaming.keyed import load_latest, read_latest
 from musterroll.workload.base import check, load
 
 # Characters that both single-byte encodings write the same way.
@@ -187,3 +190,47 @@ def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     write_parquet(load(spark, folder, "orders"), path)
     table = read_table(spark, path, ["o_orderpriority"])
     return table.groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+
+
+@check("""
+    SELECT user_id, event_type, event_id, value FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
+""")
+def keyed_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Three files of changes, the newest first, loaded by key as a stream; then once more with nothing new."""
+    events = load(spark, folder, "events")
+    base = scratch_path(spark, "changes")
+    target, checkpoint = scratch_path(spark, "latest"), scratch_path(spark, "checkpoint")
+    late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (events.where(late), events.where(~late & (F.col("event_id") % 2 == 0)), events.where(~late & (F.col("event_id") % 2 != 0))):
+        part.coalesce(1).write.mode("append").parquet(base)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(base)
+        load_latest(stream, target, checkpoint, ["user_id", "event_type"], ["ts", "event_id"], 8).awaitTermination()
+    load_latest(stream, target, checkpoint, ["user_id", "event_type"], ["ts", "event_id"], 8).awaitTermination()
+    return read_latest(spark, target).select("user_id", "event_type", "event_id", "value")
+
+
+@check("""
+    WITH seen AS (
+        SELECT o_orderstatus AS part, count(*) + 1 AS lines, count(*) FILTER (o_orderpriority = '5-LOW') AS edited FROM orders GROUP BY 1
+    )
+    SELECT part, CASE WHEN part = 'F' THEN 'gone' WHEN edited > 0 AND part = 'O' THEN 'changed' ELSE 'same' END AS status, lines
+    FROM seen
+    UNION ALL SELECT 'X', 'new', count(*) + 1 FROM orders WHERE o_orderstatus = 'F' HAVING count(*) > 0
+""")
+def file_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Two looks at a folder of raw files: one part is renamed, one edited, the rest written again."""
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_orderpriority", F.col("o_orderstatus").alias("part"))
+    looks = []
+    low = (F.col("o_orderpriority") == "5-LOW") & (F.col("part") == "O")
+    for rows in (
+        orders,
+        orders.withColumn("o_orderpriority", F.when(low, "6-NONE").otherwise(F.col("o_orderpriority")))
+        .withColumn("part", F.when(F.col("part") == "F", "X").otherwise(F.col("part"))),
+    ):
+        base = scratch_path(spark, "look")
+        write_csv(rows.repartition(1).sortWithinPartitions("o_orderkey"), base, partition_by=["part"])
+        name = F.regexp_extract("path", "/part=([^/]*)/", 1)  # the same file is the same part
+        looks.append(file_signatures(spark, base).withColumn("path", name))
+    lines = looks[0].select("path", "n_lines").unionByName(looks[1].select("path", "n_lines")).groupBy("path").agg(F.max("n_lines").alias("lines"))
+    return changes_of(*looks).join(lines, "path").select(F.col("path").alias("part"), "status", "lines")
