@@ -207,6 +207,27 @@ def dimension_names(observations: DataFrame) -> DataFrame:
     return observations.select(F.explode(F.map_keys("dimensions")).alias("name")).distinct()
 
 
+def dimension_order(observations: DataFrame, row: Column | None = None) -> DataFrame:
+    """(name, place): every dimension key, numbered in the order in which rows first have it.
+
+    Rows count in the order in which they come, or by ``row``; the first row of a key is
+    found in every task before the shuffle, and what is numbered is one row per key.
+    """
+    row = F.monotonically_increasing_id() if row is None else row
+    held = observations.select(row.alias("_row"), F.posexplode(F.map_keys("dimensions")).alias("_at", "name"))
+    first = held.groupBy("name").agg(F.min(F.struct("_row", "_at")).alias("_first"))
+    return first.select("name", F.row_number().over(Window.orderBy("_first", "name")).alias("place"))
+
+
+def flatten_as_seen(observations: DataFrame, row: Column | None = None) -> DataFrame:
+    """Flat observations whose header has every dimension key that occurs, as first seen.
+
+    The keys are looked up first, in a pass of its own; they are names of columns.
+    """
+    names = dimension_order(observations, row).orderBy("place").select("name").collect()
+    return flatten(observations, [r["name"] for r in names])
+
+
 def _chunk_layout(rows: DataFrame, chunk_rows: int) -> DataFrame:
     """Per measure and month the first and last chunk its rows belong to.
 

@@ -6,6 +6,7 @@ import json
 import re
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from musterroll.operators.project import project, quoted
 from musterroll.operators.search import closest_by_edits
 from musterroll.plans import catalog as cat
 from musterroll.sources import text_index
+from musterroll.sources.signatures import file_changes, file_signatures
 from musterroll.sources.carve import carve, with_row_number
 from musterroll.sources.delimited import read_delimited, read_grid
 from musterroll.sources.tables import materialise, materialise_many
@@ -100,28 +102,48 @@ class Engine:
         target: Callable[[TableSpec], str],
         ids: Sequence[str] | None = None,
         host: str | None = None,
+        signatures: Callable[[TableSpec], str] | None = None,
     ) -> DataFrame:
         """Convert and bind the current file of every table, as a portal listing names it.
 
         ``resources`` lists what a portal offers: package, name, format, url and listing
         order (``ordinal``).  A table's resource is the newest of its declared name on the
         allowed host; a table with a file template takes the newest day within its
-        look-back that the listing has.  Returns id, url, status and rows per table.
+        look-back that the listing has; where nothing is listed the table's default
+        address is taken.  With ``signatures``, a place per table, files that are as they
+        were when last converted are not converted again.  Returns id, url, status and
+        rows per table.
         """
         specs = [self.catalog.get(i) for i in (ids or self.catalog.ids())]
         rows = []
         for spec in specs:  # tables of a catalogue, not data
-            url = self._current(spec, resources, as_of, host)
-            if url is None:
-                rows.append((spec.id, None, "error: no resource is listed", None))
-                continue
+            url = None
             try:
-                rows.append((spec.id, url, "ok", self.ingest(spec.id, url, target(spec))))
-                self._snapshots[spec.id] = (url, as_of)
+                url = self._current(spec, resources, as_of, host)
+                if url is None:
+                    rows.append((spec.id, None, "error: no resource is listed", None))
+                elif signatures is not None and self._unchanged(spec, url, signatures):
+                    self.bind(spec.id, target(spec), materialised=True)
+                    rows.append((spec.id, url, "unchanged", None))
+                    self._snapshots[spec.id] = (url, as_of)
+                else:
+                    rows.append((spec.id, url, "ok", self.ingest(spec.id, url, target(spec))))
+                    if signatures is not None:  # only once the table stands
+                        file_signatures(self.spark, url).write.mode("overwrite").parquet(signatures(spec))
+                    self._snapshots[spec.id] = (url, as_of)
             except Exception as error:  # noqa: BLE001 - reported per table
                 rows.append((spec.id, url, f"error: {type(error).__name__}: {error}", None))
         return self.spark.createDataFrame(rows, "id string, url string, status string, rows long")
 
+    def _unchanged(self, spec: TableSpec, url: str, signatures: Callable[[TableSpec], str]) -> bool:
+        """Has the file of a table the content it had when it was last converted?"""
+        try:
+            before = self.spark.read.parquet(signatures(spec))
+        except AnalysisException:  # never converted
+            return False
+        after = file_signatures(self.spark, url, before)
+        return file_changes(before, after).where(F.col("status") != "same").isEmpty()
+
     def _current(self, spec: TableSpec, resources: DataFrame, as_of: str, host: str | None) -> str | None:
         """Address of the newest listed file of a table, if there is one."""
         listed = resources
@@ -137,15 +159,28 @@ class Engine:
             )
             row = inside.orderBy(F.col("day").desc(), "url").select("url").head()
         elif spec.discovery:
-            packages = self.catalog.packages(spec)
-            own = listed.where(F.col("package").isin(*packages))
-            found = snapshots.latest_resource(
-                own, "package", "name", "ordinal", exact=spec.discovery.get("resource_name"), fmt="csv"
-            )
-            row = found.orderBy(F.col("year").desc(), "package").select("url").head()
+            rule = spec.discovery
+            own = listed
+            if rule.get("package"):
+                own = own.where(F.col("package").isin(*self.catalog.packages(spec)))
+            if rule.get("package_id_pattern"):  # of several years' packages the newest
+                offered = own.withColumn("portal", F.lit(rule.get("organization_id") or ""))
+                if rule.get("organization_id") and "organization" in own.columns:
+                    offered = offered.where(F.col("organization") == rule["organization_id"])
+                newest = snapshots.latest_package(offered, "portal", "package", "ordinal", rule["package_id_pattern"])
+                own = own.join(newest.select("package"), "package", "left_semi")
+            if rule.get("resource_name") or rule.get("resource_name_pattern"):
+                found = snapshots.latest_resource(
+                    own, "package", "name", "ordinal", exact=rule.get("resource_name"),
+                    pattern=None if rule.get("resource_name") else rule["resource_name_pattern"],
+                    fmt=rule.get("resource_format", "csv"),
+                )
+                row = found.orderBy(F.col("year").desc(), "package").select("url").head()
+            else:
+                row = None
         else:
             row = None
-        return row["url"] if row else None
+        return row["url"] if row else spec.default_url
 
     def spec(self, table_id: str) -> TableSpec:
         """The spec of a table in the form its bound data has."""
@@ -247,6 +282,8 @@ class Engine:
             raise ValueError(f"Unknown format {format!r}. Valid options: {FORMATS}")
         spec = self.spec(table_id)
         start, end = check_period_range(start_period, end_period)
+        if last_n is not None:
+            check_limit(last_n, None)
         rows = self.rows(table_id, filters, start, end, date_column, cut_text)
         if form == "csv" and spec.layout == "wide":
             return reshape.wide_flat(rows, spec, measures, filled=self._filled(spec))

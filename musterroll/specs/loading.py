@@ -88,6 +88,7 @@ SPEC_FIELDS = (
     ("discovery", "discovery", lambda v: _mapping(v, "discovery")),
     ("url_template", "file_template", _same),
     ("url_template_lookback_days", "lookback_days", _same),
+    ("download_url", "default_url", _same),
     ("source_url", "source_page", _same),
 )
 

@@ -295,3 +295,37 @@ def last_n_without_periods(spark: SparkSession, folder: str) -> DataFrame:
     return kept.groupBy("measure").agg(
         F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")
     )
+
+
+@check("""
+    WITH held AS (
+        SELECT o_orderkey, list_filter([
+            {'k': 'urgent', 'v': CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderpriority END},
+            {'k': 'status', 'v': CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END},
+            {'k': 'low', 'v': CASE WHEN o_orderpriority = '5-LOW' THEN o_orderpriority END}], lambda x: x.v IS NOT NULL) AS dims
+        FROM orders
+    ), cells AS (SELECT o_orderkey, unnest(range(len(dims))) AS place, dims FROM held),
+    header AS (
+        SELECT list(k ORDER BY o_orderkey, place) AS names FROM (
+            SELECT dims[place + 1].k AS k, o_orderkey, place FROM cells
+            QUALIFY row_number() OVER (PARTITION BY dims[place + 1].k ORDER BY o_orderkey, place) = 1)
+    )
+    SELECT concat_ws(',', 'order', o_orderkey, array_to_string(list_transform(names,
+               lambda n: coalesce(list_filter(dims, lambda x: x.k = n)[1].v, '')), ',')) AS line
+    FROM held, header
+""")
+def csv_as_seen(spark: SparkSession, folder: str) -> DataFrame:
+    """CSV lines whose dimension columns stand as the rows first have them; many rows lack some."""
+    orders = load(spark, folder, "orders")
+    urgent, low = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority") == "5-LOW"
+    dims = F.create_map(
+        F.lit("urgent"), F.when(urgent, F.col("o_orderpriority")),
+        F.lit("status"), F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")),
+        F.lit("low"), F.when(low, F.col("o_orderpriority")),
+    )
+    long = orders.select(
+        F.lit(None).cast("string").alias("period"), F.lit("order").alias("measure"), F.col("o_orderkey").alias("value"),
+        F.lit(None).cast("string").alias("unit"), F.map_filter(dims, lambda _, v: v.isNotNull()).alias("dimensions"),
+    )
+    flat = reshape.flatten_as_seen(long, F.col("value"))
+    return reshape.csv_lines(flat.drop("period", "unit"))

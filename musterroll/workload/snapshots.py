@@ -177,6 +177,35 @@ def resolve_default(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@check(f"""
+    WITH hosts AS (
+        SELECT host, CAST('0x' || substr(md5(host), 1, 6) AS INT) % 40 AS n FROM (SELECT DISTINCT {_HOST} AS host FROM pages)
+    ), listed AS (
+        SELECT {_HOST} AS host, url FROM pages
+        WHERE contains(url, '/en/')
+        QUALIFY row_number() OVER (PARTITION BY {_HOST} ORDER BY {_YEAR} DESC, page_id) = 1
+    ), dated AS (
+        SELECT o_custkey % 40 AS n, max(o_orderdate) AS day FROM orders
+        WHERE o_orderdate >= DATE '1998-07-02' AND o_orderdate < DATE '1998-07-13' GROUP BY 1
+    )
+    SELECT h.host, coalesce(strftime(d.day, 'day-%Y%m%d.csv'),
+               CASE WHEN ends_with(h.host, '.example.com') THEN l.url END, 'default:' || h.host) AS resolved
+    FROM hosts h LEFT JOIN listed l ON h.host = l.host LEFT JOIN dated d ON d.n = h.n AND h.n % 2 = 0
+""")
+def resolve_dated(spark: SparkSession, folder: str) -> DataFrame:
+    """Some hosts have daily files: the newest within ten days, else their listed page, else the default."""
+    pages = load(spark, folder, "pages").withColumn("host", S.url_host(F.col("url")))
+    number = F.conv(F.substring(F.md5(F.col("host").cast("binary")), 1, 6), 16, 10).cast("bigint") % 40
+    specs = pages.select("host").distinct().withColumn("address", F.concat(F.lit("default:"), F.col("host")))
+    days = load(spark, folder, "orders").select((F.col("o_custkey") % 40).alias("n"), F.to_date("o_orderdate").alias("day"))
+    as_of = F.lit("1998-07-12").cast("date")
+    inside = days.where(F.col("day").between(F.date_sub(as_of, 10), as_of)).groupBy("n").agg(F.max("day").alias("day"))
+    dated = specs.select("host", number.alias("n")).where(F.col("n") % 2 == 0).join(inside, "n")
+    dated = dated.select("host", F.date_format("day", "'day-'yyyyMMdd'.csv'").alias("url"))
+    listed = S.latest_resource(pages, "host", "url", "page_id", pattern="/en/")
+    return S.resolve(specs, dated, listed, "host", "url", "address", "example.com").select("host", "resolved")
+
+
 @check("""
     SELECT 'inside' AS window_name, strftime(max(o_orderdate), '%Y-%m-%d') AS day FROM orders
     WHERE o_orderdate >= DATE '1999-05-10' AND o_orderdate <= DATE '1999-05-20'

@@ -9,7 +9,7 @@ WITH_PYTHON = {"closest_values"}
 # Queries that write files or run jobs before they return a plan.
 EAGER = {
     "csv_roundtrip", "mixed_delimiters", "mixed_encodings", "materialised_scan", "materialise_status", "filter_indexed",
-    "keyed_load", "file_changes",
+    "keyed_load", "file_changes", "csv_as_seen",
     "daily_concat", "daily_stream", "parquet_roundtrip",
 }
 

@@ -403,6 +403,38 @@ def test_refresh_finds_converts_and_binds_the_newest_files(spark, tmp_path):
     assert engine.values("COMPANIES").where("key = 'status'").count() == 5
 
 
+def test_refresh_by_default_address_patterns_and_signatures(spark, tmp_path):
+    spec = spec_from_mapping({
+        "id": "FEES", "name": "Fees", "download_url": f"file://{tmp_path}/old.csv",
+        "discovery": {"package_id_pattern": r"fees-(\d{4})", "resource_name_pattern": "^Fee table", "resource_format": "TXT"},
+        "columns": {"code": {"source_column": "Code", "role": "id"}, "fee": {"source_column": "Fee", "role": "measure"}},
+    })
+    for name, rows in (("old", 1), ("y2023", 2), ("y2024", 3)):
+        (tmp_path / f"{name}.csv").write_text("Code,Fee\n" + "".join(f"{name}{i},{i}\n" for i in range(rows)))
+    columns = "package string, name string, format string, url string, ordinal int"
+    listing = [(f"fees-{y}", f"Fee table {y}", "txt", f"file://{tmp_path}/y{y}.csv", i) for i, y in enumerate((2024, 2023))]
+    listing.append(("fees-2024", "Notes", "txt", f"file://{tmp_path}/old.csv", 2))
+    broken = spec_from_mapping({"id": "BROKEN", "name": "Broken", "discovery": {"package": "x", "resource_name": "a", "resource_name_pattern": "("},
+                                "columns": {"code": {"source_column": "Code", "role": "id"}}})
+    engine = Engine(spark, Catalog([broken, spec]))
+
+    def run(offered):
+        done = engine.refresh(
+            spark.createDataFrame(offered, columns), "2024-02-01", lambda s: str(tmp_path / f"clean-{s.id}"), ["BROKEN", "FEES"],
+            signatures=lambda s: str(tmp_path / f"signature-{s.id}"),
+        )
+        return {r["id"]: (r["status"][:9], (r["url"] or "").rsplit("/", 1)[-1], r["rows"]) for r in done.collect()}
+
+    assert run(listing)["FEES"] == ("ok", "y2024.csv", 3)
+    assert run(listing)["FEES"] == ("unchanged", "y2024.csv", None)
+    assert engine.rows("FEES").count() == 3
+    (tmp_path / "y2024.csv").write_text("Code,Fee\nz,9\n")
+    assert run(listing)["FEES"] == ("ok", "y2024.csv", 1)
+    assert run([])["FEES"] == ("ok", "old.csv", 1) and run([])["BROKEN"][0] == "error: no"
+    with pytest.raises(ValueError):
+        engine.query("FEES", format="csv", last_n=0)
+
+
 def test_materialise_all_binds_what_it_wrote(spark, tmp_path):
     cells = [c.source for c in BUSINESS_NAMES.columns]
     raw = spark.range(30).select(*[F.col("id").cast("string").alias(c) for c in cells])
