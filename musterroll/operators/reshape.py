@@ -143,19 +143,22 @@ def transposed_observations(
     if measures:
         rows = rows.where(F.col("_label").isin(*sorted({(enum or {}).get(m, m) for m in measures})))
     types = {f.name: f.dataType for f in df.schema.fields}
+    text = all(isinstance(types[p], T.StringType) for p in periods)
     cells = rows.select(
         F.col("_label"),
         (quoted(unit).cast("string") if unit else no_text()).alias("_unit"),
         *[
-            to_double(quoted(p)).alias(p)
+            quoted(p) if text else to_double(quoted(p)).alias(p)
             if isinstance(types[p], T.StringType)
             else F.when(~F.isnan(quoted(p).cast("double")), quoted(p).cast("double")).alias(p)
             for p in periods
         ],
     )
+    long = cells.unpivot(["_label", "_unit"], [quoted(p) for p in periods], "period", "value")
+    if text:  # one cast over the long column instead of one per period
+        long = long.where(F.col("value").isNotNull()).withColumn("value", to_double(F.col("value")))
     return (
-        cells.unpivot(["_label", "_unit"], [quoted(p) for p in periods], "period", "value")
-        .where(F.col("value").isNotNull())
+        long.where(F.col("value").isNotNull())
         .select(
             "period",
             label_column(F.col("_label"), enum).alias("measure"),

@@ -42,9 +42,8 @@ def summary(spark: SparkSession, folder: str) -> DataFrame:
     ) GROUP BY 1, 2
 """)
 def common_unit(spark: SparkSession, folder: str) -> DataFrame:
-    long = reshape.wide_observations(lines(spark, folder), LINEITEM, ["price", "quantity"])
-    flag = F.try_element_at("dimensions", F.lit("return_flag")).alias("return_flag")
-    rows = long.select(flag, "measure", "unit").where(
+    long = reshape.wide_flat(lines(spark, folder), LINEITEM, ["price", "quantity"])
+    rows = long.select("return_flag", "measure", "unit").where(
         (F.col("measure") == "price") | (F.col("return_flag") != "R")
     )
     # count per unit first: the large aggregate then hashes, only a few rows are sorted
