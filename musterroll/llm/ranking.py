@@ -247,26 +247,33 @@ def _newton(pairs: DataFrame, model: Ranking) -> None:
 
 
 def _threshold(coded: DataFrame, model: Ranking) -> float:
-    """The quantile of the learning rows' scores that sets the classes apart best."""
+    """The quantile of the learning rows' scores that sets the classes apart best.
+
+    It is found among some hundred quantiles, then among as many between its neighbours.
+    """
     tables = model.tables()
 
     def judge(batches):
         for batch in batches:
             yield pa.record_batch([pa.array(scores(_codes(batch.column(0)), tables)), batch.column(1), batch.column(2)], names=["score", "quality", "n"])
 
-    rows = coded.select("codes", "quality", "n").mapInArrow(judge, "score double, quality int, n long")
-    levels = [i / LEVELS for i in range(LEVELS + 1)]
-    marks = rows.agg(F.percentile_approx("score", F.array(*map(F.lit, levels)), 20 * LEVELS).alias("m")).first()["m"]
-    marks = np.unique(marks)
-    counted = rows.groupBy(F.size(F.filter(F.array(*map(F.lit, marks.tolist())), lambda m: m < F.col("score"))).alias("above"), "quality").agg(F.sum("n").alias("n"))
-    kept = np.zeros((2, len(marks) + 1))  # rows above so many marks
-    for r in counted.collect():  # two per mark
-        kept[r["quality"], r["above"]] += r["n"]
-    below = kept.cumsum(axis=1) / kept.sum(axis=1, keepdims=True)
-    worth = below[0, :-1] - below[1, :-1]  # of a threshold just above each mark
-    best = np.flatnonzero(worth >= worth.max() - 1e-12)
-    nexts = np.append(marks[1:], marks[-1] + 1)
-    widest = best[np.argmax(nexts[best] - marks[best])]
+    rows = written(coded.select("codes", "quality", "n").mapInArrow(judge, "score double, quality int, n long"), "ranking-scores")
+    levels = F.array(*[F.lit(i / LEVELS) for i in range(LEVELS + 1)])
+    inside, ends = F.lit(True), []
+    for _ in range(2):  # over all rows, then between the marks beside the best one
+        found = rows.where(inside).agg(F.percentile_approx("score", levels, 20 * LEVELS).alias("m")).first()["m"]
+        marks = np.unique([*(found or []), *ends])
+        above = F.size(F.filter(F.array(*map(F.lit, marks.tolist())), lambda m: m < F.col("score")))
+        kept = np.zeros((2, len(marks) + 1))  # rows above so many marks
+        for r in rows.groupBy(above.alias("above"), "quality").agg(F.sum("n").alias("n")).collect():  # two per mark
+            kept[r["quality"], r["above"]] += r["n"]
+        below = kept.cumsum(axis=1) / kept.sum(axis=1, keepdims=True)
+        worth = below[0, :-1] - below[1, :-1]  # of a threshold just above each mark
+        best = np.flatnonzero(worth >= worth.max() - 1e-12)
+        nexts = np.append(marks[1:], marks[-1] + 1)
+        widest = int(best[np.argmax(nexts[best] - marks[best])])
+        ends = [marks[max(widest - 1, 0)], marks[min(widest + 1, len(marks) - 1)]]
+        inside = F.col("score").between(float(ends[0]), float(ends[1]))
     return float((marks[widest] + nexts[widest]) / 2)
 
 
