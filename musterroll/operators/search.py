@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import difflib
 from collections import Counter
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from musterroll.functions.similarity import Scorer, with_bounds
+from musterroll.functions.similarity import Scorer, characters, with_bounds
 from musterroll.operators.summaries import distinct_values
 from musterroll.operators.topk import check_limit
 
@@ -135,38 +133,58 @@ def _length_bound(word: str, col: Column) -> Column:
     return F.lit(2.0) * F.least(n, F.lit(len(word))) / (n + len(word))
 
 
+def matching_blocks(a: str, b: str) -> str:
+    """SQL for how many characters of two character columns lie in matching blocks.
+
+    The longest stretch both have, the first of equal ones, then the same to its left and
+    to its right: a stack of ranges, each looked through by the table of run lengths.
+    """
+    place = f"IF(element_at({b}, j + 1) = element_at({a}, i + 1), IF(j = r.bl, 0, element_at(s.p, j - r.bl)) + 1, 0)"
+    longest = (
+        "aggregate(sequence(r.al, r.ah - 1),"
+        " named_struct('p', transform(sequence(r.bl, r.bh - 1), j -> 0), 'k', 0, 'i', r.al, 'j', r.bl),"
+        f" (s, i) -> transform(array(transform(sequence(r.bl, r.bh - 1), j -> {place})), n -> transform(array(array_max(n)), m ->"
+        " IF(m > s.k, named_struct('p', n, 'k', m, 'i', i - m + 1, 'j', r.bl + CAST(array_position(n, m) AS INT) - m),"
+        " named_struct('p', n, 'k', s.k, 'i', s.i, 'j', s.j)))[0])[0])"
+    )
+    beside = (
+        "filter(array(named_struct('al', r.al, 'ah', f.i, 'bl', r.bl, 'bh', f.j),"
+        " named_struct('al', f.i + f.k, 'ah', r.ah, 'bl', f.j + f.k, 'bh', r.bh)), x -> x.al < x.ah AND x.bl < x.bh)"
+    )
+    rest = "slice(t.todo, 1, size(t.todo) - 1)"
+    taken = (
+        f"transform(array(element_at(t.todo, -1)), r -> transform(array({longest}), f -> IF(f.k = 0,"
+        f" named_struct('todo', {rest}, 'n', t.n), named_struct('todo', concat({rest}, {beside}), 'n', t.n + f.k)))[0])[0]"
+    )
+    whole = f"array(named_struct('al', 0, 'ah', size({a}), 'bl', 0, 'bh', size({b})))"
+    return (
+        f"aggregate(sequence(1, 2 * least(size({a}), size({b})) + 1),"
+        f" named_struct('todo', filter({whole}, x -> x.al < x.ah AND x.bl < x.bh), 'n', 0),"
+        f" (t, turn) -> IF(size(t.todo) = 0, t, {taken}), t -> t.n)"
+    )
+
+
 def closest_values(
     df: DataFrame, column: str, word: str, n: int = 3, cutoff: float = VALUE_CUTOFF
 ) -> DataFrame:
     """The ``n`` values of a column most like a word, by matching blocks.
 
     Distinct values first; two cheap upper bounds drop most of them inside the
-    scan stage; only the rest reach the exact comparison, in Arrow batches.
+    scan stage; only the rest are compared block by block, by Spark expressions.
     """
     check_limit(n, None)
     if not word:
         raise ValueError("word is empty")
-
-    def similarity(values: pd.Series) -> pd.Series:
-        matcher = difflib.SequenceMatcher()
-        matcher.set_seq2(word)
-
-        def score(value: str) -> float:
-            matcher.set_seq1(value)
-            return matcher.ratio()
-
-        return values.map(score).astype("float64")
-
     value = F.col(column)
     near = distinct_values(df, column).where(
         (_length_bound(word, value) >= cutoff) & (_quick_bound(word, value) >= cutoff)
     )
-    return (
-        near.withColumn("similarity", F.pandas_udf(similarity, "double")(value))
-        .where(F.col("similarity") >= cutoff)
-        .orderBy(F.col("similarity").desc(), value.desc())
-        .limit(n)
-    )
+    letters = near.withColumns({"_value": characters(value), "_word": F.lit(list(word))})
+    matched = letters.withColumn("_matched", F.expr(matching_blocks("_value", "_word")))
+    # not a filter: it would be pushed below and every block found twice
+    scored = matched.select(value, (F.lit(2.0) * F.col("_matched") / (F.length(value) + len(word))).alias("similarity"))
+    best = scored.orderBy(F.col("similarity").desc(), value.desc()).limit(n)
+    return best.where(F.col("similarity") >= cutoff)
 
 
 def closest_by_edits(

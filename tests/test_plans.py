@@ -4,8 +4,6 @@ import pytest
 
 from musterroll.workload import CHECKS
 
-# The only query whose exact comparison runs in Arrow batches.
-WITH_PYTHON = {"closest_values"}
 # Queries that write files or run jobs before they return a plan.
 EAGER = {
     "csv_roundtrip", "mixed_delimiters", "mixed_encodings", "materialised_scan", "materialise_status", "filter_indexed",
@@ -18,7 +16,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(CHECKS) - WITH_PYTHON - EAGER))
+@pytest.mark.parametrize("name", sorted(set(CHECKS) - EAGER))
 def test_plans_stay_on_the_jvm_without_cross_joins(spark, sf_dir, name):
     plan = plan_of(CHECKS[name].run(spark, sf_dir))
     for word in ("Python", "Pandas", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
