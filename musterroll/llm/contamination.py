@@ -179,7 +179,7 @@ class Queries:
 
     def __init__(self, items: list[tuple], weights: np.ndarray, directions: np.ndarray):
         self.weights = weights
-        self.ids, self.words, self.answers, found = [], [], [], []
+        self.ids, self.words, self.known, self.answers, found = [], [], [], [], []
         for item, text, answer in items:
             column = pa.array([text or "", answer if answer is not None else last_sentence(text or "")])
             (_, _, feature, hashes, at), *_ = _tokens(column)
@@ -187,6 +187,7 @@ class Queries:
                 continue
             self.ids.append(item)
             self.words.append(hashes[: at[1]].tolist())
+            self.known.append(np.unique(hashes[: at[1]]))
             self.answers.append(hashes[at[1] :].tolist())
             found.append(feature[: at[1]])
         short = np.array([len(w) < STRIDE for w in self.words], bool)
@@ -282,11 +283,11 @@ class Queries:
         for i, q, a, b, cosine in self.candidates(feature, at):
             item, answer = self.words[q], self.answers[q]
             reach = _window(len(item))
-            region = hashes[max(at[i], a - reach) : min(at[i + 1], b + reach)].tolist()
-            share = windowed_share(item, region)
+            region = hashes[max(at[i], a - reach) : min(at[i + 1], b + reach)]
+            share = windowed_share(item, region, self.known[q])
             if share < PART:
                 continue
-            told = common(answer, region) / len(answer) if answer else share
+            told = common(answer, region.tolist()) / len(answer) if answer else share
             found = share >= WHOLE or (share >= PART and told >= ANSWER)
             if len(item) < SHORT:
                 found = share >= 1
@@ -315,16 +316,28 @@ def common(pattern: list[int], region: list[int]) -> int:
     return len(pattern) - rows.bit_count()
 
 
-def windowed_share(item: list[int], region: list[int]) -> float:
-    """Best share of the item's words found in order in half again as many words."""
+def windowed_share(item: list[int], region: np.ndarray, known: np.ndarray) -> float:
+    """Best share of the item's words found in order in half again as many words.
+
+    Words that the item lacks (``known``: its distinct words, sorted) are in no common
+    subsequence, so windows are compared by the others alone.  Shares below ``PART`` are
+    no match: a region is left at 0 when no window has that many of them.
+    """
     size = _window(len(item))
     step = max(1, size // 6)
-    whole = common(item, region)
-    if whole < min(PART, 1) * len(item):
-        return whole / len(item) if len(region) <= size else 0.0
+    places = np.flatnonzero(known[np.minimum(np.searchsorted(known, region), len(known) - 1)] == region)
+    least = PART * len(item)
+    inside = np.searchsorted(places, places + size) - np.arange(len(places))
+    if not len(places) or inside.max() < least:
+        return 0.0
+    held = region[places].tolist()
+    if common(item, held) < least:
+        return 0.0
+    starts = np.arange(0, max(1, len(region) - size + step), step)
     best = 0
-    for a in range(0, max(1, len(region) - size + step), step):
-        best = max(best, common(item, region[a : a + size]))
+    for lo, hi in zip(*np.searchsorted(places, [starts, starts + size]).tolist(), strict=True):
+        if hi - lo > best:
+            best = max(best, common(item, held[lo:hi]))
     return best / len(item)
 
 
