@@ -5,11 +5,18 @@ placed from slot floor(j / w) and must be placed before slot ceil((j + 1) / w);
 earliest deadline goes first.  At every prefix of the mix each source is then less than
 one block away from its share.
 
-With whole weights p_i of sum q the schedule repeats every q slots, so one period is
-worked out (q entries, whatever the data) and every row finds its slot by arithmetic on
-its rank in its source.  When a source runs out a new phase begins with the weights of
-those left; there are as many phases as sources.  Ranks come from counts per source and
-hash bucket, so a source that holds most rows is spread over all tasks.
+With whole weights p_i of sum q the schedule repeats every q slots, so at most one period
+is worked out, and every row finds its slot by arithmetic on its rank in its source.
+When a source runs out a new phase begins with the weights of those left; there are as
+many phases as sources, and a phase is worked out no further than it lasts.  The schedule
+is a table with a row for each source of a phase.  A short one is broadcast; one of many
+sources is written in pieces, spread to a row per block and joined by source and block.
+Ranks come from counts per source and hash bucket, so a source that holds most rows is
+spread over all tasks.
+
+Any number of sources is taken.  A count per source comes to the driver, and working the
+schedule out there takes time by phases times weights: some tens of seconds for thousands
+of sources of widely different sizes.
 
 Edge cases: a null source is a source of its own; equal rows are placed one by one; an
 empty table gives an empty result; a source without a stated weight raises an error.
@@ -18,15 +25,20 @@ empty table gives an empty result; a source without a stated weight raises an er
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterable, Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from musterroll.llm.shared import scratch_root
+
 BLOCK_ROWS, BUCKETS = 64, 1024
 RESOLUTION, EXPONENT = 1000, 0.9
-#: Sources are settings, not data: a table with more is refused.
-MAX_SOURCES = 2_000
+#: Characters of a schedule that is broadcast, and of a piece of a longer one.
+SCHEDULE_TEXT = 1 << 18
+#: Blocks of a source that are spread to rows at a time.
+SPREAD = 1 << 14
 
 
 def target_weights(rows: Mapping, exponent: float = EXPONENT, resolution: int = RESOLUTION) -> dict:
@@ -36,8 +48,11 @@ def target_weights(rows: Mapping, exponent: float = EXPONENT, resolution: int =
     return {s: max(1, round(resolution * x / total)) for s, x in raised.items()}
 
 
-def period(weights: Mapping) -> list:
-    """One period of the earliest-deadline-first schedule: the source of each slot."""
+def period(weights: Mapping, blocks: Mapping | None = None) -> list:
+    """One period of the earliest-deadline-first schedule: the source of each slot.
+
+    With ``blocks`` it ends where the first source has placed that many.
+    """
     q = sum(weights.values())
     waiting = [(0, str(s), s, 0) for s in weights]  # release slot, name, source, block
     heapq.heapify(waiting)
@@ -48,30 +63,100 @@ def period(weights: Mapping) -> list:
             heapq.heappush(ready, (-(-(j + 1) * q // weights[s]), name, s, j))
         _, name, s, j = heapq.heappop(ready)
         out.append(s)
+        if blocks is not None and j + 1 == blocks[s]:
+            break
         heapq.heappush(waiting, ((j + 1) * q // weights[s], name, s, j + 1))
     return out
 
 
-def phases(rows: Mapping, weights: Mapping, block_rows: int = BLOCK_ROWS) -> list[dict]:
-    """Phases of the mix: each ends with the last block of one source."""
+def phases(rows: Mapping, weights: Mapping, block_rows: int = BLOCK_ROWS) -> Iterator[dict]:
+    """Phases of the mix, one by one: each ends with the last block of one source."""
     left = {s: -(-n // block_rows) for s, n in rows.items() if n}
-    used, start, short, out = dict.fromkeys(left, 0), 0, 0, []
+    used, start, short = dict.fromkeys(left, 0), 0, 0
     while left:
         now = {s: weights[s] for s in left}
-        q, slots = sum(now.values()), {s: [] for s in left}
-        for i, s in enumerate(period(now)):
-            slots[s].append(i)
-        ends = {s: (n - 1) // now[s] * q + slots[s][(n - 1) % now[s]] for s, n in left.items()}
-        last = min(ends, key=ends.get)
-        length = ends[last] + 1
-        taken = {s: length // q * now[s] + sum(i < length % q for i in slots[s]) for s in left}
-        out.append({"start": start, "q": q, "slots": slots, "first": {s: used[s] for s in left}, "taken": taken, "short": short})
+        q, order = sum(now.values()), period(now, left)
+        slots: dict = {}
+        for i, s in enumerate(order):
+            slots.setdefault(s, []).append(i)
+        last = order[-1]
+        if len(slots[last]) == left[last]:  # ran out in the first period
+            length, taken = len(order), {s: len(x) for s, x in slots.items()}
+        else:
+            ends = {s: (n - 1) // now[s] * q + slots[s][(n - 1) % now[s]] for s, n in left.items()}
+            last = min(ends, key=ends.get)
+            length = ends[last] + 1
+            taken = {s: length // q * now[s] + sum(i < length % q for i in x) for s, x in slots.items()}
+        yield {"start": start, "q": q, "slots": slots, "first": {s: used[s] for s in slots}, "taken": taken, "short": short}
         for s, n in taken.items():
             used[s] += n
-        left = {s: n - taken[s] for s, n in left.items() if n > taken[s]}
+            left[s] -= n
+        left = {s: n for s, n in left.items() if n}
         short += -rows[last] % block_rows
         start += length
-    return out
+
+
+def _lines(plan: Iterable[dict]) -> Iterator[str]:
+    """A line for each source of each phase; names in hexadecimal digits."""
+    for n, p in enumerate(plan):
+        for s, slots in p["slots"].items():
+            lo, taken = p["first"][s], p["taken"][s]
+            if taken:
+                held = ",".join(map(str, slots))
+                yield f"{n} {s.encode().hex()} {lo} {lo + taken} {p['start']} {p['q']} {p['short']} {held}"
+
+
+def _pieces(lines: Iterable[str], most: int) -> Iterator[str]:
+    held, size = [], 0
+    for line in lines:
+        if held and size + len(line) >= most:
+            yield "\n".join(held)
+            held, size = [], 0
+        held.append(line)
+        size += len(line) + 1
+    yield "\n".join(held)
+
+
+def _parsed(spark: SparkSession, piece: str) -> DataFrame:
+    """(phase, s, lo, hi, start, q, short, slots) of a piece of the schedule."""
+    lines = spark.range(1).select(F.explode(F.split(F.lit(piece), "\n")).alias("line")).where("line != ''")
+    names = ("lo", "hi", "start", "q", "short")
+    return lines.select(F.split("line", " ").alias("x")).select(
+        F.col("x")[0].cast("int").alias("phase"),
+        F.decode(F.unhex(F.col("x")[1]), "UTF-8").alias("s"),
+        *(F.col("x")[i].cast("bigint").alias(c) for i, c in enumerate(names, 2)),
+        F.split(F.col("x")[7], ",").cast("array<bigint>").alias("slots"),
+    )
+
+
+def _schedule(spark: SparkSession, plan: Iterable[dict], most: int) -> tuple[DataFrame, bool]:
+    """The schedule as a table, and whether it is short (``most`` characters)."""
+    pieces = _pieces(_lines(plan), most)
+    piece, after = next(pieces), next(pieces, None)
+    if after is None and len(piece) <= most:
+        return _parsed(spark, piece), True
+    path = f"{scratch_root(spark)}/schedule-{uuid.uuid4().hex}"
+    while piece is not None:
+        _parsed(spark, piece).write.mode("append").parquet(path)
+        piece, after = after, next(pieces, None)
+    return spark.read.parquet(path), False
+
+
+def _slot(block: Column) -> Column:
+    """Slot of a block by its place among the source's blocks of the phase."""
+    j, size = block - F.col("lo"), F.size("slots").cast("bigint")
+    return F.col("start") + F.floor(j / size).cast("bigint") * F.col("q") + F.get("slots", F.pmod(j, size).cast("int"))
+
+
+def _by_block(schedule: DataFrame) -> DataFrame:
+    """(s, at, phase, slot, short): the schedule with a row per block.
+
+    The blocks of a source are spread in runs, so a source of most rows is no single task.
+    """
+    runs = schedule.withColumn("run", F.explode(F.sequence("lo", F.col("hi") - 1, F.lit(SPREAD).cast("bigint"))))
+    last = F.least(F.col("run") + SPREAD, F.col("hi")) - 1
+    spread = runs.repartition("s", "run").withColumn("at", F.explode(F.sequence("run", last)))
+    return spread.select("s", "at", "phase", _slot(F.col("at")).alias("slot"), "short")
 
 
 def _key(group: str) -> Column:
@@ -87,6 +172,7 @@ def mix(
     buckets: int = BUCKETS,
     exponent: float = EXPONENT,
     carry: bool = False,
+    schedule_text: int = SCHEDULE_TEXT,
 ) -> DataFrame:
     """Place of every row in the mix: (id, source, block, phase, slot, position, doc).
 
@@ -103,12 +189,7 @@ def mix(
         *([F.struct("*").alias("doc")] if carry else []),
     )
     counts = rows.groupBy("g", "b").agg(F.count("*").alias("n"))
-    totals = {
-        r["g"]: r["n"]
-        for r in rows.groupBy("g").agg(F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
-    }
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; mix groups of sources instead")
+    totals = {r["g"]: r["n"] for r in rows.groupBy("g").agg(F.count("*").alias("n")).collect()}
     if weights is None:
         chosen = target_weights(totals, exponent)
     else:
@@ -117,20 +198,7 @@ def mix(
             raise ValueError(f"no weight for sources {lacking}")
         if any(int(w) != w or w < 1 for w in chosen.values()):
             raise ValueError("weights must be whole and positive")
-    plan = phases(totals, chosen, block_rows)
-    parts = [
-        (n, s, p["first"][s], p["first"][s] + p["taken"][s], p["start"], p["q"], p["short"], p["slots"][s])
-        for n, p in enumerate(plan)
-        for s in p["slots"]
-        if p["taken"][s]
-    ]
-    quoted = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    values = ",".join(
-        f"({n},{quoted(s)},{a}L,{z}L,{at}L,{q}L,{gone}L,array({','.join(f'{x}L' for x in slots)}))"
-        for n, s, a, z, at, q, gone, slots in parts
-    ) or "(0,'',0L,0L,0L,1L,0L,array(0L))"
-    # as many entries as phases times slots of a period: settings, not data
-    table = spark.sql(f"SELECT * FROM VALUES {values} AS t(phase, s, lo, hi, start, q, short, slots)")
+    schedule, short = _schedule(spark, phases(totals, chosen, block_rows), schedule_text)
 
     offsets = counts.select(
         F.col("g").alias("og"),
@@ -144,19 +212,18 @@ def mix(
         .withColumn("rank", F.col("before") + F.col("r"))
         .withColumn("block", F.floor(F.col("rank") / block_rows).cast("bigint"))
     )
-    placed = ranked.join(
-        F.broadcast(table),
-        (F.col("g") == F.col("s")) & (F.col("block") >= F.col("lo")) & (F.col("block") < F.col("hi")),
-    )
-    j = F.col("block") - F.col("lo")
-    size = F.size("slots").cast("bigint")
-    slot = F.col("start") + F.floor(j / size).cast("bigint") * F.col("q") + F.get("slots", F.pmod(j, size).cast("int"))
+    if short:
+        in_phase = (F.col("g") == F.col("s")) & (F.col("block") >= F.col("lo")) & (F.col("block") < F.col("hi"))
+        placed = ranked.join(F.broadcast(schedule), in_phase).withColumn("slot", _slot(F.col("block")))
+    else:
+        placed = ranked.join(_by_block(schedule), (F.col("g") == F.col("s")) & (F.col("block") == F.col("at")))
+    slot = F.col("slot")
     return placed.select(
         "id",
         "source",
         "block",
         "phase",
-        slot.alias("slot"),
+        slot,
         (slot * block_rows + F.pmod("rank", F.lit(block_rows)) - F.col("short")).alias("position"),
         *(["doc"] if carry else []),
     )

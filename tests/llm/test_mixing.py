@@ -39,8 +39,8 @@ def brute(counts, weights, block_rows):
     return out
 
 
-def check(docs, weights=None, block_rows=4):
-    rows = mixing.mix(docs, weights, block_rows=block_rows, buckets=8).collect()
+def check(docs, weights=None, block_rows=4, **options):
+    rows = mixing.mix(docs, weights, block_rows=block_rows, buckets=8, **options).collect()
     assert sorted(r["position"] for r in rows) == list(range(docs.count()))
     counts = Counter("-" if r["source"] is None else "+" + r["source"] for r in rows)
     chosen = mixing.target_weights(counts) if weights is None else {f"+{s}": w for s, w in weights.items()}
@@ -67,3 +67,20 @@ def test_bad_weights(make_docs):
         mixing.mix(docs, {"b": 1})
     with pytest.raises(ValueError, match="whole"):
         mixing.mix(docs, {"a": 0})
+
+
+def test_schedule_in_pieces_is_the_same(sample_docs, make_docs):
+    check(sample_docs, schedule_text=200)
+    check(make_docs([(i, "t", "ab c:é"[i % 29 % 6]) for i in range(300)]), schedule_text=1)
+    check(make_docs([(1, "x", None), (2, "y", ""), (None, None, "it's\\")]), schedule_text=1)
+    check(make_docs([]).where("false"), schedule_text=1)
+
+
+def test_thousands_of_sources(make_docs):
+    rows = [(i, "t", f"s{i % 2600}") for i in range(2600 + 300)] + [(9000 + i, "t", "large") for i in range(900)]
+    check(make_docs(rows), block_rows=64)
+
+
+def test_runs_of_blocks(spark, monkeypatch, sample_docs):
+    monkeypatch.setattr(mixing, "SPREAD", 3)
+    check(sample_docs, schedule_text=200, block_rows=2)
