@@ -17,9 +17,11 @@ whole; digests of conversations run over turns sorted by (conversation, turn) an
 one hash state at a time.
 
 Edge cases: a null text is empty; a null role is the empty role; turns with equal numbers
-keep the order of role and text; a conversation with a null id is one of its own; a
-record of unknown layout raises an error that names its paths, or is set aside on
-request; other columns are not read.
+keep the order of role and text; a conversation with a null id is one of its own; other
+columns are not read.  A null or blank record and one whose messages are null or an empty
+list have no turns; a null field of a record counts as there where its layout needs it,
+and is the empty text.  A record of unknown layout or of broken JSON raises an error, or
+is set aside on request.
 """
 
 from __future__ import annotations
@@ -99,17 +101,17 @@ def schema_paths(schema: T.DataType, prefix: str = "") -> list[str]:
     return out
 
 
-def record_paths(record, prefix: str = "") -> set[str]:
-    """Nested field paths of a parsed JSON record; null fields do not count."""
+def record_paths(record, prefix: str = "", nulls: bool = False) -> set[str]:
+    """Nested field paths of a parsed JSON record; null fields count on request only."""
     if isinstance(record, list):
-        return set().union(*(record_paths(x, f"{prefix}[]") for x in record)) if record else set()
+        return set().union(*(record_paths(x, f"{prefix}[]", nulls) for x in record)) if record else set()
     if not isinstance(record, dict):
         return set()
     out = set()
     for name, value in record.items():
-        if value is not None:
+        if value is not None or nulls:
             path = f"{prefix}.{name}" if prefix else name
-            out |= {path} | record_paths(value, path)
+            out |= {path} | record_paths(value, path, nulls)
     return out
 
 
@@ -134,6 +136,27 @@ def layout_of(paths: Iterable[str], known: Mapping[str, Layout]) -> Layout | Non
     return found
 
 
+def layout_of_record(record, known: Mapping[str, Layout]) -> Layout | None:
+    """Layout of a parsed record: by its filled fields, else by all it names.
+
+    A record whose list of messages is null or holds none has the layout of that list.
+    """
+    if not isinstance(record, dict):
+        return None
+    found = layout_of(record_paths(record), known)
+    named = record_paths(record, nulls=True)
+    if found is None:
+        found = layout_of(named, known)
+    if found is None:
+        for layout in dict.fromkeys(known.values()):
+            if layout.turns not in named:
+                continue
+            held = _pick(record, layout.turns)
+            if held is None or isinstance(held, list) and not any(held):
+                return layout_of(named | set(layout.paths), known)
+    return found
+
+
 # ---------------------------------------------------------------- canonical turns
 
 
@@ -197,12 +220,17 @@ def canonical_turns(
         for batch in batches:
             ids, turns, roles, texts = [], [], [], []
             for i, line in enumerate(batch.column(1).to_pylist()):
-                parsed = json.loads(line) if line else {}
-                layout = layout_of(record_paths(parsed), known)
+                if line is None or not line.strip():
+                    continue
+                try:
+                    parsed = json.loads(line)
+                except ValueError:
+                    parsed = None
+                layout = layout_of_record(parsed, known)
                 if layout is not None:
                     found = turns_of(parsed, layout)
                 elif set_aside:
-                    found = [("unknown", line or "")]
+                    found = [("unknown", line)]
                 else:
                     raise ValueError(f"no layout has the paths {sorted(record_paths(parsed))}")
                 first = parsed.get("turn") or 0 if layout is not None and layout.flat else 0

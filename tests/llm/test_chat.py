@@ -105,3 +105,36 @@ def test_edges(spark):
     assert got[2]["loss_chars"] == 60_000 and got[2]["n_turns"] == 3
     empty = chat.canonical_turns(frame.where("false"))
     assert chat.conversation_digests(chat.formatted_turns(empty)).collect() == []
+
+
+def test_records_with_null_or_empty_parts(spark):
+    records = {
+        1: '{"messages": []}',
+        2: '{"messages": null, "id": 4}',
+        3: '{"messages": [{"role": "user", "content": null}, {"role": "assistant", "content": null}]}',
+        4: '{"instruction": "do", "output": null}',
+        5: '{"instruction": null, "output": "done", "input": null}',
+        6: None,
+        7: "  ",
+        8: '{"conversations": [null]}',
+        9: '{"data": {"user": null, "assistant": "x"}}',
+    }
+    frame = spark.createDataFrame(list(records.items()), "conv_id long, j string")
+    got = {}
+    for r in chat.canonical_turns(frame, record="j").orderBy("conv_id", "turn").collect():
+        got.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
+    assert got == {
+        3: [("user", ""), ("assistant", "")],
+        4: [("user", "do")],
+        5: [("assistant", "done")],
+        9: [("assistant", "x")],
+    }
+
+
+def test_broken_records(spark):
+    broken = ['{"messages": [', "[1, 2]", "null", '{"messages": 3}', '{"messages": "text"}']
+    frame = spark.createDataFrame(list(enumerate(broken)), "conv_id long, j string")
+    got = chat.canonical_turns(frame, record="j", set_aside=True).orderBy("conv_id").collect()
+    assert [(r["role"], r["text"]) for r in got] == [("unknown", x) for x in broken]
+    with pytest.raises(Exception, match="no layout"):
+        chat.canonical_turns(frame, record="j").collect()
