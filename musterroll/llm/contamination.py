@@ -20,7 +20,9 @@ treated like any other; an empty benchmark gives no matches; other columns are n
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from bisect import bisect_left
+from collections.abc import Iterator, Set
 
 import numpy as np
 import pyarrow as pa
@@ -157,12 +159,12 @@ def _anchors(features: np.ndarray, weights: np.ndarray, stride: int) -> tuple[np
     return np.unique(rarest), -(-(need - spare) // passages)
 
 
-def _entries(feature: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Entries of a list by feature that words have: run of the word, entry, word."""
+def _entries(feature: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of a list by feature that words have: run of the word, entry."""
     n = first[feature + 1] - first[feature]
-    word = np.repeat(np.arange(len(feature)), n)
-    entry = np.arange(len(word)) + (first[feature] - (np.cumsum(n) - n))[word]
-    return np.repeat(np.arange(len(lengths)), lengths)[word], entry, word
+    ends = np.cumsum(n)
+    entry = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[feature] - (ends - n), n)
+    return np.repeat(np.repeat(np.arange(len(lengths)), lengths), n), entry
 
 
 class Queries:
@@ -178,7 +180,6 @@ class Queries:
         return out
 
     def __init__(self, items: list[tuple], weights: np.ndarray, directions: np.ndarray):
-        self.weights = weights
         self.ids, self.words, self.known, self.answers, found = [], [], [], [], []
         for item, text, answer in items:
             column = pa.array([text or "", answer if answer is not None else last_sentence(text or "")])
@@ -187,7 +188,7 @@ class Queries:
                 continue
             self.ids.append(item)
             self.words.append(hashes[: at[1]].tolist())
-            self.known.append(np.unique(hashes[: at[1]]))
+            self.known.append(frozenset(self.words[-1]))
             self.answers.append(hashes[at[1] :].tolist())
             found.append(feature[: at[1]])
         short = np.array([len(w) < STRIDE for w in self.words], bool)
@@ -205,15 +206,15 @@ class Queries:
             counted = np.array([stride == SHORT_STRIDE and len(found[k]) < 2 * SHORT_STRIDE for k in items])
             self.scales.append((stride, items, first, holders, least, counted))
         # The items' weights on the features they have; with the directions they span the
-        # latent space.
+        # latent space.  Both are kept times the weight that a passage's word has.
         used = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
         own = np.zeros((len(used), len(found)))
         for k, features in enumerate(found):
             np.add.at(own[:, k], np.searchsorted(used, features), weights[features])
         rows, self.holders = np.nonzero(own)
-        self.own = own[rows, self.holders]
+        self.own = own[rows, self.holders] * weights[used[rows]]
         self.first = np.searchsorted(used[rows], np.arange((1 << FEATURE_BITS) + 1)).astype(np.int32)
-        self.directions = directions
+        self.directions = directions * weights[:, None]
         # products of the spanning vectors; their Cholesky factor makes them orthonormal
         cross = own.T @ directions[used]
         products = np.block([[own.T @ own, cross], [cross.T, directions.T @ directions]])
@@ -234,7 +235,7 @@ class Queries:
         size = len(least)
         for lo in range(0, len(follows), _SLICE):
             hi = min(lo + _SLICE + 1, len(follows))  # and the stride after the last passage
-            stride, entry = _entries(feature[edges[lo] : edges[hi]], np.diff(edges[lo : hi + 1]), first)[:2]
+            stride, entry = _entries(feature[edges[lo] : edges[hi]], np.diff(edges[lo : hi + 1]), first)
             counts = np.bincount(stride * size + holders[entry], minlength=(hi - lo) * size).reshape(hi - lo, size)
             counts[:-1] += counts[1:] * follows[lo : hi - 1, None]
             enough = counts[:_SLICE] >= least
@@ -246,10 +247,9 @@ class Queries:
         """Products of the words of each stride with the vectors that span the latent space."""
         n, size = edges[strides + 1] - edges[strides], len(self.ids)
         flat = feature[np.arange(n.sum()) + np.repeat(edges[strides] - (np.cumsum(n) - n), n)]
-        stride, entry, word = _entries(flat, n, self.first)
-        weight = self.weights[flat]
-        mine = np.bincount(stride * size + self.holders[entry], weights=weight[word] * self.own[entry], minlength=len(strides) * size)
-        main = np.add.reduceat(weight[:, None] * self.directions[flat], np.cumsum(n) - n, axis=0)
+        stride, entry = _entries(flat, n, self.first)
+        mine = np.bincount(stride * size + self.holders[entry], weights=self.own[entry], minlength=len(strides) * size)
+        main = np.add.reduceat(self.directions[flat], np.cumsum(n) - n, axis=0)
         return np.concatenate([mine.reshape(-1, size).astype(np.float32), main], axis=1)
 
     def _near(self, feature, at, stride, items, first, holders, least, counted):
@@ -283,11 +283,11 @@ class Queries:
         for i, q, a, b, cosine in self.candidates(feature, at):
             item, answer = self.words[q], self.answers[q]
             reach = _window(len(item))
-            region = hashes[max(at[i], a - reach) : min(at[i + 1], b + reach)]
+            region = hashes[max(at[i], a - reach) : min(at[i + 1], b + reach)].tolist()
             share = windowed_share(item, region, self.known[q])
             if share < PART:
                 continue
-            told = common(answer, region.tolist()) / len(answer) if answer else share
+            told = common(answer, region) / len(answer) if answer else share
             found = share >= WHOLE or (share >= PART and told >= ANSWER)
             if len(item) < SHORT:
                 found = share >= 1
@@ -316,26 +316,28 @@ def common(pattern: list[int], region: list[int]) -> int:
     return len(pattern) - rows.bit_count()
 
 
-def windowed_share(item: list[int], region: np.ndarray, known: np.ndarray) -> float:
+def windowed_share(item: list[int], region: list[int], known: Set[int]) -> float:
     """Best share of the item's words found in order in half again as many words.
 
-    Words that the item lacks (``known``: its distinct words, sorted) are in no common
+    Words that the item lacks (``known``: its distinct words) are in no common
     subsequence, so windows are compared by the others alone.  Shares below ``PART`` are
     no match: a region is left at 0 when no window has that many of them.
     """
-    size = _window(len(item))
-    step = max(1, size // 6)
-    places = np.flatnonzero(known[np.minimum(np.searchsorted(known, region), len(known) - 1)] == region)
+    places = [i for i, x in enumerate(region) if x in known]
     least = PART * len(item)
-    inside = np.searchsorted(places, places + size) - np.arange(len(places))
-    if not len(places) or inside.max() < least:
+    if len(places) < least:
         return 0.0
-    held = region[places].tolist()
+    size = _window(len(item))
+    crowd = max(1, math.ceil(least))
+    if not any(last - first < size for first, last in zip(places, places[crowd - 1 :])):  # noqa: B905
+        return 0.0
+    held = [region[i] for i in places]
     if common(item, held) < least:
         return 0.0
-    starts = np.arange(0, max(1, len(region) - size + step), step)
+    step = max(1, size // 6)
     best = 0
-    for lo, hi in zip(*np.searchsorted(places, [starts, starts + size]).tolist(), strict=True):
+    for a in range(0, max(1, len(region) - size + step), step):
+        lo, hi = bisect_left(places, a), bisect_left(places, a + size)
         if hi - lo > best:
             best = max(best, common(item, held[lo:hi]))
     return best / len(item)
