@@ -49,6 +49,9 @@ def _newest_by_count(observations: DataFrame, n: int, tiebreak: Sequence[Column]
 
     Counts per measure and period, added up from the newest on, find the period in which
     the N-th row falls.  Newer periods pass whole; only rows of that period are ranked.
+    A measure has a cut only if it has N rows, so the cuts go to the rows, however large
+    their counts look, and a measure is never gathered.  Of a period with more rows than
+    are wanted tasks keep the first of theirs in a fixed number of groups per measure.
     """
     names = observations.columns
     rows = observations.withColumns(
@@ -62,13 +65,16 @@ def _newest_by_count(observations: DataFrame, n: int, tiebreak: Sequence[Column]
         .where((F.col("_upto") >= n) & (F.col("_upto") - F.col("_n") < n))
         .select(F.col("_m").alias("_cm"), F.col("_p").alias("_cp"), F.col("period").alias("_cperiod"), (n - F.col("_upto") + F.col("_n")).alias("_room"))
     )
-    placed = rows.join(cuts, F.col("_m") == F.col("_cm"), "left")
+    placed = rows.join(F.broadcast(cuts), F.col("_m") == F.col("_cm"), "left")
     there = F.struct("_p", "period")  # null sorts before every text, as the oldest period does
     cut = F.struct(F.col("_cp").alias("_p"), F.col("_cperiod").alias("period"))
     whole = placed.where(F.col("_cm").isNull() | (there > cut)).select(*names)
     tied = placed.where(F.col("_cm").isNotNull() & there.eqNullSafe(cut))
-    ranked = tied.withColumn("_rank", F.row_number().over(Window.partitionBy("_m").orderBy(*tiebreak)))
-    return whole.unionByName(ranked.where(F.col("_rank") <= F.col("_room")).select(*names))
+    tied = tied.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
+    for together in (["_m", "_group"], ["_m"]):
+        ranked = tied.withColumn("_rank", F.row_number().over(Window.partitionBy(*together).orderBy(*tiebreak)))
+        tied = ranked.where(F.col("_rank") <= F.col("_room"))
+    return whole.unionByName(tied.select(*names))
 
 
 def _newest(observations: DataFrame, n: int, tiebreak: Sequence[Column]) -> DataFrame:

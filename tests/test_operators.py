@@ -352,6 +352,26 @@ def test_last_n_beyond_any_rank_limit(spark):
     assert topk.last_n(long, 1_000_000, [F.col("value")], has_periods=True).count() == 1_300_000
 
 
+def test_last_n_by_count_gathers_no_measure(spark):
+    """Rows stay where they are, and of a period with more than are wanted tasks keep their first."""
+    long = spark.range(4_000, numPartitions=8).select(
+        F.when(F.col("id") % 10 < 7, "2020-05").otherwise(F.format_string("20%02d", F.col("id") % 20)).alias("period"),
+        F.lit("m").alias("measure"), F.col("id").cast("double").alias("value"), F.lit("u").alias("unit"),
+        F.create_map(F.lit("i"), F.col("id").cast("string")).alias("dimensions"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the counts looked large
+    try:
+        kept = topk._newest_by_count(long, 150, [F.col("value")])
+        got = sorted(r["value"] for r in kept.collect())
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "_group" in plan
+    newest = sorted(long.collect(), key=lambda r: r["value"])
+    newest.sort(key=lambda r: {"2020": "2020-01"}.get(r["period"], r["period"]), reverse=True)
+    assert got == sorted(r["value"] for r in newest[:150])
+
+
 def test_limits(spark):
     df = spark.range(30_000).repartition(7)
     got = topk.limited(df, ["id"], 5).collect()
