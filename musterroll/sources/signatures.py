@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SIGNATURE = ("length", "n_lines", "head", "tail", "digest")
@@ -33,20 +33,31 @@ def content_signatures(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(path, n_lines, head, tail, digest) of files with at least one byte.
 
     The digest adds up two hashes of every line, so that doubled lines do not cancel out.
+    All that is kept of a split are numbers, also of its first and last line: text would
+    have each task sort its lines.
     """
-    line = F.md5(F.col("value").cast("binary"))
-    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
-    rows = spark.read.option("lineSep", "\n").text(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"), place.alias("place"), line.alias("line"), F.xxhash64("value").alias("hash")
-    )
+    md5 = F.md5(F.col("value").cast("binary"))
+    first, last = (F.conv(F.substring(md5, at, 16), 16, -10).cast("bigint") for at in (1, 17))
+    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), first.alias("first"), last.alias("last"), F.xxhash64("value").alias("hash"),
+    )
     wide = F.col("hash").cast("decimal(38,0)")
-    return rows.groupBy("path").agg(
+    splits = lines.groupBy("path", "block").agg(
         F.count("*").alias("n_lines"),
-        F.min_by("line", "place").alias("head"),
-        F.max_by("line", "place").alias("tail"),
-        F.concat_ws(
-            ":", F.sum(wide).cast("string"), F.sum(F.xxhash64("hash", F.lit(1)).cast("decimal(38,0)")).cast("string")
-        ).alias("digest"),
+        *[by(half, "line").alias(f"{end}_{half}") for end, by in (("head", F.min_by), ("tail", F.max_by)) for half in ("first", "last")],
+        F.sum(wide).alias("sum"),
+        F.sum(F.xxhash64("hash", F.lit(1)).cast("decimal(38,0)")).alias("other"),
+    )
+
+    def text(end: str) -> Column:
+        return F.lower(F.concat(*[F.lpad(F.hex(f"{end}_{half}"), 16, "0") for half in ("first", "last")]))
+
+    return splits.groupBy("path").agg(
+        F.sum("n_lines").alias("n_lines"),
+        F.min_by(text("head"), "block").alias("head"),
+        F.max_by(text("tail"), "block").alias("tail"),
+        F.concat_ws(":", F.sum("sum").cast("string"), F.sum("other").cast("string")).alias("digest"),
     )
 
 

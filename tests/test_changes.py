@@ -1,5 +1,6 @@
 """Keyed loads that rewrite few files and survive a crash; signatures of raw files."""
 
+import hashlib
 import os
 import random
 from pathlib import Path
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from musterroll.sources import signatures
 from musterroll.streaming import keyed
+from musterroll.workload import files as file_queries
 
 SCHEMA = "k string, at int, v string"
 
@@ -102,3 +104,35 @@ def test_files_with_old_metadata_are_not_read(spark, tmp_path):
     known = signatures.file_signatures(spark, str(tmp_path)).withColumn("digest", F.lit("from before"))
     known = spark.createDataFrame(known.collect(), known.schema)
     assert [r["digest"] for r in signatures.file_signatures(spark, str(tmp_path), known).collect()] == ["from before"]
+
+
+def test_signatures_sort_no_lines(spark, tmp_path):
+    texts = {f"{n}.csv": [f"{n}-{i}" * (i % 5) for i in range(300 * n)] + ["end"] for n in (1, 2)}
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")  # many splits of each file, in any order
+    try:
+        found = signatures.content_signatures(spark, [str(tmp_path)])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = {r["path"].rsplit("/", 1)[-1]: r for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    lowest = [x for x in plan.splitlines() if "Aggregate(" in x][-1]  # takes in the lines
+    assert "HashAggregate(" in lowest and "ObjectHash" not in lowest
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    want = {name: (len(lines), md5(lines[0]), md5(lines[-1])) for name, lines in texts.items()}
+    assert {name: (r["n_lines"], r["head"], r["tail"]) for name, r in got.items()} == want
+
+
+def test_no_task_holds_all_parts_of_a_look(spark, sf_dir, monkeypatch):
+    plans, write = [], file_queries.write_csv
+
+    def seen(rows, *args, **more):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, *args, **more)
+
+    monkeypatch.setattr(file_queries, "write_csv", seen)
+    status = {r["part"]: r["status"] for r in file_queries.file_changes(spark, sf_dir).collect()}
+    assert status == {"F": "gone", "O": "changed", "P": "same", "X": "new"}
+    assert len(plans) == 2 and all("hashpartitioning(part" in p for p in plans)
