@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from musterroll.llm.graph import components
 from musterroll.llm.kernels import U, chunks, mix, shingle_sets
-from musterroll.llm.shared import written
+from musterroll.llm.shared import packed, unpacked, written
 
 WORDS, PERCENT = 5, 75
 #: A shingle in more than this many texts is frequent.
@@ -171,21 +171,21 @@ class Join:
             for bits, least in ((SHARED_BITS, 1), (BITMAP_BITS, FREQUENT)):
                 marks = np.zeros(1 << (bits - log), bool)
                 marks[rest[total > least] >> np.uint32(32 - bits + log)] = True
-                slices.append(np.packbits(marks).tobytes())
+                slices.append(packed(np.packbits(marks)))
             some = total[(total > 1) & (total <= FREQUENT)]
             return pa.table({
                 "bucket": pa.array([bucket], pa.int32()), "shared": pa.array([slices[0]], pa.binary()), "frequent": pa.array([slices[1]], pa.binary()),
                 "n": [float(some.sum())], "n2": [float((some**2).sum())],
             })
 
-        packed = self.rows.mapInArrow(count, "bucket int, c0 binary, c1 binary")
-        found = packed.groupBy("bucket").applyInArrow(add, "bucket int, shared binary, frequent binary, n double, n2 double")
+        counts = self.rows.mapInArrow(count, "bucket int, c0 binary, c1 binary")
+        found = counts.groupBy("bucket").applyInArrow(add, "bucket int, shared binary, frequent binary, n double, n2 double")
         maps = [bytearray(1 << (bits - 3)) for bits in (SHARED_BITS, BITMAP_BITS)]
         n = n2 = 0.0
-        for row in written(found, "frequent").toLocalIterator():  # 17 MB in all
+        for row in written(found, "frequent").toLocalIterator():  # 17 MB in all, far less for few texts
             for m, name in zip(maps, ("shared", "frequent"), strict=True):
                 size = len(m) >> log
-                m[row["bucket"] * size : (row["bucket"] + 1) * size] = row[name]
+                m[row["bucket"] * size : (row["bucket"] + 1) * size] = unpacked(row[name], np.uint8).tobytes()
             n, n2 = n + row["n"], n2 + row["n2"]
         return bytes(maps[0]), bytes(maps[1]), n2 / n if n else 0.0
 
@@ -235,8 +235,8 @@ class Join:
             columns = {"token": token, "node": node, "n": n, "light": light, "place": place}
             return pa.table({k: v[many] for k, v in columns.items()})
 
-        packed = self.rows.mapInArrow(post, "bucket int, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary")
-        found = packed.groupBy("bucket").applyInArrow(gather, "token long, node long, n int, light int, place int")
+        posted = self.rows.mapInArrow(post, "bucket int, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary")
+        found = posted.groupBy("bucket").applyInArrow(gather, "token long, node long, n int, light int, place int")
         return written(found, "lists")
 
     def sets(self, lists: DataFrame) -> DataFrame:

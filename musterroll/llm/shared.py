@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +56,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def packed(values: np.ndarray) -> bytes:
+    """An array as bytes; long runs of zeros, as of counts and marks of few texts, take little."""
+    return zlib.compress(values.tobytes(), 1)
+
+
+def unpacked(data: bytes, dtype: type) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), dtype)
+
+
 def longs(values: list[int]) -> Column:
     """A constant array of longs, parsed as one expression."""
     return F.expr("array(" + ",".join(f"{v}L" for v in values) + ")") if values else F.expr(

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from musterroll.llm.kernels import LETTER, U, chunks, mix, prefix_hash, span_hash, words
-from musterroll.llm.shared import added_up
+from musterroll.llm.shared import added_up, packed, unpacked
 
 FEATURE_BITS = 20
 STEMS = (4, 5, 6)
@@ -108,20 +108,20 @@ def _counts(rows: DataFrame) -> np.ndarray:
         blocks = total.reshape(2, -1, BLOCK)
         used = np.flatnonzero(blocks.any(axis=(0, 2)))
         yield pa.record_batch(
-            [pa.array(used.astype(np.int32)), *(pa.array([blocks[k, b].tobytes() for b in used], pa.binary()) for k in (0, 1))],
+            [pa.array(used.astype(np.int32)), *(pa.array([packed(blocks[k, b]) for b in used], pa.binary()) for k in (0, 1))],
             names=["block", "clean", "toxic"],
         )
 
     def add(table: pa.Table) -> pa.Table:
-        sums = [sum((np.frombuffer(x, np.int64) for x in table.column(c).to_pylist()), np.zeros(BLOCK, np.int64)) for c in ("clean", "toxic")]
-        return pa.table({"block": table.column("block")[:1], "clean": pa.array([sums[0].tobytes()]), "toxic": pa.array([sums[1].tobytes()])})
+        sums = [sum((unpacked(x, np.int64) for x in table.column(c).to_pylist()), np.zeros(BLOCK, np.int64)) for c in ("clean", "toxic")]
+        return pa.table({"block": table.column("block")[:1], "clean": pa.array([packed(sums[0])]), "toxic": pa.array([packed(sums[1])])})
 
     kind = "block int, clean binary, toxic binary"
     out = np.zeros((2, (1 << FEATURE_BITS) // BLOCK, BLOCK), np.int64)
-    # 256 rows of 64 kB at most
+    # 256 rows of 64 kB at most, far less where few features are seen
     for row in added_up(rows.mapInArrow(count, kind), add, kind).toLocalIterator():
-        out[0, row["block"]] = np.frombuffer(row["clean"], np.int64)
-        out[1, row["block"]] = np.frombuffer(row["toxic"], np.int64)
+        out[0, row["block"]] = unpacked(row["clean"], np.int64)
+        out[1, row["block"]] = unpacked(row["toxic"], np.int64)
     return out.reshape(2, -1)
 
 

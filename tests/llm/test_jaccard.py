@@ -151,3 +151,22 @@ def test_words_built_alike_are_different_words(make_docs, n):
     got = {r["id"]: r["component_id"] for r in jaccard.jaccard_join(make_docs(rows)).collect()}
     assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
     assert jaccard.one_of_each(make_docs(rows)).count() == 4
+
+
+def test_marks_of_few_texts_are_small_at_the_driver(spark, make_docs, monkeypatch):
+    sent, write = [], jaccard.written
+
+    def seen(df, name, *more):
+        out = write(df, name, *more)
+        if name == "frequent":
+            sent.extend(len(r["shared"]) + len(r["frequent"]) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", seen)
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = make_docs([(i, text + f" x{i}") for i in range(30)] + [(99, "one of its own in six words")])
+    shared, frequent, mean = jaccard.Join(docs, "doc_id", "text", 5, 75).counted()
+    assert sum(sent) < 200_000  # the maps have 17 MB
+    assert (len(shared), len(frequent)) == (1 << 24, 1 << 20) and mean == 0
+    bits = lambda x: int(np.unpackbits(np.frombuffer(x, np.uint8)).sum())
+    assert (bits(shared), bits(frequent)) == (36, 36)  # the shingles that all 30 have

@@ -110,3 +110,18 @@ def test_shuffled_labels_join(trained, spark, make_docs, monkeypatch):
     monkeypatch.setattr(toxicity, "BROADCAST_LABELS", 0)
     again = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     assert np.array_equal(again.weights, model.weights) and again.slope == pytest.approx(model.slope)
+
+
+def test_counts_of_few_texts_are_small_at_the_driver(spark, monkeypatch):
+    sent, add = [], toxicity.added_up
+
+    def seen(*args):
+        out = add(*args)
+        sent.extend(len(r["clean"]) + len(r["toxic"]) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(toxicity, "added_up", seen)
+    rows = spark.createDataFrame([(i % 2, f"some words number{i} " + "bad " * (i % 2)) for i in range(200)], "toxic int, text string")
+    counts = toxicity._counts(rows)
+    assert sum(sent) < 200_000  # the table has 16 MB
+    assert counts.shape == (2, 1 << toxicity.FEATURE_BITS) and counts[0].max() == counts[1].max() == 100
