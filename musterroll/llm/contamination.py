@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from musterroll.llm.kernels import LETTER, U, chunks, prefix_hash, span_hash, words
+from musterroll.llm.kernels import LETTER, U, by_value, chunks, prefix_hash, span_hash, spans
 from musterroll.llm.shared import added_up, written
 
 FEATURE_BITS, DIRECTIONS = 17, 16
@@ -51,9 +51,9 @@ _SLICE = 1 << 11
 def _tokens(column: pa.Array) -> Iterator[tuple]:
     """For each chunk: first and end row, features, word hashes and word offsets per text."""
     for lo, hi, data, offsets in chunks(column):
-        starts, ends, text = words(data, offsets, LETTER)
+        starts, ends = spans(data, offsets, LETTER)
         hashes = span_hash(prefix_hash(data, fold_case=True), starts, ends) if len(starts) else np.zeros(0, U)
-        at = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=hi - lo))])
+        at = np.searchsorted(starts, offsets)
         yield lo, hi, (hashes & U((1 << FEATURE_BITS) - 1)).astype(np.int64), hashes, at
 
 
@@ -98,9 +98,11 @@ def inverse_frequencies(rows: DataFrame) -> np.ndarray:
         total = np.zeros(size + 1)
         for batch in batches:
             for lo, hi, feature, _, at in _tokens(batch.column(1)):
-                text = np.repeat(np.arange(hi - lo), np.diff(at))
-                seen = np.unique((text << FEATURE_BITS) + feature) & (size - 1)
-                total[:size] += np.bincount(seen, minlength=size)
+                order = by_value(feature, FEATURE_BITS)
+                text, feature = np.repeat(np.arange(hi - lo), np.diff(at))[order], feature[order]
+                new = np.ones(len(order), bool)  # a text's words of one feature stand together
+                new[1:] = (feature[1:] != feature[:-1]) | (text[1:] != text[:-1])
+                total[:size] += np.bincount(feature[new], minlength=size)
                 total[size] += hi - lo
         return total
 
@@ -125,12 +127,15 @@ def main_directions(rows: DataFrame, weights: np.ndarray) -> np.ndarray:
                 lengths = np.diff(np.append(heads, len(feature)))
                 w = idf[feature]
                 norm = np.sqrt(np.add.reduceat(w * w, heads)) + 1e-6
-                y = np.add.reduceat(w[:, None] * random[feature], heads, axis=0) / (norm**2)[:, None]
-                passage = np.repeat(np.arange(len(heads)), lengths)
-                order = np.argsort(feature, kind="stable")
-                first = np.flatnonzero(np.concatenate([[True], feature[order][1:] != feature[order][:-1]]))
-                back = np.add.reduceat(w[order, None] * y[passage[order]], first, axis=0)
-                total[feature[order][first]] += back
+                words = np.take(random, feature, axis=0)
+                words *= w[:, None]
+                y = np.add.reduceat(words, heads, axis=0) / (norm**2)[:, None]
+                order = by_value(feature, FEATURE_BITS)
+                in_order = feature[order]
+                first = np.flatnonzero(np.concatenate([[True], in_order[1:] != in_order[:-1]]))
+                words = np.take(y, np.repeat(np.arange(len(heads)), lengths)[order], axis=0)
+                words *= w[order, None]
+                total[in_order[first]] += np.add.reduceat(words, first, axis=0)
         return total
 
     found = _added(rows, multiply, size * DIRECTIONS).reshape(size, DIRECTIONS)
@@ -249,7 +254,7 @@ class Queries:
         flat = feature[np.arange(n.sum()) + np.repeat(edges[strides] - (np.cumsum(n) - n), n)]
         stride, entry = _entries(flat, n, self.first)
         mine = np.bincount(stride * size + self.holders[entry], weights=self.own[entry], minlength=len(strides) * size)
-        main = np.add.reduceat(self.directions[flat], np.cumsum(n) - n, axis=0)
+        main = np.add.reduceat(np.take(self.directions, flat, axis=0), np.cumsum(n) - n, axis=0)
         return np.concatenate([mine.reshape(-1, size).astype(np.float32), main], axis=1)
 
     def _near(self, feature, at, stride, items, first, holders, least, counted):

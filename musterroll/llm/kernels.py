@@ -109,11 +109,10 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         lo = hi
 
 
-def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and text numbers of the maximal runs of bytes in the class ``inside``."""
+def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of bytes in the class ``inside``, none across texts."""
     if not len(data):
-        none = np.zeros(0, np.int64)
-        return none, none, none
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     within = inside[data]
     begins = within.copy()
     begins[1:] &= ~within[:-1]
@@ -122,10 +121,23 @@ def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
     stops = within.copy()
     stops[:-1] &= ~within[1:]
     stops[heads[1:] - 1] = within[heads[1:] - 1]
-    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    return np.flatnonzero(begins), np.flatnonzero(stops) + 1
+
+
+def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and text numbers of the maximal runs of bytes in the class ``inside``."""
+    starts, ends = spans(data, offsets, inside)
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def by_value(values: np.ndarray, bits: int) -> np.ndarray:
+    """Order of whole numbers below 2**bits, equal ones as they come; 16 bits at a time, which numpy sorts in linear time."""
+    order = np.argsort((values & 0xFFFF).astype(np.uint16), kind="stable")
+    for low in range(16, bits, 16):
+        order = order[np.argsort((values[order] >> low & 0xFFFF).astype(np.uint16), kind="stable")]
+    return order
+
+
 def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of the values of each text; offsets count values."""
     sums = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values, dtype=values.dtype)])

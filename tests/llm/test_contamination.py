@@ -4,10 +4,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from musterroll.llm import contamination
+from musterroll.llm import contamination, kernels
 
 
 @given(st.lists(st.integers(0, 4), max_size=12), st.lists(st.integers(0, 4), max_size=20))
@@ -118,3 +119,16 @@ def test_directions_are_those_of_the_whole_matrix(make_docs):
     matrix = np.array(vectors)
     best = (np.linalg.svd(matrix, compute_uv=False)[: basis.shape[1]] ** 2).sum()
     assert (np.linalg.norm(matrix @ basis) ** 2) > 0.6 * best
+
+
+def test_weights_count_each_text_once_and_orders_are_stable(spark, make_docs):
+    values = np.random.default_rng(3).integers(0, 1 << 17, 50_000)
+    values[::7] = values[0]
+    for bits in (17, 40):
+        assert (kernels.by_value(values, bits) == np.argsort(values, kind="stable")).all()
+    assert len(kernels.by_value(values[:0], 17)) == 0
+    texts = ["a b a b a", None, "", "b c", "... !", "a"]
+    weights = contamination.inverse_frequencies(make_docs(list(enumerate(texts))).select("doc_id", "text").coalesce(1))
+    (_, _, feature, _, at), *_ = contamination._tokens(pa.array(["a", "b", "c", "d"]))
+    assert at.tolist() == [0, 1, 2, 3, 4]
+    assert np.allclose(weights[feature], np.log(7 / np.array([3, 3, 2, 1])))
