@@ -46,11 +46,13 @@ SHORT = 8
 _SEED = 20
 #: Strides whose words are counted at a time.
 _SLICE = 1 << 11
+#: Bytes of texts worked on at a time, so that the arrays of a step stay in a core's cache.
+_PIECE = 1 << 17
 
 
 def _tokens(column: pa.Array) -> Iterator[tuple]:
     """For each chunk: first and end row, features, word hashes and word offsets per text."""
-    for lo, hi, data, offsets in chunks(column):
+    for lo, hi, data, offsets in chunks(column, _PIECE):
         starts, ends = spans(data, offsets, LETTER)
         hashes = span_hash(prefix_hash(data, fold_case=True), starts, ends) if len(starts) else np.zeros(0, U)
         at = np.searchsorted(starts, offsets)
@@ -118,6 +120,7 @@ def main_directions(rows: DataFrame, weights: np.ndarray) -> np.ndarray:
     def multiply(batches):
         idf = shared.value
         random = np.random.default_rng(_SEED).standard_normal((size, DIRECTIONS), np.float32)
+        random *= idf[:, None]
         total = np.zeros((size, DIRECTIONS), np.float32)
         for batch in batches:
             for _, _, feature, _, at in _tokens(batch.column(1)):
@@ -127,9 +130,7 @@ def main_directions(rows: DataFrame, weights: np.ndarray) -> np.ndarray:
                 lengths = np.diff(np.append(heads, len(feature)))
                 w = idf[feature]
                 norm = np.sqrt(np.add.reduceat(w * w, heads)) + 1e-6
-                words = np.take(random, feature, axis=0)
-                words *= w[:, None]
-                y = np.add.reduceat(words, heads, axis=0) / (norm**2)[:, None]
+                y = np.add.reduceat(np.take(random, feature, axis=0), heads, axis=0) / (norm**2)[:, None]
                 order = by_value(feature, FEATURE_BITS)
                 in_order = feature[order]
                 first = np.flatnonzero(np.concatenate([[True], in_order[1:] != in_order[:-1]]))
@@ -264,22 +265,31 @@ class Queries:
         follows = np.append(text[1:] == text[:-1], False)  # the next stride is in the same text
         latent = self.latent[items].T
         out: dict[tuple[int, int], list] = {}
+        hits, held = [], []
         for part, enough in self._crowded(feature, edges, follows, first, holders, least):
-            stop = edges[part + 1 + follows[part]]
             strides = np.union1d(part, part[follows[part]] + 1)
             each = self._projected(feature, edges, strides)
             sums = each[np.searchsorted(strides, part)]
             sums[follows[part]] += each[np.searchsorted(strides, part[follows[part]] + 1)]
             z = sums @ self.to_latent
             cosine = (z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)) @ latent
-            for p, k in zip(*np.nonzero(np.where(counted, enough, cosine >= LEAST_COSINE)), strict=True):
-                i, q = int(text[part[p]]), int(items[k])
-                a, b, c = int(heads[part[p]]), int(stop[p]), float(cosine[p, k])
-                runs = out.setdefault((i, q), [])
-                if runs and a <= runs[-1][1] + len(self.words[q]):
-                    runs[-1] = (runs[-1][0], b, max(c, runs[-1][2]))
-                else:
-                    runs.append((a, b, c))
+            p, k = np.nonzero(np.where(counted, enough, cosine >= LEAST_COSINE))
+            hits.append((part[p], k, cosine[p, k]))
+            p, k = np.nonzero(enough)
+            held.append(np.unique(text[part[p]] * len(items) + k))
+        if not hits:
+            return []
+        part, k, cosine = (np.concatenate(x) for x in zip(*hits, strict=True))
+        # a text without a passage that has enough of an item's words holds no match of it
+        keep = np.isin(text[part] * len(items) + k, np.concatenate(held))
+        part, k, cosine = part[keep], k[keep], cosine[keep]
+        rows = (text[part], items[k], heads[part], edges[part + 1 + follows[part]], cosine.astype(np.float64))
+        for i, q, a, b, c in zip(*(x.tolist() for x in rows), strict=True):
+            runs = out.setdefault((i, q), [])
+            if runs and a <= runs[-1][1] + len(self.words[q]):
+                runs[-1] = (runs[-1][0], b, max(c, runs[-1][2]))
+            else:
+                runs.append((a, b, c))
         return [(i, q, a, b, c) for (i, q), runs in out.items() for a, b, c in runs]
 
     def matches(self, feature, hashes, at) -> list[tuple[int, int, float, float, float]]:
