@@ -48,6 +48,8 @@ _SEED = 20
 _SLICE = 1 << 11
 #: Bytes of texts worked on at a time, so that the arrays of a step stay in a core's cache.
 _PIECE = 1 << 17
+#: Words that many items have and texts often use: counted per stride, for one matrix product.
+_OFTEN = 32
 
 
 def _tokens(column: pa.Array) -> Iterator[tuple]:
@@ -217,7 +219,14 @@ class Queries:
         own = np.zeros((len(used), len(found)))
         for k, features in enumerate(found):
             np.add.at(own[:, k], np.searchsorted(used, features), weights[features])
-        rows, self.holders = np.nonzero(own)
+        load = np.count_nonzero(own, axis=1) * np.exp(-weights[used])
+        often = np.argsort(-load, kind="stable")[:_OFTEN]
+        self.often = own[often] * weights[used[often], None]
+        self.slot = np.full(1 << FEATURE_BITS, len(often), np.int32)
+        self.slot[used[often]] = np.arange(len(often))
+        seldom = np.ones(len(used), bool)
+        seldom[often] = False
+        rows, self.holders = np.nonzero(own * seldom[:, None])
         self.own = own[rows, self.holders] * weights[used[rows]]
         self.first = np.searchsorted(used[rows], np.arange((1 << FEATURE_BITS) + 1)).astype(np.int32)
         self.directions = directions * weights[:, None]
@@ -255,8 +264,11 @@ class Queries:
         flat = feature[np.arange(n.sum()) + np.repeat(edges[strides] - (np.cumsum(n) - n), n)]
         stride, entry = _entries(flat, n, self.first)
         mine = np.bincount(stride * size + self.holders[entry], weights=self.own[entry], minlength=len(strides) * size)
+        slots = len(self.often) + 1  # the last one is for all other words
+        often = np.bincount(np.repeat(np.arange(len(strides)) * slots, n) + self.slot[flat], minlength=len(strides) * slots)
+        mine = mine.reshape(-1, size) + often.reshape(-1, slots)[:, :-1].astype(np.float64) @ self.often
         main = np.add.reduceat(np.take(self.directions, flat, axis=0), np.cumsum(n) - n, axis=0)
-        return np.concatenate([mine.reshape(-1, size).astype(np.float32), main], axis=1)
+        return np.concatenate([mine.astype(np.float32), main], axis=1)
 
     def _near(self, feature, at, stride, items, first, holders, least, counted):
         heads = _bounds(at, stride)
