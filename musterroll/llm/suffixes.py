@@ -39,8 +39,8 @@ from musterroll.llm.kernels import U, buffers, chunks, digest, mix, prefix_hash,
 from musterroll.llm.shared import written
 
 LENGTH, GRAM = 200, 32
-#: Texts are worked on in segments of so many bytes at most.
-SEGMENT = 4 << 20
+#: Texts are worked on in segments of so many bytes at most, some 25 MB of arrays.
+SEGMENT = 1 << 18
 _PLACE_BITS = 24
 SHARD_BYTES = 1 << 19
 #: A k-gram with more different surroundings than this is crowded.

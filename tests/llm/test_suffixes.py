@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -129,3 +130,14 @@ def test_texts_built_alike_have_different_keys():
         data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.array([0, n, 2 * n])
         a, b = suffixes.text_keys(data, offsets)
         assert a != b
+
+
+def test_memory_of_fingerprints_does_not_follow_the_chunk():
+    data = np.random.default_rng(5).integers(97, 123, 2 << 20).astype(np.uint8)
+    offsets = np.arange(0, len(data) + 1, 4096)
+    suffixes.fingerprints(data, offsets)  # powers are kept
+    tracemalloc.start()
+    found = suffixes.fingerprints(data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found[0]) > 10_000 and peak < 50e6  # 139 MB in one segment
